@@ -43,12 +43,14 @@ def once(spark: SparkSession, key: tuple, build: Callable[[], object]):
     return _stages[full_key]
 
 
-def staged(spark: SparkSession, name: str, key: tuple, build: Callable[[], DataFrame]) -> DataFrame:
+def staged(
+    spark: SparkSession, name: str, key: tuple, build: Callable[[], DataFrame], partition_by: tuple[str, ...] = ()
+) -> DataFrame:
     """Read the table ``name``, writing it first if this application has not done so yet."""
 
     def write() -> str:
         path = fresh_path(spark, name)
-        build().write.parquet(path)
+        build().write.partitionBy(*partition_by).parquet(path)
         return path
 
     return spark.read.parquet(once(spark, (name, *key), write))
