@@ -90,19 +90,20 @@ def order_cuts(
     )
 
 
-def sequence_numbers(rows: DataFrame, group: str, key: str) -> DataFrame:
+def sequence_numbers(rows: DataFrame, groups: list[str], key: str) -> DataFrame:
     """Add ``position``: 1, 2, ... within each group, in hash order of the key.
 
     Rows are numbered inside hash cells and shifted by the cells before, so a group may
     hold any share of the data.
     """
     hashed = rows.withColumns({"hash": tie_break(key)}).withColumn("cell", F.left("hash", F.lit(HASH_DIGITS)))
-    cells = hashed.groupBy(group, "cell").agg(F.count(F.lit(1)).alias("n"))
-    by_cell = Window.partitionBy(group).orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = cells.select(group, "cell", F.coalesce(F.sum("n").over(by_cell), F.lit(0)).alias("offset"))
-    in_cell = Window.partitionBy(group, "cell").orderBy("hash", key)
+    cells = hashed.groupBy(*groups, "cell").agg(F.count(F.lit(1)).alias("n"))
+    by_cell = Window.partitionBy(*groups).orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = cells.select(*groups, "cell", F.coalesce(F.sum("n").over(by_cell), F.lit(0)).alias("offset"))
+    in_cell = Window.partitionBy(*groups, "cell").orderBy("hash", key)
+    # At most 65,536 offsets per group, and groups are few: classes within splits.
     return (
-        hashed.join(offsets, [group, "cell"])
+        hashed.join(F.broadcast(offsets), [*groups, "cell"])
         .withColumn("position", F.col("offset") + F.row_number().over(in_cell))
-        .drop("hash", "cell", "offset")
+        .select(*rows.columns, "position")
     )

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from churnline.functions import encodings as enc
+from churnline.functions.reshape import feature_rows
 from churnline.schema import LABEL, TENURE_BUCKETS
 
 BUCKET_FLAGS = {enc.flag_name("tb", label): label for label in TENURE_BUCKETS}
@@ -97,14 +98,8 @@ def kpi_overview(scored: DataFrame, threshold: Column | float) -> DataFrame:
 
 def feature_ranges(features: DataFrame, columns: list[str]) -> DataFrame:
     """Minimum, maximum and slider step per feature."""
-    wide = features.agg(
-        *[
-            F.struct(F.min(c).cast("double").alias("lo"), F.max(c).cast("double").alias("hi")).alias(c)
-            for c in columns
-        ]
-    )
-    long = wide.unpivot([], columns, "feature", "r")
-    step = F.greatest(F.lit(0.01), F.round((F.col("r.hi") - F.col("r.lo")) / 100, 4))
-    return long.select(
-        "feature", F.round("r.lo", 6).alias("min_value"), F.round("r.hi", 6).alias("max_value"), step.alias("step")
+    ranges = feature_rows(features, columns).groupBy("feature").agg(F.min("value").alias("lo"), F.max("value").alias("hi"))
+    step = F.greatest(F.lit(0.01), F.round((F.col("hi") - F.col("lo")) / 100, 4))
+    return ranges.select(
+        "feature", F.round("lo", 6).alias("min_value"), F.round("hi", 6).alias("max_value"), step.alias("step")
     )

@@ -6,10 +6,12 @@ rankings then need no shuffle, and per-feature averages combine before they shuf
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.ml.classification import GBTClassificationModel
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -20,6 +22,9 @@ from churnline.operators.training import ScoreCard, churn_probability
 from churnline.schema import KEY, LABEL
 from churnline.session import fresh_path
 
+# Executors need not have this package installed: its functions travel with the tasks.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def linear_attributions(features: DataFrame, card: ScoreCard, columns: list[str], key: str = KEY) -> DataFrame:
     """weight x (value - mean), exact for a logistic model."""
@@ -51,12 +56,12 @@ def tree_nodes(model: GBTClassificationModel) -> DataFrame:
         F.col("treeID").alias("tree"),
         F.col("nodeData.id").alias("node"),
         F.col("nodeData.prediction").alias("prediction"),
-        F.col("nodeData.impurityStats")[0].alias("cover"),
+        F.get("nodeData.impurityStats", F.lit(0)).alias("cover"),
         F.col("nodeData.gain").alias("gain"),
         F.col("nodeData.leftChild").alias("left"),
         F.col("nodeData.rightChild").alias("right"),
         F.col("nodeData.split.featureIndex").alias("feature"),
-        F.col("nodeData.split.leftCategoriesOrThreshold")[0].alias("threshold"),
+        F.get("nodeData.split.leftCategoriesOrThreshold", F.lit(0)).alias("threshold"),
     )
     return nodes.join(F.broadcast(weights), "tree")
 
@@ -173,7 +178,7 @@ def _ranked(columns: list[str]) -> Column:
     named = F.zip_with(
         _names(columns), "contributions", lambda f, c: F.struct((-F.abs(c)).alias("size"), f.alias("feature"), c.alias("c"))
     )
-    return F.array_sort(named)
+    return F.sort_array(named)  # array_sort would compare through a lambda
 
 
 def top_drivers(attributions: DataFrame, columns: list[str], top: int = 3, key: str = KEY) -> DataFrame:
@@ -243,11 +248,11 @@ def permutation_importance(model, sample: DataFrame, columns: list[str], repeats
     step = F.sum(F.col("pos") * F.col("cum_pos") / F.col("cum_n"))
     ap = curve.groupBy(*scenario).agg((step / F.nullif(F.sum("pos"), F.lit(0))).alias("ap"))
 
-    base = ap.where(F.col("position") == -1).select("ap").scalar()
+    base = ap.where(F.col("position") == -1).agg(F.max("ap").alias("ap"))
     loss = (
-        ap.where(F.col("position") >= 0)
+        with_row(ap.where(F.col("position") >= 0), "base", base)
         .groupBy("position")
-        .agg(F.avg(F.coalesce(base - F.col("ap"), F.lit(0.0))).alias("loss"))
+        .agg(F.avg(F.coalesce(F.col("base.ap") - F.col("ap"), F.lit(0.0))).alias("loss"))
         .select(F.get(_names(columns), F.col("position")).alias("feature"), "loss")
     )
     return _share_of_max(loss, "loss", "perm_norm")

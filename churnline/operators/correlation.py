@@ -7,6 +7,7 @@ from pyspark.ml.stat import Correlation
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from churnline.functions.reshape import feature_rows
 from churnline.schema import LABEL
 
 DIGITS = 6
@@ -15,7 +16,7 @@ DIGITS = 6
 def _pearson(x: str, y: str) -> Column:
     # corr() divides by zero under ANSI when a column is constant.
     spread = F.stddev_pop(x) * F.stddev_pop(y)
-    return F.covar_pop(F.col(x).cast("double"), F.col(y).cast("double")) / F.nullif(spread, F.lit(0.0))
+    return F.covar_pop(x, y) / F.nullif(spread, F.lit(0.0))
 
 
 def correlation_matrix(features: DataFrame, columns: list[str]) -> DataFrame:
@@ -32,10 +33,10 @@ def correlation_matrix(features: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def target_correlation(features: DataFrame, columns: list[str]) -> DataFrame:
-    """Correlation of every feature with the label, strongest first, in one aggregate."""
-    wide = features.agg(*[F.round(_pearson(c, LABEL), DIGITS).alias(c) for c in columns])
+    """Correlation of every feature with the label, strongest first."""
+    long = feature_rows(features, columns, [LABEL]).groupBy("feature")
     ranking = Window.orderBy(F.desc_nulls_last(F.abs("corr")), "feature")  # one row per feature
-    return wide.unpivot([], columns, "feature", "corr").withColumn("rank", F.row_number().over(ranking))
+    return long.agg(F.round(_pearson("value", LABEL), DIGITS).alias("corr")).withColumn("rank", F.row_number().over(ranking))
 
 
 def correlation_top(features: DataFrame, columns: list[str], top: int = 15) -> DataFrame:

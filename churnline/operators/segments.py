@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from churnline.functions.reshape import feature_rows
 from churnline.schema import LABEL
 
 MIN_SIDE = 50
@@ -13,18 +14,13 @@ SEGMENTS = 3
 ACCURACY = 10_000
 
 
-def _unpivot(features: DataFrame, columns: list[str], keep: list[str]) -> DataFrame:
-    numbers = features.select(*keep, *[F.col(c).cast("double").alias(c) for c in columns])
-    return numbers.unpivot(keep, columns, "feature", "value")
-
-
 def _exact_medians(features: DataFrame, columns: list[str], brackets: DataFrame) -> DataFrame:
     """Exact medians from the rows between two approximate quantiles around the middle.
 
     Rows under the bracket are only counted, equal values are counted together, so the
     ranking per feature sees a few ten-thousandths of the rows at most.
     """
-    inside = _unpivot(features, columns, []).join(F.broadcast(brackets), "feature").where(F.col("value") <= F.col("upper"))
+    inside = feature_rows(features, columns).join(F.broadcast(brackets), "feature").where(F.col("value") <= F.col("upper"))
     point = F.when(F.col("value") >= F.col("lower"), F.col("value"))
     counted = inside.groupBy("feature", "n", point.alias("point")).agg(F.count(F.lit(1)).alias("here"))
     upward = Window.partitionBy("feature").orderBy(F.asc_nulls_first("point"))
@@ -44,20 +40,21 @@ def feature_split_points(features: DataFrame, columns: list[str], accuracy: int
     """
     margin = 2 / accuracy
     around = F.array(F.lit(0.5 - margin), F.lit(0.5 + margin))
-    summary = features.agg(
-        *[
-            F.struct(
-                F.count(c).alias("n"),
-                F.min(c).cast("double").alias("lo"),
-                F.max(c).cast("double").alias("hi"),
-                F.avg(c).alias("mean"),
-                F.percentile_approx(F.col(c).cast("double"), around, accuracy).alias("q"),
-            ).alias(c)
-            for c in columns
-        ]
-    ).unpivot([], columns, "feature", "s")
-    summary = summary.select("feature", "s.*").where(F.col("lo") < F.col("hi"))
-    brackets = summary.select("feature", "n", F.col("q")[0].alias("lower"), F.col("q")[1].alias("upper"))
+    summary = (
+        feature_rows(features, columns)
+        .groupBy("feature")
+        .agg(
+            F.count("value").alias("n"),
+            F.min("value").alias("lo"),
+            F.max("value").alias("hi"),
+            F.avg("value").alias("mean"),
+            F.percentile_approx("value", around, accuracy).alias("q"),
+        )
+        .where(F.col("lo") < F.col("hi"))
+    )
+    brackets = summary.select(
+        "feature", "n", F.get("q", F.lit(0)).alias("lower"), F.get("q", F.lit(1)).alias("upper")
+    )
     medians = _exact_medians(features, columns, brackets)
     extreme = (F.col("median") == F.col("lo")) | (F.col("median") == F.col("hi"))
     return summary.join(medians, "feature").select(
@@ -78,7 +75,7 @@ def segment_candidates(
     high = F.col("value") > F.col("split_value")
     # One row per feature on the small sides of both joins.
     halves = (
-        _unpivot(features, columns, [LABEL])
+        feature_rows(features, columns, [LABEL])
         .join(F.broadcast(splits), "feature")
         .groupBy("feature", "split_value", "split_kind")
         .agg(

@@ -38,9 +38,9 @@ def split_summary(split: DataFrame) -> DataFrame:
     )
 
 
-def stratified_folds(rows: DataFrame, key: str = KEY, folds: int = FOLDS) -> DataFrame:
-    """Add ``fold`` 0..folds-1, each class spread evenly over the folds."""
-    numbered = sequence_numbers(rows, LABEL, key)
+def stratified_folds(rows: DataFrame, key: str = KEY, folds: int = FOLDS, within: tuple[str, ...] = ()) -> DataFrame:
+    """Add ``fold`` 0..folds-1, each class (within each group) spread evenly over the folds."""
+    numbered = sequence_numbers(rows, [*within, LABEL], key)
     return numbered.withColumn("fold", ((F.col("position") - 1) % folds).cast("int")).drop("position")
 
 

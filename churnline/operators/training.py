@@ -14,6 +14,7 @@ from pyspark.ml.tuning import CrossValidator, CrossValidatorModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from churnline.functions.reshape import feature_rows
 from churnline.functions.scalars import with_row
 from churnline.operators import metrics
 from churnline.schema import KEY, LABEL
@@ -35,14 +36,15 @@ SEARCH_SPACE = {
 def standardized(features: DataFrame, columns: list[str], train: Column | None = None) -> DataFrame:
     """Columns as (x - mean) / population deviation of the training rows; constants become 0."""
     used = features if train is None else features.where(train)
-    fitted = used.agg(
-        *[
-            F.struct(F.avg(c).alias("mean"), F.coalesce(F.nullif(F.stddev_pop(c), F.lit(0.0)), F.lit(1.0)).alias("sd")).alias(c)
-            for c in columns
-        ]
+    stats = (
+        feature_rows(used, columns)
+        .groupBy("feature")
+        .agg(F.avg("value").alias("mean"), F.coalesce(F.nullif(F.stddev_pop("value"), F.lit(0.0)), F.lit(1.0)).alias("sd"))
     )
+    fitted = stats.agg(F.sort_array(F.collect_list(F.struct("feature", "mean", "sd"))).alias("by_name"))
+    place = {c: F.get("fit.by_name", F.lit(i)) for i, c in enumerate(sorted(columns))}
     others = [c for c in features.columns if c not in columns]
-    scaled = [((F.col(c) - F.col(f"fit.{c}.mean")) / F.col(f"fit.{c}.sd")).alias(c) for c in columns]
+    scaled = [((F.col(c) - place[c]["mean"]) / place[c]["sd"]).alias(c) for c in columns]
     return with_row(features, "fit", fitted).select(*others, *scaled)
 
 
@@ -102,7 +104,7 @@ def train_baseline(train: DataFrame, columns: list[str]) -> PipelineModel:
             elasticNetParam=0.0,
             standardization=False,
             maxIter=1000,
-            tol=1e-9,
+            tol=1e-7,
         ),
     ]
     return Pipeline(stages=stages).fit(rows)

@@ -59,13 +59,10 @@ class Stages:
         return feature_columns(self.features())
 
     def modelling(self) -> DataFrame:
-        """Features with ``split`` and, for training rows, ``fold``."""
+        """Features with ``split`` and ``fold``; folds are even within each split."""
 
         def build() -> DataFrame:
-            split = ordered_holdout(self.features())
-            train = stratified_folds(split.where(F.col("split") == "train"))
-            test = split.where(F.col("split") == "test").withColumn("fold", F.lit(None).cast("int"))
-            return train.unionByName(test)
+            return stratified_folds(ordered_holdout(self.features()), within=("split",))
 
         return staged(self.spark, "modelling", (self.folder,), build, partition_by=("split",))
 
@@ -131,7 +128,8 @@ class Stages:
             best = max(range(len(tuned.avgMetrics)), key=lambda i: tuned.avgMetrics[i])
             params = tuned.getEstimatorParamMaps()[best]
             fit = lambda rows: training.fit_trees(rows, self.columns(), params)
-            scored = training.out_of_fold_scores(self.train(), fit, folds=FOLDS)
+            build = lambda: training.out_of_fold_scores(self.train(), fit, folds=FOLDS)
+            scored = staged(self.spark, "out_of_fold", (self.folder,), build)
             return metrics.best_f1_threshold(scored).first()["threshold"]
 
         return once(self.spark, ("tree_threshold", self.folder), choose)
