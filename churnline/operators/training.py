@@ -193,11 +193,15 @@ def tune_trees(
 
 def tuning_results(tuned: CrossValidatorModel) -> DataFrame:
     """One row per trial, best first."""
-    rows = []
-    for number, (params, score) in enumerate(zip(tuned.getEstimatorParamMaps(), tuned.avgMetrics), start=1):
-        named = {p.name: str(v) for p, v in params.items()}
-        rows.append((number, named, float(score)))
-    table = SparkSession.active().createDataFrame(rows, "trial int, params map<string,string>, average_precision double")
+    rows = [
+        {"trial": number, **{p.name: v for p, v in params.items()}, "average_precision": float(score)}
+        for number, (params, score) in enumerate(zip(tuned.getEstimatorParamMaps(), tuned.avgMetrics), start=1)
+    ]
+    schema = (
+        "trial int, maxIter int, maxDepth int, stepSize double, subsamplingRate double, "
+        "featureSubsetStrategy string, minInstancesPerNode int, average_precision double"
+    )
+    table = SparkSession.active().createDataFrame(rows, schema)
     return table.orderBy(F.desc("average_precision"), "trial")
 
 

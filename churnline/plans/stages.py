@@ -7,6 +7,8 @@ so queries scan columns they need and never repeat the work before them.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,12 +44,24 @@ QUICK_TRIALS = 3
 
 
 class Stages:
-    def __init__(self, spark: SparkSession, folder: str):
+    """``source`` names the raw customers and ``load`` reads them."""
+
+    def __init__(
+        self,
+        spark: SparkSession,
+        source: str,
+        load: Callable[[SparkSession, str], DataFrame] = customer_snapshots,
+        trials: int = QUICK_TRIALS,
+        space: dict | None = QUICK_SPACE,
+    ):
         self.spark = spark
-        self.folder = folder.rstrip("/")
+        self.folder = source.rstrip("/")
+        self.load = load
+        self.trials = trials
+        self.space = space
 
     def raw(self) -> DataFrame:
-        return staged(self.spark, "raw", (self.folder,), lambda: customer_snapshots(self.spark, self.folder))
+        return staged(self.spark, "raw", (self.folder,), lambda: self.load(self.spark, self.folder))
 
     def encoder(self) -> FeatureEncoder:
         return once(self.spark, ("encoder", self.folder), lambda: FeatureEncoder.fit(self.raw()))
@@ -104,7 +118,7 @@ class Stages:
         return once(
             self.spark,
             ("tuned", self.folder),
-            lambda: training.tune_trees(self.train(), self.columns(), QUICK_TRIALS, FOLDS, space=QUICK_SPACE),
+            lambda: training.tune_trees(self.train(), self.columns(), self.trials, FOLDS, space=self.space),
         )
 
     def trees(self) -> PipelineModel:
