@@ -149,13 +149,18 @@ def _tree_rows(train: DataFrame, columns: list[str], keep: list[str]) -> DataFra
     return _weighted(assembled, (n - pos) / max(1, pos), 1.0).select("features", "label", "weight", *keep)
 
 
-def _trees(seed: int = SEED) -> GBTClassifier:
-    return GBTClassifier(lossType="logistic", weightCol="weight", seed=seed)
+def _trees(seed: int = SEED, **params) -> GBTClassifier:
+    return GBTClassifier(lossType="logistic", weightCol="weight", seed=seed, **params)
 
 
-def fit_trees(train: DataFrame, columns: list[str], params: dict) -> PipelineModel:
-    """Boosted trees with given parameters, positives weighted up."""
-    return as_pipeline(_trees().fit(_tree_rows(train, columns, []), params), columns)
+def fit_trees(train: DataFrame, columns: list[str], params: dict, seed: int = SEED) -> PipelineModel:
+    """Boosted trees with given parameters (by name), positives weighted up."""
+    return as_pipeline(_trees(seed, **params).fit(_tree_rows(train, columns, [])), columns)
+
+
+def best_params(tuned: CrossValidatorModel) -> dict:
+    best = max(range(len(tuned.avgMetrics)), key=lambda i: tuned.avgMetrics[i])
+    return {p.name: v for p, v in tuned.getEstimatorParamMaps()[best].items()}
 
 
 def tune_trees(

@@ -138,9 +138,7 @@ class Stages:
         """Best-F1 threshold of the trees on training rows, each scored out of its fold."""
 
         def choose() -> float:
-            tuned = self.tuned()
-            best = max(range(len(tuned.avgMetrics)), key=lambda i: tuned.avgMetrics[i])
-            params = tuned.getEstimatorParamMaps()[best]
+            params = training.best_params(self.tuned())
             fit = lambda rows: training.fit_trees(rows, self.columns(), params)
             build = lambda: training.out_of_fold_scores(self.train(), fit, folds=FOLDS)
             scored = staged(self.spark, "out_of_fold", (self.folder,), build)
