@@ -12,7 +12,9 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassificationModel
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -211,36 +213,41 @@ def gain_importance(nodes: DataFrame, columns: list[str]) -> DataFrame:
     return _share_of_max(gains, "gain", "gain_norm")
 
 
-def permutation_importance(model, sample: DataFrame, columns: list[str], repeats: int = 3, key: str = KEY) -> DataFrame:
+def permutation_importance(
+    model: PipelineModel, sample: DataFrame, columns: list[str], repeats: int = 3, key: str = KEY
+) -> DataFrame:
     """Mean loss of average precision when one feature's values are shuffled within the sample.
 
     All (feature, repeat) scenarios are scored in one pass. A shuffle pairs the rows in key
-    order with the rows in the order of a hash seeded by the scenario.
+    order with the rows in the order of a hash seeded by the scenario. The sample is small
+    (its size is set when it is drawn), so it is broadcast.
     """
     x = F.array(*[F.col(c).cast("double") for c in columns])
-    rows = sample.select(key, LABEL, x.alias("x"))
-    scenarios = F.array(
-        F.struct(F.lit(-1).alias("position"), F.lit(0).alias("repeat")),
-        *[F.struct(F.lit(p).alias("position"), F.lit(r).alias("repeat")) for p in range(len(columns)) for r in range(repeats)],
-    )
-    # The sample has a fixed size, and so has each scenario.
-    spread = rows.select("*", F.explode(scenarios).alias("s")).select("*", "s.*").drop("s")
-    seeded = F.md5(F.concat_ws("|", F.col(key), F.col("position"), F.col("repeat")))
+    by_key = Window.orderBy(tie_break(key), key)  # the sample has a fixed size
+    rows = sample.select(key, LABEL, x.alias("x"), F.row_number().over(by_key).alias("place"))
     scenario = ["position", "repeat"]
-    placed = spread.withColumns(
-        {
-            "place": F.row_number().over(Window.partitionBy(scenario).orderBy(tie_break(key), key)),
-            "other": F.row_number().over(Window.partitionBy(scenario).orderBy(seeded, key)),
-        }
-    )
-    donors = placed.where(F.col("position") >= 0).select(
-        *scenario, F.col("other").alias("place"), F.get("x", F.col("position")).alias("new_value")
+    shuffles = [(p, r) for p in range(len(columns)) for r in range(repeats)]
+
+    def scenarios(pairs: list[tuple[int, int]]) -> Column:
+        return F.explode(F.array(*[F.struct(F.lit(p).alias("position"), F.lit(r).alias("repeat")) for p, r in pairs]))
+
+    # Only single values are shuffled: the value of each row that takes another's place.
+    seeded = F.md5(F.concat_ws("|", F.col(key), F.col("position"), F.col("repeat")))
+    other = F.row_number().over(Window.partitionBy(scenario).orderBy(seeded, key))
+    donors = rows.select(key, "x", scenarios(shuffles).alias("s")).select(
+        key, "s.*", F.get("x", F.col("s.position")).alias("new_value")
     )
-    mixed = placed.join(donors, [*scenario, "place"], "left").withColumn(
+    donors = donors.select(*scenario, "new_value", other.alias("place"))
+    swapped = donors.join(F.broadcast(rows), "place").withColumn(
         "x", F.transform("x", lambda v, i: F.when(i == F.col("position"), F.col("new_value")).otherwise(v))
     )
-    wide = mixed.select(*scenario, LABEL, *[F.col("x")[i].alias(c) for i, c in enumerate(columns)])
-    scored = model.transform(wide).select(*scenario, LABEL, churn_probability().alias("score"))
+    as_is = rows.select(scenarios([(-1, 0)]).alias("s"), LABEL, "x").select("s.*", LABEL, "x")
+    mixed = swapped.select(*scenario, LABEL, "x").unionByName(as_is)
+
+    # The rows are vectors already, so the model's assembler is left out.
+    assembler, *fitted = model.stages
+    vectors = mixed.select(*scenario, LABEL, array_to_vector("x").alias(assembler.getOutputCol()))
+    scored = PipelineModel(fitted).transform(vectors).select(*scenario, LABEL, churn_probability().alias("score"))
 
     points = scored.groupBy(*scenario, "score").agg(F.count(F.lit(1)).alias("n"), F.sum(LABEL).alias("pos"))
     down = Window.partitionBy(scenario).orderBy(F.desc("score")).rowsBetween(Window.unboundedPreceding, 0)

@@ -67,10 +67,8 @@ def feature_split_points(features: DataFrame, columns: list[str], accuracy: int
     )
 
 
-def segment_candidates(
-    features: DataFrame, columns: list[str], importance: DataFrame, min_side: int = MIN_SIDE, min_gap: float = MIN_GAP
-) -> DataFrame:
-    """Both halves of every feature with their rates, and whether the split qualifies."""
+def segment_halves(features: DataFrame, columns: list[str], importance: DataFrame) -> DataFrame:
+    """Both halves of every feature's split, with their sizes and churn rates."""
     splits = feature_split_points(features, columns).select("feature", "split_value", "split_kind")
     high = F.col("value") > F.col("split_value")
     # One row per feature on the small sides of both joins.
@@ -87,12 +85,6 @@ def segment_candidates(
     )
     high_rate = F.col("churn_high") / F.nullif(F.col("n_high"), F.lit(0))
     low_rate = F.col("churn_low") / F.nullif(F.col("n_low"), F.lit(0))
-    qualifies = (
-        (F.col("n_high") >= min_side)
-        & (F.col("n_low") >= min_side)
-        & (low_rate > 0)
-        & (F.abs(high_rate - low_rate) >= min_gap)
-    )
     return halves.join(F.broadcast(importance.select("feature", "mean_abs")), "feature").select(
         "feature",
         "split_value",
@@ -104,10 +96,20 @@ def segment_candidates(
         "n_high",
         "n_low",
         ((F.col("churn_high") + F.col("churn_low")) / (F.col("n_high") + F.col("n_low"))).alias("baseline_rate"),
-        F.coalesce(qualifies.cast("int"), F.lit(0)).alias("qualifies"),
     )
 
 
+def segment_candidates(halves: DataFrame, min_side: int = MIN_SIDE, min_gap: float = MIN_GAP) -> DataFrame:
+    """Add whether a split qualifies: both sides large enough, rates above 0 and apart."""
+    qualifies = (
+        (F.col("n_high") >= min_side)
+        & (F.col("n_low") >= min_side)
+        & (F.col("low_rate") > 0)
+        & (F.abs(F.col("high_rate") - F.col("low_rate")) >= min_gap)
+    )
+    return halves.withColumn("qualifies", F.coalesce(qualifies.cast("int"), F.lit(0)))
+
+
 def actionable_segments(candidates: DataFrame, segments: int = SEGMENTS) -> DataFrame:
     """The first qualifying splits in order of importance."""
     chosen = candidates.where(F.col("qualifies") == 1).orderBy(F.desc("mean_abs"), "feature").limit(segments)

@@ -68,8 +68,8 @@ def interpretation(s: Stages) -> dict[str, DataFrame]:
 def decisions(s: Stages, threshold: float, done: dict[str, DataFrame]) -> dict[str, DataFrame]:
     scores = products.with_risk_tier(training.predicted(s.tree_scores(), threshold))
     columns = s.columns()
-    candidates = segments.segment_candidates(s.features(), columns, done["global_importance"])
-    found = segments.actionable_segments(candidates)
+    halves = segments.segment_halves(s.features(), columns, done["global_importance"])
+    found = segments.actionable_segments(segments.segment_candidates(halves))
     report = segments.segment_report(found)
     revenue = products.revenue_impact(s.features(), s.tree_scores().where(F.col("split") == "test"))
     return {

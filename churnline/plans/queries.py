@@ -82,7 +82,7 @@ def output_manifest(s: Stages) -> DataFrame:
             "target_correlation": correlation.target_correlation(s.features(), s.columns()),
             "scores": s.scored(),
             "gains_curve": metrics.gains_curve(test),
-            "evaluation_metrics": metrics.evaluation_metrics(test, "card"),
+            "evaluation_metrics": s.metrics(),
             "attributions": s.attributions(),
             "global_importance": s.importance(),
             "risk_tiers": products.risk_tier_distribution(s.scored()),
@@ -382,7 +382,7 @@ def gains_curve(s: Stages) -> DataFrame:
 
 @query
 def evaluation_metrics(s: Stages) -> DataFrame:
-    return metrics.evaluation_metrics(s.scored_test(), "card")
+    return s.metrics()
 
 
 # ---- interpretation ------------------------------------------------------------------
@@ -474,22 +474,26 @@ def importance_comparison(s: Stages) -> DataFrame:
 
 @query
 def segment_candidates(s: Stages) -> DataFrame:
-    return segments.rounded(s.candidates())
+    return segments.rounded(segments.segment_candidates(s.halves()))
 
 
 @query
 def actionable_segments(s: Stages) -> DataFrame:
-    return segments.rounded(segments.actionable_segments(s.candidates()))
+    return segments.rounded(segments.actionable_segments(segments.segment_candidates(s.halves())))
+
+
+def _segments(s: Stages) -> DataFrame:
+    return segments.actionable_segments(segments.segment_candidates(s.halves(), min_gap=SMALL_GAP))
 
 
 @query
 def actionable_segments_small_gap(s: Stages) -> DataFrame:
-    return segments.rounded(segments.actionable_segments(s.candidates(min_gap=SMALL_GAP)))
+    return segments.rounded(_segments(s))
 
 
 @query
 def segment_report(s: Stages) -> DataFrame:
-    return segments.rounded(segments.segment_report(segments.actionable_segments(s.candidates(min_gap=SMALL_GAP))))
+    return segments.rounded(segments.segment_report(_segments(s)))
 
 
 # ---- products ------------------------------------------------------------------------
@@ -535,6 +539,6 @@ def revenue_impact(s: Stages) -> DataFrame:
 @query
 def memo_facts(s: Stages) -> DataFrame:
     test = s.scored_test()
-    comparison = metrics.model_comparison(metrics.evaluation_metrics(test, "card"), ["card"])
-    report = segments.segment_report(segments.actionable_segments(s.candidates(min_gap=SMALL_GAP)))
+    comparison = metrics.model_comparison(s.metrics(), ["card"])
+    report = segments.segment_report(_segments(s))
     return products.memo_facts(products.revenue_impact(s.features(), test), comparison, segments.rounded(report))

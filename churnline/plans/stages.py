@@ -95,10 +95,16 @@ class Stages:
         return attribution.linear_attributions(self.features(), CARD, self.columns())
 
     def importance(self) -> DataFrame:
-        return attribution.global_importance(self.attributions(), self.columns())
+        build = lambda: attribution.global_importance(self.attributions(), self.columns())
+        return staged(self.spark, "importance", (self.folder,), build)
 
-    def candidates(self, **limits) -> DataFrame:
-        return segments.segment_candidates(self.features(), self.columns(), self.importance(), **limits)
+    def halves(self) -> DataFrame:
+        build = lambda: segments.segment_halves(self.features(), self.columns(), self.importance())
+        return staged(self.spark, "halves", (self.folder,), build)
+
+    def metrics(self) -> DataFrame:
+        build = lambda: metrics.evaluation_metrics(self.scored_test(), "card")
+        return staged(self.spark, "metrics", (self.folder,), build)
 
     # ---- trained models --------------------------------------------------------------
 

@@ -81,7 +81,7 @@ def test_segments_follow_the_rules(spark):
     data = planted(spark, rows)
     importance = spark.createDataFrame([("flag", 0.2), ("noise", 0.3), ("rare", 0.9)], "feature string, mean_abs double")
     columns = ["flag", "noise", "rare"]
-    candidates = segments.segment_candidates(data, columns, importance)
+    candidates = segments.segment_candidates(segments.segment_halves(data, columns, importance))
     table = {r["feature"]: r for r in candidates.collect()}
     assert table["rare"]["qualifies"] == 0 and table["rare"]["n_high"] == 30
     frame = data.toPandas()
