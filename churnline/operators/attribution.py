@@ -200,7 +200,7 @@ def customer_breakdown(attributions: DataFrame, columns: list[str], customer: st
 
 
 def _share_of_max(table: DataFrame, value: str, name: str) -> DataFrame:
-    top = table.agg(F.max(value)).scalar()
+    top = F.max(value).over(Window.partitionBy())  # one row per feature
     return table.withColumn(name, F.when(top > 0, F.col(value) / top).otherwise(F.col(value)))
 
 
@@ -255,11 +255,12 @@ def permutation_importance(
     step = F.sum(F.col("pos") * F.col("cum_pos") / F.col("cum_n"))
     ap = curve.groupBy(*scenario).agg((step / F.nullif(F.sum("pos"), F.lit(0))).alias("ap"))
 
-    base = ap.where(F.col("position") == -1).agg(F.max("ap").alias("ap"))
+    base = F.max(F.when(F.col("position") == -1, F.col("ap"))).over(Window.partitionBy())  # one row per scenario
     loss = (
-        with_row(ap.where(F.col("position") >= 0), "base", base)
+        ap.select("position", "ap", base.alias("base"))
+        .where(F.col("position") >= 0)
         .groupBy("position")
-        .agg(F.avg(F.coalesce(F.col("base.ap") - F.col("ap"), F.lit(0.0))).alias("loss"))
+        .agg(F.avg(F.coalesce(F.col("base") - F.col("ap"), F.lit(0.0))).alias("loss"))
         .select(F.get(_names(columns), F.col("position")).alias("feature"), "loss")
     )
     return _share_of_max(loss, "loss", "perm_norm")

@@ -153,6 +153,8 @@ def test_whatif(spark):
     assert got[("q", "more_b")]["direction"] == "unchanged" and got[("q", "more_b")]["changed"] == ""
     assert got[("p", "both")]["changed"] == "a, b" and got[("p", "both")]["new_score"] == sigmoid(-3)
     assert got[("q", "both")]["changed"] == "b"
+    with pytest.raises(Exception, match="unknown feature in scenario: a"):
+        products.whatif_card(people, scenarios, ["b"], ScoreCard(0.0, {"b": 1.0}).score).collect()
 
 
 def test_revenue_arithmetic(spark):
