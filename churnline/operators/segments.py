@@ -14,15 +14,17 @@ SEGMENTS = 3
 ACCURACY = 10_000
 
 
-def _exact_medians(features: DataFrame, columns: list[str], brackets: DataFrame) -> DataFrame:
-    """Exact medians from the rows between two approximate quantiles around the middle.
+def _exact_medians(features: DataFrame, columns: list[str], summary: DataFrame) -> DataFrame:
+    """Add exact medians, from the rows between two approximate quantiles around the middle.
 
     Rows under the bracket are only counted, equal values are counted together, so the
     ranking per feature sees a few ten-thousandths of the rows at most.
     """
-    inside = feature_rows(features, columns).join(F.broadcast(brackets), "feature").where(F.col("value") <= F.col("upper"))
+    # The summary has one row per feature.
+    inside = feature_rows(features, columns).join(F.broadcast(summary), "feature").where(F.col("value") <= F.col("upper"))
     point = F.when(F.col("value") >= F.col("lower"), F.col("value"))
-    counted = inside.groupBy("feature", "n", point.alias("point")).agg(F.count(F.lit(1)).alias("here"))
+    facts = ["feature", "n", "lo", "hi", "mean"]
+    counted = inside.groupBy(*facts, point.alias("point")).agg(F.count(F.lit(1)).alias("here"))
     upward = Window.partitionBy("feature").orderBy(F.asc_nulls_first("point"))
     placed = counted.withColumn("cum", F.sum("here").over(upward))
 
@@ -30,7 +32,7 @@ def _exact_medians(features: DataFrame, columns: list[str], brackets: DataFrame)
         return F.min(F.when(F.col("cum") >= rank, F.col("point")))
 
     lower_middle, upper_middle = F.floor((F.col("n") + 1) / 2), F.floor((F.col("n") + 2) / 2)
-    return placed.groupBy("feature").agg(((at(lower_middle) + at(upper_middle)) / 2).alias("median"))
+    return placed.groupBy(*facts).agg(((at(lower_middle) + at(upper_middle)) / 2).alias("median"))
 
 
 def feature_split_points(features: DataFrame, columns: list[str], accuracy: int = ACCURACY) -> DataFrame:
@@ -51,13 +53,11 @@ def feature_split_points(features: DataFrame, columns: list[str], accuracy: int
             F.percentile_approx("value", around, accuracy).alias("q"),
         )
         .where(F.col("lo") < F.col("hi"))
+        .withColumns({"lower": F.get("q", F.lit(0)), "upper": F.get("q", F.lit(1))})
+        .drop("q")
     )
-    brackets = summary.select(
-        "feature", "n", F.get("q", F.lit(0)).alias("lower"), F.get("q", F.lit(1)).alias("upper")
-    )
-    medians = _exact_medians(features, columns, brackets)
     extreme = (F.col("median") == F.col("lo")) | (F.col("median") == F.col("hi"))
-    return summary.join(medians, "feature").select(
+    return _exact_medians(features, columns, summary).select(
         "feature",
         F.col("lo").alias("min_value"),
         F.col("hi").alias("max_value"),

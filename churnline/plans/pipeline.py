@@ -52,7 +52,7 @@ def evaluation(s: Stages, threshold: float) -> dict[str, DataFrame]:
 
 def interpretation(s: Stages) -> dict[str, DataFrame]:
     contributions, columns = s.tree_attributions(), s.columns()
-    permutation = attribution.permutation_importance(s.trees(), splits.fixed_sample(s.features()), columns)
+    permutation = attribution.permutation_importance(s.trees(), s.sample(), columns)
     base = attribution.tree_base_value(s.nodes())
     return {
         "attributions": contributions,

@@ -455,8 +455,7 @@ def gain_importance(s: Stages) -> DataFrame:
 
 
 def _permutation(s: Stages) -> DataFrame:
-    sample = splits.fixed_sample(s.features())
-    return attribution.permutation_importance(s.trees(), sample, s.columns())
+    return attribution.permutation_importance(s.trees(), s.sample(), s.columns())
 
 
 @query

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from churnline.operators import attribution, metrics, segments, training
 from churnline.operators.features import FeatureEncoder, feature_columns
-from churnline.operators.splits import FOLDS, ordered_holdout, stratified_folds
+from churnline.operators.splits import FOLDS, fixed_sample, ordered_holdout, stratified_folds
 from churnline.operators.training import ScoreCard
 from churnline.schema import KEY, LABEL
 from churnline.session import fresh_path, once, shared_folder, staged
@@ -83,6 +83,10 @@ class Stages:
     def train(self) -> DataFrame:
         return self.modelling().where(F.col("split") == "train")
 
+    def sample(self) -> DataFrame:
+        """The fixed sample that permutation importance works on."""
+        return staged(self.spark, "sample", (self.folder,), lambda: fixed_sample(self.features()))
+
     # ---- the given model -----------------------------------------------------------
 
     def scored(self) -> DataFrame:
