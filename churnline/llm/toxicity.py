@@ -1,13 +1,16 @@
 """Operator 3, toxicity: multiple-instance learning from document labels.
 
-A sentence s with words W has p(s) = sigmoid(bias + sum of the weights of W); the document
-has 1 - product(1 - p(s)), the noisy-or of its sentences. Weights are learned from document
-labels alone by gradient steps over all partitions of the training rows; afterwards p(s)
+A sentence s has p(s) = sigmoid(bias + the weights of its distinct words); the document has
+1 - product(1 - p(s)), the noisy-or of its sentences. A word's weight is the sum over its
+features: the word itself and its beginnings of 3 to 6 characters, so that inflected or
+lengthened forms of an insult share what is learned. Weights are learned from document
+labels alone, by gradient steps over all partitions of the training rows; afterwards p(s)
 tells which sentences are to blame (``offending``).
 
-Words are runs of letters, digits and non-ASCII bytes, A-Z lower-cased, hashed to 2**BITS
-weights. Training takes TRAIN_ROWS labelled documents at most in expectation (a hash of the
-id picks them evenly), each distinct text once, with the mean of its labels. Null ids or
+Words are runs of letters, digits and non-ASCII characters, A-Z lower-cased. Training takes
+TRAIN_ROWS labelled documents at most in expectation (a hash of the id picks them evenly),
+each distinct text once, with the mean of its labels. Only features of MIN_DOCS documents
+or more that stand with label 1 beyond chance (MIN_Z deviations) get a weight. Null ids or
 labels are not learned from; several labels of one document count as toxic if any is.
 
 Null and empty texts have no sentence and score 0. Without training rows of both labels
@@ -16,6 +19,7 @@ every text scores 0. Whole texts are scored, rows are never dropped or merged.
 
 from __future__ import annotations
 
+import math
 import re
 import zlib
 from collections.abc import Iterator
@@ -27,213 +31,197 @@ from pyspark.sql import functions as F
 
 from churnline.llm.common import fold, free_name, table, written
 
-BITS = 18
 TRAIN_ROWS = 20_000
-STEPS = 50
-RATE = 0.25
-RIDGE = 1e-4
 MIN_DOCS = 5
+MIN_Z = 4.0
+BEGINNINGS = (3, 4, 5, 6)
+STEPS = 40
+RATE = 0.4
+RIDGE = 1e-5
+START_BIAS = -6.0
 FOLDS = 5
 CACHE = 500_000
 
 _SENTENCE = re.compile(rb"[.!?\n]+")
 _WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
-_FEATURES = pa.struct([("words", pa.list_(pa.int32())), ("lengths", pa.list_(pa.int32()))])
 
 
-class Hasher:
-    """Word numbers, remembered for the words seen last."""
+def split_words(text: str | None) -> list[list[bytes]]:
+    """The distinct words of each sentence that has any."""
+    found = (_WORD.findall(s) for s in _SENTENCE.split((text or "").encode().lower()))
+    return [list(dict.fromkeys(words)) for words in found if words]
 
-    def __init__(self) -> None:
-        self.known: dict[bytes, int] = {}
 
-    def of(self, words: list[bytes]) -> list[int]:
-        known, out = self.known, []
-        for w in words:
-            n = known.get(w)
-            if n is None:
-                if len(known) >= CACHE:
-                    known.clear()
-                n = known[w] = zlib.crc32(w) & ((1 << BITS) - 1)
-            out.append(n)
-        return out
+def word_features(word: bytes) -> list[int]:
+    """32-bit hashes of the word and of its beginnings."""
+    chars = word.decode(errors="ignore")
+    return [zlib.crc32(word), *(zlib.crc32(b"^" + chars[:k].encode()) for k in BEGINNINGS if len(chars) >= k)]
 
 
-def sentences(text: str | None) -> list[bytes]:
-    return [s for s in _SENTENCE.split((text or "").encode()) if s.strip()]
+class Remembered(dict):
+    """Values by word, made when first asked for; emptied at CACHE words."""
 
+    def __init__(self, make):
+        super().__init__()
+        self.make = make
 
-def _numbered(text: str | None, hasher: Hasher) -> tuple[list[int], list[int]]:
-    """Distinct word numbers of all sentences in one list, and how many each sentence has."""
-    words: list[int] = []
-    lengths: list[int] = []
-    for sentence in _SENTENCE.split((text or "").encode().lower()):
-        if found := _WORD.findall(sentence):
-            numbers = dict.fromkeys(hasher.of(found))
-            words += numbers
-            lengths.append(len(numbers))
-    return words, lengths
-
-
-def _sentence_scores(weights: np.ndarray, words: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    """p(s) of each sentence; the last weight is the bias."""
-    if not len(lengths):
-        return np.zeros(0)
-    starts = np.cumsum(lengths) - lengths
-    z = np.add.reduceat(weights[words], starts) + weights[-1]
-    return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
-
-
-def features():
-    """Column function: word numbers of a text's sentences, one list, and their counts."""
-
-    @F.arrow_udf("struct<words:array<int>,lengths:array<int>>")
-    def numbered(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        hasher = Hasher()
-        for texts in batches:
-            rows = [_numbered(t.as_py(), hasher) for t in texts]
-            yield pa.array([{"words": w, "lengths": n} for w, n in rows], _FEATURES)
-
-    return numbered
+    def __missing__(self, word: bytes):
+        if len(self) >= CACHE:
+            self.clear()
+        value = self[word] = self.make(word)
+        return value
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, limit: int = TRAIN_ROWS) -> DataFrame:
-    """(y, words, lengths) of the distinct labelled texts outside the held-out fold."""
+    """(text, y) of the distinct labelled texts outside the held-out fold."""
     known = (
         labels.where("doc_id is not null and toxic is not null")
         .where(fold("doc_id", FOLDS) != 0)
         .groupBy("doc_id")
-        .agg(F.max("toxic").alias("y"))
+        .agg(F.max("toxic").cast("double").alias("y"))
     )
     n = known.count()
     if n > limit:
         known = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(1e6 * limit / n))
     # At most about ``limit`` ids and labels, as documented.
-    texts = docs.select("doc_id", "text").join(F.broadcast(known), "doc_id")
-    numbered = texts.select(F.xxhash64("text").alias("same"), "y", features()("text").alias("f"))
-    # Equal texts have equal features, so any row's will do.
-    one = numbered.groupBy("same").agg(F.avg("y").alias("y"), F.first("f").alias("f"))
-    return written(one.select("y", "f.words", "f.lengths"), "toxicity")
-
-
-def _pass_over(rows: DataFrame, work) -> np.ndarray | None:
-    """Sum over all partitions of the vectors that ``work`` makes of their batches."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = None
+    texts = docs.select("doc_id", "text").where("text is not null").join(F.broadcast(known), "doc_id")
+    one = texts.groupBy(F.xxhash64("text").alias("same")).agg(F.avg("y").alias("y"), F.first("text").alias("text"))
+    return written(one.select("text", "y"), "toxicity")
+
+
+def chosen_features(rows: DataFrame) -> list[int]:
+    """Features that stand with label 1 more often than chance explains, in order."""
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        features = Remembered(word_features)
+        counts: dict[int, list[float]] = {}
+        for batch in batches:
+            for text, y in zip(batch.column("text").to_pylist(), batch.column("y").to_pylist()):
+                words = {w for s in split_words(text) for w in s}
+                for f in {f for w in words for f in features[w]}:
+                    got = counts.setdefault(f, [0, 0.0])
+                    got[0] += 1
+                    got[1] += y
+        if counts:
+            columns = [pa.array(counts, pa.int64()), *(pa.array([v[i] for v in counts.values()], pa.float64()) for i in (0, 1))]
+            yield pa.RecordBatch.from_arrays(columns, names=["f", "n", "pos"])
+
+    total = rows.agg(F.count("*").alias("n"), F.sum("y").alias("pos")).first()
+    if not total.n or not 0 < total.pos < total.n:
+        return []
+    rate = total.pos / total.n
+    sums = rows.mapInArrow(counted, "f long, n double, pos double").groupBy("f").agg(F.sum("n").alias("n"), F.sum("pos").alias("pos"))
+    z = (F.col("pos") - F.col("n") * rate) / F.sqrt(F.col("n") * (rate * (1 - rate)))
+    # Bounded, as the training rows are.
+    return sorted(r.f for r in sums.where((F.col("n") >= MIN_DOCS) & (z >= MIN_Z)).select("f").collect())
+
+
+def compact(rows: DataFrame, features: list[int]) -> DataFrame:
+    """(y, sentences, sentence, feature): per text, its sentences and where the features stand."""
+    place = {f: i for i, f in enumerate(features)}
+
+    def reduced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        places = Remembered(lambda w: [place[f] for f in word_features(w) if f in place])
+        for batch in batches:
+            sizes, sentences, found = [], [], []
+            for text in batch.column("text").to_pylist():
+                split = split_words(text)
+                hits = [(i, f) for i, words in enumerate(split) for w in words for f in places[w]]
+                sizes.append(len(split))
+                sentences.append([i for i, _ in hits])
+                found.append([f for _, f in hits])
+            kinds = pa.list_(pa.int32())
+            columns = [batch.column("y"), pa.array(sizes, pa.int32()), pa.array(sentences, kinds), pa.array(found, kinds)]
+            yield pa.RecordBatch.from_arrays(columns, names=["y", "sentences", "sentence", "feature"])
+
+    return written(rows.mapInArrow(reduced, "y double, sentences int, sentence array<int>, feature array<int>"), "toxicity")
+
+
+def _gradient(compacted: DataFrame, weights: np.ndarray) -> np.ndarray:
+    """Sum over all rows of the slope of the log loss, by weight; the bias last."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(len(weights))
         for b in batches:
-            if b.num_rows:
-                got = work(b)
-                total = got if total is None else total + got
-        if total is not None:
-            at = np.flatnonzero(total)
-            yield pa.RecordBatch.from_arrays([pa.array([at.astype(np.int32).tobytes()]), pa.array([total[at].tobytes()])], names=["at", "value"])
-
-    total = None
-    # One sparse vector per partition of the bounded training rows.
-    for part in rows.mapInArrow(run, "at binary, value binary").collect():
-        if total is None:
-            total = np.zeros((1 << BITS) + 2)
-        total[np.frombuffer(part.at, np.int32)] += np.frombuffer(part.value, np.float64)
-    return total
-
-
-def _arrays(batch: pa.RecordBatch):
-    y = batch.column("y").to_numpy(zero_copy_only=False).astype(float)
-    words, lengths = batch.column("words"), batch.column("lengths")
-    per_doc = np.diff(lengths.offsets.to_numpy())
-    return y, words.flatten().to_numpy(), lengths.flatten().to_numpy(), per_doc
-
-
-def _presence(batch: pa.RecordBatch) -> np.ndarray:
-    """Documents of each word; in the last places positives and documents."""
-    y, words, lengths, per_doc = _arrays(batch)
-    out = np.zeros((1 << BITS) + 2)
-    if len(words):
-        sentence_doc = np.repeat(np.arange(len(y)), per_doc)
-        pairs = np.unique(np.repeat(sentence_doc, lengths).astype(np.int64) << BITS | words)
-        np.add.at(out, pairs & ((1 << BITS) - 1), 1)
-    out[-2:] = y.sum(), len(y)
-    return out
-
-
-def _gradient(weights: np.ndarray):
-    def work(batch: pa.RecordBatch) -> np.ndarray:
-        y, words, lengths, per_doc = _arrays(batch)
-        out = np.zeros((1 << BITS) + 2)
-        out[-1] = len(y)
-        if not len(words):
-            return out
-        p = _sentence_scores(weights, words, lengths)
-        doc = np.repeat(np.arange(len(y)), per_doc)
-        whole = -np.expm1(np.bincount(doc, np.log1p(-np.minimum(p, 1 - 1e-12)), len(y)))
-        whole = np.maximum(whole, 1e-12)
-        slope = p * ((1 - y) - y * (1 - whole) / whole)[doc]
-        out[: 1 << BITS] += np.bincount(words, np.repeat(slope, lengths), 1 << BITS)
-        out[-2] = slope.sum()
-        return out
-
-    return work
-
-
-def train(rows: DataFrame) -> np.ndarray | None:
-    """Weights, the bias last; None without both labels."""
-    seen = _pass_over(rows, _presence)
-    if seen is None or not 0 < seen[-2] < seen[-1]:
+            y = b.column("y").to_numpy(zero_copy_only=False)
+            sizes = b.column("sentences").to_numpy(zero_copy_only=False).astype(np.int64)
+            hits = np.diff(b.column("sentence").offsets.to_numpy())
+            first = np.cumsum(sizes) - sizes
+            at = b.column("sentence").flatten().to_numpy() + np.repeat(first, hits)
+            feature = b.column("feature").flatten().to_numpy()
+            n = int(sizes.sum())
+            z = weights[-1] + np.bincount(at, weights[feature], n)
+            p = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+            doc = np.repeat(np.arange(len(y)), sizes)
+            whole = np.maximum(-np.expm1(np.bincount(doc, np.log1p(-p), len(y))), 1e-12)
+            slope = p * ((1 - y) - y * (1 - whole) / whole)[doc]
+            total[:-1] += np.bincount(feature, slope[at], len(weights) - 1)
+            total[-1] += slope.sum()
+        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()])], names=["part"])
+
+    # One vector per partition of the bounded training rows.
+    return sum(np.frombuffer(r.part, np.float64) for r in compacted.mapInArrow(work, "part binary").collect())
+
+
+def train(rows: DataFrame) -> dict[int, float] | None:
+    """Weight by feature, the bias under -1; None without both labels."""
+    n, pos = rows.agg(F.count("*"), F.sum("y")).first()
+    if not n or not 0 < pos < n:
         return None
-    used = np.append(seen[:-2] >= MIN_DOCS, True)
-    weights = np.zeros((1 << BITS) + 1)
-    weights[-1] = -5.0
+    features = chosen_features(rows)
+    compacted = compact(rows, features)
+    weights = np.append(np.zeros(len(features)), START_BIAS)
     mean, square = np.zeros_like(weights), np.zeros_like(weights)
     for step in range(1, STEPS + 1):
-        got = _pass_over(rows, _gradient(weights))
-        slope = got[:-1] / got[-1] + RIDGE * np.append(weights[:-1], 0.0)
-        slope[~used] = 0
+        slope = _gradient(compacted, weights) / n + RIDGE * np.append(weights[:-1], 0.0)
         mean = 0.8 * mean + 0.2 * slope
         square = 0.95 * square + 0.05 * slope * slope
-        move = (mean / (1 - 0.8**step)) / (np.sqrt(square / (1 - 0.95**step)) + 1e-7)
-        weights -= RATE * (1 if step <= STEPS // 2 else 2 * (1 - step / (STEPS + 1))) * move
-    return weights
+        move = (mean / (1 - 0.8**step)) / (np.sqrt(square / (1 - 0.95**step)) + 1e-8)
+        weights = weights - RATE * min(1.0, 2 * (1 - step / (STEPS + 1))) * move
+    return dict(zip(features, weights[:-1].tolist())) | {-1: float(weights[-1])}
+
+
+def sentence_scores(weights: dict[int, float], by_word: Remembered, sentences: list[list[bytes]]) -> list[float]:
+    get, bias = by_word.__getitem__, weights[-1]
+    return [1 / (1 + math.exp(-max(-30.0, min(30.0, bias + sum(map(get, words)))))) for words in sentences]
+
+
+def _by_word(weights: dict[int, float]) -> Remembered:
+    return Remembered(lambda word: sum(weights.get(f, 0.0) for f in word_features(word)))
 
 
-def scorer(weights: np.ndarray | None):
-    """Column function: score of a text, from 0 to 1."""
-    spark = SparkSession.active()
-    # 2 MB, whatever the corpus.
-    shared = spark.sparkContext.broadcast(None if weights is None else weights)
+def scorer(weights: dict[int, float] | None):
+    """Column function: score of a text, from 0 to 1. The weights' number is bounded by the training rows."""
 
     @F.arrow_udf("double")
     def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        weights, hasher = shared.value, Hasher()
+        by_word = _by_word(weights or {})
         for texts in batches:
             out = []
             for t in texts:
-                value = 0.0
+                clean = 0.0
                 if weights is not None:
-                    words, lengths = _numbered(t.as_py(), hasher)
-                    p = _sentence_scores(weights, np.array(words, dtype=np.int64), np.array(lengths, dtype=np.int64))
-                    value = float(-np.expm1(np.log1p(-np.minimum(p, 1 - 1e-12)).sum()))
-                out.append(min(1.0, max(0.0, value)))
+                    clean = sum(math.log1p(-p) for p in sentence_scores(weights, by_word, split_words(t.as_py())))
+                out.append(max(0.0, -math.expm1(clean)))
             yield pa.array(out, pa.float64())
 
     return score
 
 
-def offending(docs: DataFrame, weights: np.ndarray | None, least: float = 0.5) -> DataFrame:
+def offending(docs: DataFrame, weights: dict[int, float] | None, least: float = 0.5) -> DataFrame:
     """(doc_id, sentence number, sentence, score) of the sentences that score ``least`` or more."""
     kind = pa.list_(pa.struct([("number", pa.int32()), ("sentence", pa.string()), ("score", pa.float64())]))
 
     @F.arrow_udf("array<struct<number:int,sentence:string,score:double>>")
     def located(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        hasher = Hasher()
+        by_word = _by_word(weights or {})
         for texts in batches:
             rows = []
             for t in texts:
                 found = []
-                for number, s in enumerate(sentences(t.as_py()) if weights is not None else []):
-                    words, lengths = _numbered(s.decode(errors="replace"), hasher)
-                    if lengths:
-                        p = float(_sentence_scores(weights, np.array(words), np.array(lengths))[0])
+                for number, s in enumerate(_SENTENCE.split((t.as_py() or "").encode()) if weights is not None else []):
+                    if split := split_words(s.decode(errors="replace")):
+                        p = sentence_scores(weights, by_word, split)[0]
                         if p >= least:
                             found.append({"number": number, "sentence": s.decode(errors="replace"), "score": p})
                 rows.append(found)
@@ -242,7 +230,7 @@ def offending(docs: DataFrame, weights: np.ndarray | None, least: float = 0.5) -
     return docs.select("doc_id", F.explode(located("text")).alias("s")).select("doc_id", "s.*")
 
 
-def fitted(docs: DataFrame, labels: DataFrame) -> np.ndarray | None:
+def fitted(docs: DataFrame, labels: DataFrame) -> dict[int, float] | None:
     return train(training_rows(docs, labels))
 
 
