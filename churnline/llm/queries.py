@@ -7,10 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from churnline.llm.decontamination import op10_decontamination
+from churnline.llm.licenses import op5_licenses
 from churnline.llm.quality import op9_quality
 from churnline.llm.sharding import op1_sharding
+from churnline.llm.simhash import op7_simhash
 from churnline.llm.tokens import op4_token_counts
 from churnline.llm.toxicity import op3_toxicity
+from churnline.llm.url_filters import op6_url_filters
 
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -18,6 +21,9 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_sharding": op1_sharding,
         "op3_toxicity": op3_toxicity,
         "op4_token_counts": op4_token_counts,
+        "op5_licenses": op5_licenses,
+        "op6_url_filters": op6_url_filters,
+        "op7_simhash": op7_simhash,
         "op9_quality": op9_quality,
         "op10_decontamination": op10_decontamination,
     }
