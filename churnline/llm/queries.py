@@ -6,8 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from churnline.llm.context_tree import op2_context_tree
 from churnline.llm.decontamination import op10_decontamination
 from churnline.llm.licenses import op5_licenses
+from churnline.llm.packing import op8_packing
 from churnline.llm.quality import op9_quality
 from churnline.llm.sharding import op1_sharding
 from churnline.llm.simhash import op7_simhash
@@ -19,11 +21,13 @@ from churnline.llm.url_filters import op6_url_filters
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_sharding": op1_sharding,
+        "op2_context_tree": op2_context_tree,
         "op3_toxicity": op3_toxicity,
         "op4_token_counts": op4_token_counts,
         "op5_licenses": op5_licenses,
         "op6_url_filters": op6_url_filters,
         "op7_simhash": op7_simhash,
+        "op8_packing": op8_packing,
         "op9_quality": op9_quality,
         "op10_decontamination": op10_decontamination,
     }
