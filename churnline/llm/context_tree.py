@@ -184,7 +184,7 @@ class Model:
                 key = ((context & ((1 << 8 * d) - 1)) << 8) | decided | (d << 48)
                 at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
                 here = self.keys[at] == key
-                one, stop = self.one[at], self.stop[at]
+                one, stop = self.one[at].astype(np.float64), self.stop[at]
                 mixed = np.where(below, stop * one + (1 - stop) * p, one)
                 p = np.where(here, mixed, p)
                 below |= here
@@ -196,22 +196,22 @@ def fitted(counts: DataFrame, depth: int = DEPTH, share: int = NODE_SHARE) -> Mo
     places = counts.where("string is not null").agg(F.sum("n")).first()[0] or 0
     kept = nodes(counts, max(1, -(-places // share)), depth)
     # 8 * share rows per depth at most.
-    sent = kept.select("key", F.col("one").cast("double"), "stop").toPandas()
-    return Model(sent["key"].to_numpy(np.int64), sent["one"].to_numpy(np.float64), sent["stop"].to_numpy(np.float64), depth)
+    sent = kept.select("key", F.col("one").cast("float"), F.col("stop").cast("float")).toArrow()
+    return Model(*(sent.column(c).to_numpy() for c in ("key", "one", "stop")), depth)
 
 
 _SCORED = [("score", pa.float64()), ("n_bytes", pa.int64()), ("n_tokens", pa.int64()), ("hot_known", pa.int64()), ("hot_score", pa.float64()), ("words", pa.list_(pa.string())), ("times", pa.list_(pa.int64()))]
 
 
-def scorer(model: Model, hot: dict[bytes, float]):
-    """Column function: model score of a text, its sums over hot words, and its other words."""
+def scorer(model: Model, hot: pa.Table):
+    """Column function: model score of a text, its sums over hot words (word, value), and its other words."""
     spark = SparkSession.active()
     shared = spark.sparkContext.broadcast((model, hot))
 
     @F.arrow_udf("struct<score:double,n_bytes:long,n_tokens:long,hot_known:long,hot_score:double,words:array<string>,times:array<long>>")
     def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         model, hot = shared.value
-        get = hot.get
+        get = dict(zip(hot.column("word").cast(pa.binary()).to_pylist(), hot.column("value").to_pylist())).get
         for batch in batches:
             rows = []
             texts = [(t.as_py() or "").encode() for t in batch]
@@ -254,18 +254,17 @@ def score(docs: DataFrame, train: Column, depth: int = DEPTH) -> DataFrame:
     counts = corpus_counts(docs.where(train), depth)
     words = counts.where("word is not null").select("word", "n")
     tokens, distinct = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    of_count = lambda n: math.log10((n + 0.1) / (tokens + 0.1 * (distinct + 1)))
+    log10 = lambda n: F.log10((n + 0.1) / F.lit(tokens + 0.1 * (distinct + 1)))
     least = max(1, -(-tokens // HOT_SHARE))
     # HOT_SHARE words at most.
-    hot = {r.word.encode(): of_count(r.n) for r in words.where(F.col("n") >= least).toLocalIterator()}
+    hot = words.where(F.col("n") >= least).select("word", log10(F.col("n")).alias("value")).toArrow()
     given = docs.select("doc_id", "text", F.monotonically_increasing_id().alias("row"))
     scored = written(given.select("row", "doc_id", scorer(fitted(counts, depth), hot)("text").alias("s")).select("row", "doc_id", "s.*"), "scored")
     rare = scored.select("row", F.explode(F.arrays_zip("words", "times")).alias("w")).select("row", F.col("w.words").alias("word"), F.col("w.times").alias("times"))
     # No word of this join makes up more than one in HOT_SHARE of the training tokens.
     counted = rare.join(words.where(F.col("n") < least), "word", "left")
     n = F.coalesce("n", F.lit(0))
-    log = F.log10((n + 0.1) / F.lit(tokens + 0.1 * (distinct + 1)))
-    sums = counted.groupBy("row").agg(F.sum(F.when(n > 0, F.col("times")).otherwise(0)).alias("known"), F.sum(F.col("times") * log).alias("base"))
+    sums = counted.groupBy("row").agg(F.sum(F.when(n > 0, F.col("times")).otherwise(0)).alias("known"), F.sum(F.col("times") * log10(n)).alias("base"))
     both = scored.drop("words", "times").join(sums, "row", "left")
     return both.select(
         "doc_id",
