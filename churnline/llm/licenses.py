@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from churnline.llm.common import ascii_lower, table, words
+from churnline.llm.common import ascii_lower, table, words, written
 
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 K = 2
@@ -107,7 +107,8 @@ def scan(docs: DataFrame, phrases=PHRASES, notices=NOTICES, k: int = K) -> DataF
     spark = docs.sparkSession
     given = templates(spark, phrases, notices, k)
     names = given.select("template", "label").distinct()
-    voted = votes(docs, given, k)
+    # Both uses below must see the same row numbers, so the votes are written once.
+    voted = written(votes(docs, given, k), "votes")
     labelled = voted.join(F.broadcast(names), "template", "left")
     place = F.col("exact") & (F.col("votes") == F.col("grams"))
     found = spans(voted, k).where("not exact").join(F.broadcast(names), "template")
