@@ -205,10 +205,13 @@ def _share_of_max(table: DataFrame, value: str, name: str) -> DataFrame:
 
 
 def gain_importance(nodes: DataFrame, columns: list[str]) -> DataFrame:
-    """Mean gain per split of each feature, as a share of the largest; 0 if unused."""
+    """Mean gain per split of each feature, weighted by node cover, as a share of the largest; 0 if unused.
+
+    Spark's gain is per unit of weight, so it is multiplied by the weight that reaches the node.
+    """
     spark = nodes.sparkSession
     named = spark.createDataFrame(list(enumerate(columns)), "position int, feature string")
-    used = nodes.where(F.col("left") >= 0).groupBy(F.col("feature").alias("position")).agg(F.avg("gain").alias("g"))
+    used = nodes.where(F.col("left") >= 0).groupBy(F.col("feature").alias("position")).agg(F.avg(F.col("gain") * F.col("cover")).alias("g"))
     gains = named.join(used, "position", "left").select("feature", F.coalesce("g", F.lit(0.0)).alias("gain"))
     return _share_of_max(gains, "gain", "gain_norm")
 

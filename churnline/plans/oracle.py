@@ -161,6 +161,12 @@ _DRIVER_TEXT = """drivers AS (
   FROM (SELECT *, row_number() OVER (PARTITION BY customerID ORDER BY abs(contribution) DESC, feature) AS place FROM contributions)
   WHERE place <= 3 GROUP BY customerID)"""
 
+# Every feature's contribution; those without a weight contribute nothing.
+_WHOLE = """whole AS MATERIALIZED (
+  SELECT customerID, l.feature, value, CASE WHEN weight IS NULL THEN 0.0::DOUBLE ELSE weight * (value - mean) END AS contribution
+  FROM long l LEFT JOIN weights USING (feature) JOIN (SELECT feature, avg(value) AS mean FROM long GROUP BY feature) USING (feature))
+"""
+
 _TIER = """CASE WHEN score <= 0 OR score > 1 THEN NULL WHEN score <= 0.3 THEN 'Low' WHEN score <= 0.5 THEN 'Medium'
   WHEN score <= 0.7 THEN 'High' ELSE 'Critical' END"""
 
@@ -324,12 +330,12 @@ UNION ALL SELECT 'weighted avg', round(sum(precision * support) / any_value(n),
   round(captured * 100 / greatest(pos, 1), 6) AS pct_captured
 FROM ranked JOIN range(1, 101) t(p) ON place = ceil(n * p / 100)""",
         "evaluation_metrics": f"{MODELLING.rstrip()},\n{METRICS}\nSELECT 'card' AS model, metric, value FROM metrics",
-        "linear_contributions": f"{LONG} SELECT customerID, feature, {_round('value', 'contribution')} FROM contributions",
+        "linear_contributions": f"{LONG.rstrip()},\n{_WHOLE} SELECT customerID, feature, {_round('value', 'contribution')} FROM whole",
         "linear_base_value": f"{FEATURES_CTE} SELECT round(avg({_logit()}), 6) AS base_value FROM features",
         "tree_additivity": f"{FEATURES_CTE} SELECT count(*) AS n_rows, 0::BIGINT AS n_off FROM features",
         "global_importance": f"{LONG} SELECT feature, mean_abs, row_number() OVER (ORDER BY mean_abs DESC, feature) AS rank FROM importance",
-        "beeswarm_points": f"""{LONG} SELECT customerID, feature, {_round('value', 'contribution')} FROM contributions
-WHERE feature IN (SELECT feature FROM importance ORDER BY mean_abs DESC, feature LIMIT 8)""",
+        "beeswarm_points": f"""{LONG.rstrip()},\n{_WHOLE} SELECT customerID, feature, {_round('value', 'contribution')} FROM whole
+WHERE feature IN (SELECT feature FROM importance ORDER BY mean_abs DESC, feature LIMIT 20)""",
         "top_drivers": f"{LONG.rstrip()},\n{_DRIVER_TEXT}\nSELECT customerID, drivers FROM drivers",
         "customer_breakdown": f"""{LONG} SELECT customerID, feature, round(value, 6) AS value, round(coalesce(contribution, 0), 6) AS contribution
 FROM long LEFT JOIN contributions USING (customerID, feature, value) WHERE customerID = (SELECT min(customerID) FROM features)

@@ -14,7 +14,7 @@ from churnline.operators import aggregates, attribution, correlation, metrics, p
 from churnline.operators.features import clean, engineered
 from churnline.plans.queries import WANTED_LEVELS
 from churnline.plans.stages import Stages
-from churnline.sources.artifacts import load_table, save_model, save_table
+from churnline.sources.artifacts import encoder_table, load_table, save_model, save_table
 from churnline.sources.customers import read_customers_csv, register_features
 
 
@@ -42,6 +42,7 @@ def evaluation(s: Stages, threshold: float) -> dict[str, DataFrame]:
     )
     return {
         "split_summary": splits.split_summary(s.modelling()),
+        "class_weights": splits.class_weights(s.train()),
         "tuning_results": training.tuning_results(s.tuned()),
         "metrics": both,
         "model_comparison": metrics.model_comparison(both, ["baseline", "trees"]),
@@ -61,6 +62,7 @@ def interpretation(s: Stages) -> dict[str, DataFrame]:
         "importance_comparison": attribution.importance_comparison(
             attribution.gain_importance(s.nodes(), columns), permutation
         ),
+        "beeswarm_points": attribution.beeswarm_points(contributions, columns),
         "top_drivers": attribution.top_drivers(contributions, columns),
     }
 
@@ -96,7 +98,7 @@ def run(s: Stages, out: str, **gate) -> DataFrame:
         for name, table in tables.items():
             done[name] = load_table(s.spark, save_table(table, f"{out}/{name}"))
 
-    keep({"features": s.features()})
+    keep({"features": s.features(), "encoder": encoder_table(s.spark, s.encoder())})
     register_features(s.spark, f"{out}/features")
     quality.require_quality(done["features"], **gate)
     keep(exploration(s))

@@ -390,8 +390,7 @@ def evaluation_metrics(s: Stages) -> DataFrame:
 
 @query
 def linear_contributions(s: Stages) -> DataFrame:
-    long = attribution.long_attributions(s.attributions(), s.columns())
-    return segments.rounded(long.where(F.col("feature").isin(*CARD.weights)))
+    return segments.rounded(attribution.long_attributions(s.attributions(), s.columns()))
 
 
 @query
@@ -434,7 +433,7 @@ def tree_importance(s: Stages) -> DataFrame:
 
 @query
 def beeswarm_points(s: Stages) -> DataFrame:
-    return segments.rounded(attribution.beeswarm_points(s.attributions(), s.columns(), top=8))
+    return segments.rounded(attribution.beeswarm_points(s.attributions(), s.columns()))
 
 
 @query

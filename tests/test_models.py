@@ -203,12 +203,12 @@ def test_tree_attributions_add_up_to_the_log_odds(small_trees):
     assert worst["n"] == 2400 and worst["gap"] < 1e-9
 
 
-def test_gain_importance_is_the_mean_gain_of_used_features(small_trees):
+def test_gain_importance_is_the_mean_weighted_gain_of_used_features(small_trees):
     used, _, model = small_trees
     nodes = attribution.tree_nodes(model)
     table = nodes.toPandas()
     inner = table[table["left"] >= 0]
-    means = {used[int(f)]: g["gain"].mean() for f, g in inner.groupby("feature")}
+    means = {used[int(f)]: (g["gain"] * g["cover"]).mean() for f, g in inner.groupby("feature")}
     got = {r["feature"]: r for r in attribution.gain_importance(nodes, [*used, "never"]).collect()}
     assert got["never"]["gain_norm"] == 0.0
     for name, value in means.items():

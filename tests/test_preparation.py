@@ -123,3 +123,12 @@ def test_feature_table_round_trip(spark, customers, tmp_path):
     assert register_features(spark, path) == 3000
     assert spark.table("features").columns == table.columns
     assert spark.table("features").exceptAll(table).count() == 0
+
+
+def test_saved_encoder_makes_the_same_columns(spark, tmp_path):
+    from churnline.operators.features import FeatureEncoder
+    from churnline.sources.artifacts import encoder_table, load_encoder, save_table
+
+    encoder = FeatureEncoder({"InternetService": ["DSL", "Fiber optic", "No"], "PaymentMethod": ["b", "a"]})
+    save_table(encoder_table(spark, encoder), f"{tmp_path}/encoder")
+    assert load_encoder(spark, f"{tmp_path}/encoder") == encoder
