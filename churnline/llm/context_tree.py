@@ -8,10 +8,13 @@ half the product of its children's, so all depths are mixed with weights the dat
 
 Training is distributed: byte strings of DEPTH + 1 are counted in all training texts, folded
 into the deepest nodes, and folded upwards one depth at a time with the logarithms of the
-weighted probabilities. Scoring needs each node's estimate and weight. Nodes that hold less
-than one in NODE_SHARE of the training bytes are not sent to the scoring tasks (there the
-mixture ends one depth earlier), so at most 8 * NODE_SHARE nodes per depth are, whatever the
-corpus; counts and weights always come from all of it.
+weighted probabilities. All nodes are kept, so the model grows with the corpus.
+
+Scoring needs the probability of each byte string that occurs. Distinct strings meet the nodes
+of their contexts in buckets dealt by the last TOP_BYTES + 1 bytes; nodes of shorter contexts
+(2^24 at most) are sent to all. Strings that make up one in HOT_STRINGS of all places or more
+(HOT_STRINGS at most) are then sent to the scoring tasks with their values; the others are
+joined per text, so none of that join's keys is frequent.
 
 Unigram base scores use the counts of all training words. Words that make up one in HOT_SHARE
 of them or more (HOT_SHARE words at most) are sent along; the others are joined.
@@ -37,10 +40,12 @@ from churnline.llm.common import fold, table, written
 DEPTH = 5
 FOLDS = 10
 END = b"\xff"  # in no UTF-8 text
-NODE_SHARE = 1 << 18
+HOT_STRINGS = 1 << 22
 HOT_SHARE = 1 << 20
+TOP_BYTES = 2
+BUCKET_STRINGS = 50_000
 MERGE_AT = 3_000_000
-CACHE = 4_000_000
+BLOCK_BYTES = 4_000_000
 #: The counted end of a text; white space, so no word equals it.
 END_WORD = "\n"
 
@@ -62,45 +67,66 @@ def strings(texts: list[bytes], depth: int = DEPTH) -> tuple[np.ndarray, np.ndar
     return packed[own], lengths
 
 
-def _merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-    codes, distinct = pd.factorize(np.concatenate([k for k, _ in parts]))
-    return distinct, np.bincount(codes, np.concatenate([n for _, n in parts])).astype(np.int64)
+def blocks(texts: list[bytes]) -> Iterator[slice]:
+    """Runs of texts of about BLOCK_BYTES."""
+    start = size = 0
+    for i, t in enumerate(texts):
+        size += len(t) + 1
+        if size >= BLOCK_BYTES or i == len(texts) - 1:
+            yield slice(start, i + 1)
+            start, size = i + 1, 0
+
 
+def _merged(parts: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
+    codes, distinct = pd.factorize(np.concatenate([p[0] for p in parts]))
+    sums = (np.bincount(codes, np.concatenate([p[i] for p in parts])).astype(np.int64) for i in (1, 2))
+    return distinct, *sums
 
-def corpus_counts(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
-    """(string, word, n): counts of byte strings and of words, the other column null."""
+
+def corpus_counts(docs: DataFrame, train: Column, depth: int = DEPTH) -> DataFrame:
+    """(string, word, n, total): training counts of byte strings and of words, the other column null.
+
+    ``total`` counts a string in all texts; strings that training lacks have ``n`` 0.
+    """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts: list[tuple[np.ndarray, np.ndarray]] = []
+        parts: list[tuple[np.ndarray, ...]] = []
         words: Counter[bytes] = Counter()
 
+        def rows(*columns: pa.Array) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays(list(columns), names=["string", "word", "n", "total"])
+
         def flush() -> Iterator[pa.RecordBatch]:
             if parts:
-                keys, n = _merged(parts)
-                yield pa.RecordBatch.from_arrays([pa.array(keys), pa.nulls(len(keys), pa.string()), pa.array(n)], names=["string", "word", "n"])
+                keys, n, total = _merged(parts)
+                yield rows(pa.array(keys), pa.nulls(len(keys), pa.string()), pa.array(n), pa.array(total))
             if words:
-                names = pa.array(list(words), pa.binary()).cast(pa.string())
-                yield pa.RecordBatch.from_arrays([pa.nulls(len(names), pa.int64()), names, pa.array(words.values(), pa.int64())], names=["string", "word", "n"])
+                names, n = pa.array(list(words), pa.binary()).cast(pa.string()), pa.array(words.values(), pa.int64())
+                yield rows(pa.nulls(len(names), pa.int64()), names, n, n)
             parts.clear()
             words.clear()
 
         for batch in batches:
             texts = [(t.as_py() or "").encode() for t in batch.column("text")]
-            for at in range(0, len(texts), 1000):
-                block = texts[at : at + 1000]
-                codes, distinct = pd.factorize(strings(block, depth)[0])
-                parts.append((distinct, np.bincount(codes).astype(np.int64)))
-                for t in block:
-                    words.update(t.lower().split())
-                words[END_WORD.encode()] += len(block)
-                if sum(len(k) for k, _ in parts) > MERGE_AT:
+            learn = batch.column("learn").to_numpy(zero_copy_only=False).astype(bool)
+            for part in blocks(texts):
+                found, lengths = strings(texts[part], depth)
+                codes, distinct = pd.factorize(found)
+                n = np.bincount(codes, np.repeat(learn[part], lengths), len(distinct)).astype(np.int64)
+                parts.append((distinct, n, np.bincount(codes).astype(np.int64)))
+                for t, own in zip(texts[part], learn[part]):
+                    if own:
+                        words.update(t.lower().split())
+                words[END_WORD.encode()] += int(learn[part].sum())
+                if sum(len(p[0]) for p in parts) > MERGE_AT:
                     parts[:] = [_merged(parts)]
                 if len(words) > MERGE_AT // 3 or parts and len(parts[0][0]) > MERGE_AT // 2:
                     yield from flush()
         yield from flush()
 
-    found = docs.select("text").mapInArrow(count, "string long, word string, n long")
-    return written(found.groupBy("string", "word").agg(F.sum("n").alias("n")), "counts")
+    given = docs.select("text", F.coalesce(train, F.lit(False)).alias("learn"))
+    found = given.mapInArrow(count, "string long, word string, n long, total long")
+    return written(found.groupBy("string", "word").agg(F.sum("n").alias("n"), F.sum("total").alias("total")), "counts")
 
 
 def _log_gamma(x: Column) -> Column:
@@ -116,13 +142,13 @@ def log_kt(zeros: Column, ones: Column) -> Column:
     return _log_gamma(zeros + 0.5) + _log_gamma(ones + 0.5) - _log_gamma(zeros + ones + 1.0) - math.log(math.pi)
 
 
-def nodes(counts: DataFrame, least: int, depth: int = DEPTH) -> DataFrame:
-    """(key, one, stop) of the nodes with ``least`` decisions: estimate of a one, and weight of the own estimate.
+def nodes(counts: DataFrame, depth: int = DEPTH) -> DataFrame:
+    """(key, one, stop) of all nodes: estimate of a one, and weight of the own estimate.
 
     ``key`` holds the depth, the context bytes and, in its lowest byte, a one bit followed by
     the bits decided.
     """
-    rows = counts.where("string is not null").select("string", "n")
+    rows = counts.where("string is not null and n > 0").select("string", "n")
     decisions = F.explode(F.array(*[F.struct(F.lit(8 - i).alias("left"), F.lit(1 << i).alias("top")) for i in range(8)]))
     rows = rows.select("string", "n", decisions.alias("d")).select("string", "n", "d.left", "d.top")
     decided = F.expr("(string & 255) >> left").bitwiseOR(F.col("top"))
@@ -138,7 +164,7 @@ def nodes(counts: DataFrame, least: int, depth: int = DEPTH) -> DataFrame:
         level = level.select("at", "zeros", "ones", F.coalesce(both, "own").alias("weighted"), F.coalesce(1 / (1 + F.exp(gap)), F.lit(1.0)).alias("stop"))
         level = written(level, f"depth{d}")
         estimate = (F.col("ones") + 0.5) / (F.col("zeros") + F.col("ones") + 1)
-        sent = level.where(F.col("zeros") + F.col("ones") >= least).select(F.col("at").bitwiseOR(F.lit(d << 48)).alias("key"), estimate.alias("one"), "stop")
+        sent = level.select(F.col("at").bitwiseOR(F.lit(d << 48)).alias("key"), estimate.alias("one"), "stop")
         kept = sent if kept is None else kept.unionByName(sent)
         if d:
             # One context byte fewer: the oldest goes.
@@ -153,24 +179,8 @@ class Model:
     def __init__(self, keys: np.ndarray, one: np.ndarray, stop: np.ndarray, depth: int):
         order = np.argsort(keys)
         self.keys, self.one, self.stop, self.depth = keys[order], one[order], stop[order], depth
-        self.known, self.value = np.zeros(0, dtype=np.int64), np.zeros(0)
 
     def log10(self, strings: np.ndarray) -> np.ndarray:
-        """Log10 probabilities of distinct, sorted strings; those seen before are remembered."""
-        at = np.minimum(np.searchsorted(self.known, strings), max(0, len(self.known) - 1))
-        old = self.known[at] == strings if len(self.known) else np.zeros(len(strings), dtype=bool)
-        out = np.empty(len(strings))
-        out[old] = self.value[at[old]] if len(self.known) else 0
-        out[~old] = fresh = self._evaluated(strings[~old])
-        if len(self.known) + len(fresh) > CACHE:
-            self.known, self.value = strings, out
-        elif len(fresh):
-            keys = np.concatenate([self.known, strings[~old]])
-            order = np.argsort(keys, kind="stable")
-            self.known, self.value = keys[order], np.concatenate([self.value, fresh])[order]
-        return out
-
-    def _evaluated(self, strings: np.ndarray) -> np.ndarray:
         total = np.zeros(len(strings))
         if not len(self.keys):
             return total + 8 * math.log10(0.5)
@@ -184,7 +194,7 @@ class Model:
                 key = ((context & ((1 << 8 * d) - 1)) << 8) | decided | (d << 48)
                 at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
                 here = self.keys[at] == key
-                one, stop = self.one[at].astype(np.float64), self.stop[at]
+                one, stop = self.one[at], self.stop[at]
                 mixed = np.where(below, stop * one + (1 - stop) * p, one)
                 p = np.where(here, mixed, p)
                 below |= here
@@ -192,35 +202,73 @@ class Model:
         return total
 
 
-def fitted(counts: DataFrame, depth: int = DEPTH, share: int = NODE_SHARE) -> Model:
-    places = counts.where("string is not null").agg(F.sum("n")).first()[0] or 0
-    kept = nodes(counts, max(1, -(-places // share)), depth)
-    # 8 * share rows per depth at most.
-    sent = kept.select("key", F.col("one").cast("float"), F.col("stop").cast("float")).toArrow()
-    return Model(*(sent.column(c).to_numpy() for c in ("key", "one", "stop")), depth)
-
-
-_SCORED = [("score", pa.float64()), ("n_bytes", pa.int64()), ("n_tokens", pa.int64()), ("hot_known", pa.int64()), ("hot_score", pa.float64()), ("words", pa.list_(pa.string())), ("times", pa.list_(pa.int64()))]
-
-
-def scorer(model: Model, hot: pa.Table):
-    """Column function: model score of a text, its sums over hot words (word, value), and its other words."""
-    spark = SparkSession.active()
-    shared = spark.sparkContext.broadcast((model, hot))
-
-    @F.arrow_udf("struct<score:double,n_bytes:long,n_tokens:long,hot_known:long,hot_score:double,words:array<string>,times:array<long>>")
+def string_values(counts: DataFrame, kept: DataFrame, depth: int = DEPTH) -> DataFrame:
+    """(string, total, value): the log10 probability of the last byte of each string that occurs."""
+    found = counts.where("string is not null").select("string", "total")
+    buckets = max(1, -(-found.count() // BUCKET_STRINGS))
+    recent = lambda c: F.shiftright(c, 8).bitwiseAND(F.lit((1 << 8 * (TOP_BYTES + 1)) - 1))
+    bucket = lambda c: F.pmod(F.xxhash64(recent(c)), F.lit(buckets)).alias("bucket")
+    columns = ("key", "one", "stop")
+    short = F.shiftright("key", 48) <= TOP_BYTES
+    # Contexts of TOP_BYTES bytes at most: 2^24 nodes if every context occurred.
+    top = kept.where(short).select(*columns).toArrow()
+    shared = counts.sparkSession.sparkContext.broadcast(top)
+
+    def valued(asked: pa.Table, given: pa.Table) -> pa.Table:
+        both = pa.concat_tables([shared.value, given.select(columns)])
+        model = Model(*(both.column(c).to_numpy() for c in columns), depth)
+        return asked.select(["string", "total"]).append_column("value", pa.array(model.log10(asked.column("string").to_numpy())))
+
+    left = found.select(bucket("string"), "string", "total").groupBy("bucket")
+    right = kept.where(~short).select(bucket("key"), *columns).groupBy("bucket")
+    return written(left.cogroup(right).applyInArrow(valued, "string long, total long, value double").where("string is not null"), "values")
+
+
+_LONGS = pa.list_(pa.int64())
+_SCORED = [
+    ("score", pa.float64(), "double"),
+    ("n_bytes", pa.int64(), "long"),
+    ("n_tokens", pa.int64(), "long"),
+    ("hot_known", pa.int64(), "long"),
+    ("hot_score", pa.float64(), "double"),
+    ("words", pa.list_(pa.string()), "array<string>"),
+    ("times", _LONGS, "array<long>"),
+    ("strings", _LONGS, "array<long>"),
+    ("places", _LONGS, "array<long>"),
+]
+
+
+def scorer(hot_strings: pa.Table, hot_words: pa.Table, depth: int = DEPTH):
+    """Column function: sums over a text's hot strings and hot words, and its other strings and words."""
+    order = np.argsort(hot_strings.column("string").to_numpy())
+    ordered = (hot_strings.column("string").to_numpy()[order], hot_strings.column("value").to_numpy()[order])
+    shared = SparkSession.active().sparkContext.broadcast((*ordered, hot_words))
+
+    def looked_up(keys: np.ndarray, values: np.ndarray, texts: list[bytes]) -> Iterator[tuple[float, list, list]]:
+        found, lengths = strings(texts, depth)
+        distinct, codes = _sorted_codes(found)
+        if len(keys):
+            at = np.minimum(np.searchsorted(keys, distinct), len(keys) - 1)
+            hot = keys[at] == distinct
+            value = np.where(hot, values[at], 0.0)
+        else:
+            hot, value = np.zeros(len(distinct), dtype=bool), np.zeros(len(distinct))
+        sums = np.add.reduceat(value[codes], np.cumsum(lengths) - lengths)
+        rare = np.flatnonzero(~hot[codes])
+        text = np.searchsorted(np.cumsum(lengths), rare, side="right")
+        pairs, places = np.unique(text * len(distinct) + codes[rare], return_counts=True)
+        edges = np.searchsorted(pairs, np.arange(1, len(texts)) * len(distinct))
+        return zip(sums.tolist(), np.split(distinct[pairs % len(distinct)], edges), np.split(places, edges))
+
+    @F.arrow_udf("struct<" + ",".join(f"{name}:{kind}" for name, _, kind in _SCORED) + ">")
     def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        model, hot = shared.value
+        keys, values, hot = shared.value
         get = dict(zip(hot.column("word").cast(pa.binary()).to_pylist(), hot.column("value").to_pylist())).get
         for batch in batches:
             rows = []
             texts = [(t.as_py() or "").encode() for t in batch]
-            for at in range(0, len(texts), 1000):
-                block = texts[at : at + 1000]
-                found, lengths = strings(block, model.depth)
-                distinct, codes = _sorted_codes(found)
-                sums = np.add.reduceat(model.log10(distinct)[codes], np.cumsum(lengths) - lengths)
-                for text, total in zip(block, sums.tolist()):
+            for part in blocks(texts):
+                for text, (total, others, places) in zip(texts[part], looked_up(keys, values, texts[part])):
                     words = text.lower().split()
                     known, base, rest = 0, 0.0, []
                     for w in (*words, END_WORD.encode()):
@@ -231,9 +279,9 @@ def scorer(model: Model, hot: pa.Table):
                             known += 1
                             base += value
                     rare = Counter(rest)
-                    rows.append((total, len(text), len(words) + 1, known, base, [w.decode() for w in rare], list(rare.values())))
+                    rows.append((total, len(text), len(words) + 1, known, base, [w.decode() for w in rare], list(rare.values()), others, places))
             columns = list(zip(*rows)) or [()] * len(_SCORED)
-            yield pa.StructArray.from_arrays([pa.array(c, t) for c, (_, t) in zip(columns, _SCORED)], fields=[pa.field(*x) for x in _SCORED])
+            yield pa.StructArray.from_arrays([pa.array(c, t) for c, (_, t, _) in zip(columns, _SCORED)], fields=[pa.field(n, t) for n, t, _ in _SCORED])
 
     return score
 
@@ -251,21 +299,32 @@ def score(docs: DataFrame, train: Column, depth: int = DEPTH) -> DataFrame:
 
     ``train`` says which rows of ``docs`` are learned from.
     """
-    counts = corpus_counts(docs.where(train), depth)
+    counts = corpus_counts(docs, train, depth)
     words = counts.where("word is not null").select("word", "n")
-    tokens, distinct = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
+    tokens, distinct = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count_if(F.col("n") > 0)).first()
     log10 = lambda n: F.log10((n + 0.1) / F.lit(tokens + 0.1 * (distinct + 1)))
     least = max(1, -(-tokens // HOT_SHARE))
     # HOT_SHARE words at most.
-    hot = words.where(F.col("n") >= least).select("word", log10(F.col("n")).alias("value")).toArrow()
+    hot_words = words.where(F.col("n") >= least).select("word", log10(F.col("n")).alias("value")).toArrow()
+    values = string_values(counts, nodes(counts, depth), depth)
+    least_places = max(1, -(-(values.agg(F.sum("total")).first()[0] or 0) // HOT_STRINGS))
+    # HOT_STRINGS strings at most.
+    hot_strings = values.where(F.col("total") >= least_places).select("string", "value").toArrow()
     given = docs.select("doc_id", "text", F.monotonically_increasing_id().alias("row"))
-    scored = written(given.select("row", "doc_id", scorer(fitted(counts, depth), hot)("text").alias("s")).select("row", "doc_id", "s.*"), "scored")
-    rare = scored.select("row", F.explode(F.arrays_zip("words", "times")).alias("w")).select("row", F.col("w.words").alias("word"), F.col("w.times").alias("times"))
+    scored = written(given.select("row", "doc_id", scorer(hot_strings, hot_words, depth)("text").alias("s")).select("row", "doc_id", "s.*"), "scored")
     # No word of this join makes up more than one in HOT_SHARE of the training tokens.
+    rare = scored.select("row", F.explode(F.arrays_zip("words", "times")).alias("w")).select("row", F.col("w.words").alias("word"), F.col("w.times").alias("times"))
     counted = rare.join(words.where(F.col("n") < least), "word", "left")
     n = F.coalesce("n", F.lit(0))
-    sums = counted.groupBy("row").agg(F.sum(F.when(n > 0, F.col("times")).otherwise(0)).alias("known"), F.sum(F.col("times") * log10(n)).alias("base"))
-    both = scored.drop("words", "times").join(sums, "row", "left")
+    by_word = counted.select("row", F.when(n > 0, F.col("times")).otherwise(0).alias("known"), (F.col("times") * log10(n)).alias("base"), F.lit(0.0).alias("more"))
+    # No string of this join makes up more than one in HOT_STRINGS of all places.
+    others = scored.select("row", F.explode(F.arrays_zip("strings", "places")).alias("s")).select("row", F.col("s.strings").alias("string"), F.col("s.places").alias("places"))
+    by_string = others.join(values.where(F.col("total") < least_places), "string").select(
+        "row", F.lit(0).cast("long").alias("known"), F.lit(0.0).alias("base"), (F.col("places") * F.col("value")).alias("more")
+    )
+    sums = by_word.unionByName(by_string).groupBy("row").agg(*[F.sum(c).alias(c) for c in ("known", "base", "more")])
+    both = scored.drop("words", "times", "strings", "places").join(sums, "row", "left")
+    both = both.withColumn("score", F.col("score") + F.coalesce("more", F.lit(0.0)))
     return both.select(
         "doc_id",
         "n_tokens",

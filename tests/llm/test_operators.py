@@ -81,7 +81,11 @@ def test_shards_keep_equal_texts_together_and_number_rows(docs, empty):
     assert sharding.with_shards(empty.drop("shard"), 5).count() == 0
 
 
-def test_context_tree_equals_a_recursive_one(spark):
+@pytest.mark.parametrize(("hot", "bucket"), [(context_tree.HOT_STRINGS, context_tree.BUCKET_STRINGS), (3, 4)])
+def test_context_tree_equals_a_recursive_one(spark, monkeypatch, hot, bucket):
+    # The second case joins nearly all strings, from many buckets.
+    monkeypatch.setattr(context_tree, "HOT_STRINGS", hot)
+    monkeypatch.setattr(context_tree, "BUCKET_STRINGS", bucket)
     train = [b"abab", b"abba\xc3\xa4", b""]
     depth, seen = 2, defaultdict(lambda: [0, 0])
     for t in train:
@@ -124,7 +128,7 @@ def test_context_tree_equals_a_recursive_one(spark):
     table = spark.createDataFrame(rows, "doc_id long, text string, learn boolean")
     got = {r.doc_id: r.score for r in context_tree.score(table, F.col("learn"), depth).collect()}
     for i, t in enumerate(asked):
-        assert got[10 + i] == pytest.approx(log10(t), abs=1e-4)
+        assert got[10 + i] == pytest.approx(log10(t), abs=1e-8)
 
 
 def test_base_scores(docs, empty):
