@@ -40,7 +40,7 @@ from churnline.llm.common import fold, table, written
 DEPTH = 5
 FOLDS = 10
 END = b"\xff"  # in no UTF-8 text
-HOT_STRINGS = 1 << 22
+HOT_STRINGS = 1 << 23
 HOT_SHARE = 1 << 20
 TOP_BYTES = 2
 BUCKET_STRINGS = 50_000
