@@ -13,19 +13,27 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from churnline.functions.scalars import with_row
+
 HASH_DIGITS = 4  # 65,536 cells
+VALUE_BUCKETS = 256
 
 
 def tie_break(key: str) -> Column:
     return F.md5(F.col(key).cast("string"))
 
 
-def running_totals(points: DataFrame, order: Column, bucket: Column, sums: list[str]) -> DataFrame:
-    """Add ``<sum>_before`` columns: totals of all rows earlier in ``order``.
+def running_totals(points: DataFrame, value: str, sums: list[str], descending: bool = False) -> DataFrame:
+    """Add ``<sum>_before`` columns: totals of all rows earlier in the order of the distinct ``value``.
 
-    ``bucket`` must grow with ``order``. Only bucket totals meet in one task.
+    Approximate quantiles of the values cut them into buckets of about equal size, whatever
+    their distribution; only bucket totals meet in one task.
     """
-    placed = points.withColumn("bucket", bucket)
+    order = F.col(value).desc() if descending else F.col(value).asc()
+    shares = [F.lit(i / VALUE_BUCKETS) for i in range(1, VALUE_BUCKETS)]
+    edges = points.agg(F.percentile_approx(value, F.array(*shares), F.lit(10_000)).alias("edges"))
+    bucket = F.size(F.filter(F.coalesce("edges.edges", F.array(F.col(value))), lambda e: e <= F.col(value)))
+    placed = with_row(points, "edges", edges).withColumn("bucket", -bucket if descending else bucket)
     earlier = Window.rowsBetween(Window.unboundedPreceding, -1)
     offsets = placed.groupBy("bucket").agg(*[F.sum(c).alias(c) for c in sums])
     across = earlier.orderBy("bucket")
@@ -46,7 +54,6 @@ def order_cuts(
     key: str,
     label: str,
     positions: Callable[[Column], Column],
-    bucket: Column,
     descending: bool = False,
 ) -> DataFrame:
     """The rows at given positions of the order (value, hash of key, key).
@@ -55,37 +62,33 @@ def order_cuts(
     ``k``, the row's ``value``, ``hash`` and ``key``, and ``captured``: the label sum
     of the first k rows.
     """
-    order = F.col(value).desc() if descending else F.col(value).asc()
     points = rows.groupBy(value).agg(F.count(F.lit(1)).alias("n"), F.sum(label).alias("pos"))
     total = points.agg(F.sum("n")).scalar()
-    placed = running_totals(points, order, -bucket if descending else bucket, ["n", "pos"]).withColumn("total", total)
+    placed = running_totals(points, value, ["n", "pos"], descending).withColumn("total", total)
 
     def inside(k: Column) -> Column:
         return (k > F.col("n_before")) & (k <= F.col("n_before") + F.col("n"))
 
-    wanted = placed.select(value, "n_before", "pos_before", F.explode(F.filter(positions(F.col("total")), inside)).alias("k"))
+    wanted = placed.select(value, "n_before", "pos_before", F.filter(positions(F.col("total")), inside).alias("ks"))
+    wanted = wanted.where(F.size("ks") > 0)
     hashed = rows.select(value, F.col(key).alias("key"), tie_break(key).alias("hash"), F.col(label).alias("label"))
-    # One row per asked position, so broadcasting is safe at any data size.
-    tied = hashed.join(F.broadcast(wanted), value).withColumn("cell", F.left("hash", F.lit(HASH_DIGITS)))
-
-    cells = tied.groupBy("k", "n_before", "pos_before", "cell").agg(
-        F.count(F.lit(1)).alias("n"), F.sum("label").alias("pos")
-    )
-    by_cell = Window.partitionBy("k").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
-    cells = cells.select(
-        "k",
-        "cell",
-        "n",
-        (F.col("n_before") + F.coalesce(F.sum("n").over(by_cell), F.lit(0))).alias("n_before"),
-        (F.col("pos_before") + F.coalesce(F.sum("pos").over(by_cell), F.lit(0))).alias("pos_before"),
-    ).where(inside(F.col("k")))
-
-    ranked = tied.drop("n_before", "pos_before").join(F.broadcast(cells), ["k", "cell"])
-    by_hash = Window.partitionBy("k").orderBy("hash", "key").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    # One row per wanted value, at most one per asked position: safe to broadcast, and no row is copied.
+    tied = hashed.join(F.broadcast(wanted.select(value)), value).withColumn("cell", F.left("hash", F.lit(HASH_DIGITS)))
+
+    cells = tied.groupBy(value, "cell").agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("pos"))
+    by_cell = Window.partitionBy(value).orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
+    before = {c: F.col(f"{c}_before") + F.coalesce(F.sum(c).over(by_cell), F.lit(0)) for c in ("n", "pos")}
+    cells = cells.join(F.broadcast(wanted), value)
+    cells = cells.select(value, "cell", "n", "ks", *[c.alias(f"{name}_before") for name, c in before.items()])
+    # The cells in which an asked position lies, each once.
+    cells = cells.withColumn("ks", F.filter("ks", inside)).where(F.size("ks") > 0).drop("n")
+
+    ranked = tied.join(F.broadcast(cells), [value, "cell"])
+    by_hash = Window.partitionBy(value, "cell").orderBy("hash", "key").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return (
-        ranked.withColumn("place", F.col("n_before") + F.count(F.lit(1)).over(by_hash))
+        ranked.withColumn("k", F.col("n_before") + F.count(F.lit(1)).over(by_hash))
         .withColumn("captured", F.col("pos_before") + F.sum("label").over(by_hash))
-        .where(F.col("place") == F.col("k"))
+        .where(F.array_contains("ks", F.col("k")))
         .select("k", value, "hash", "key", "captured")
     )
 

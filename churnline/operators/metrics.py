@@ -1,8 +1,7 @@
 """Ranking metrics of scored rows (key, label, score).
 
-Scores are rounded when they are made (``SCORE_DIGITS``), so a table of any size has at
-most a million distinct scores. All curves and areas come from that reduced table; only
-top-k cuts look at rows again, and only at those tied with the cut.
+Scores keep their full precision. Rows are counted per distinct score first; all curves and
+areas come from that table, and only top-k cuts look at rows again, at those tied with the cut.
 """
 
 from __future__ import annotations
@@ -14,12 +13,8 @@ from churnline.functions.ordering import order_cuts, running_totals
 from churnline.functions.scalars import with_row
 from churnline.schema import KEY, LABEL
 
-SCORE_DIGITS = 6
 TOP_SHARE = 0.1
-
-
-def _bucket() -> Column:
-    return F.floor(F.col("score") * 1000)
+GAINS_POINTS = 100
 
 
 def score_points(scored: DataFrame, label: str = LABEL) -> DataFrame:
@@ -27,7 +22,7 @@ def score_points(scored: DataFrame, label: str = LABEL) -> DataFrame:
     points = scored.groupBy("score").agg(
         F.count(F.lit(1)).alias("n"), F.sum(F.col(label).cast("bigint")).alias("pos")
     )
-    placed = running_totals(points, F.col("score").desc(), -_bucket(), ["n", "pos"])
+    placed = running_totals(points, "score", ["n", "pos"], descending=True)
     return placed.select(
         "score",
         "n",
@@ -65,7 +60,7 @@ def pr_curve(scored: DataFrame) -> DataFrame:
     return curve.unionByName(end)
 
 
-def _ranking_facts(scored: DataFrame) -> DataFrame:
+def ranking_facts(scored: DataFrame) -> DataFrame:
     """Average precision, ROC area and best-F1 threshold in one aggregate over the points."""
     points = with_row(score_points(scored), "all", _label_totals(scored))
     step = F.col("pos") * _precision()
@@ -88,17 +83,17 @@ def _ranking_facts(scored: DataFrame) -> DataFrame:
 
 def average_precision(scored: DataFrame) -> DataFrame:
     """Step sum of precision over recall gains. The trapezoid of the ML evaluator differs."""
-    return _ranking_facts(scored).select(F.round("pr_auc", 6).alias("average_precision"))
+    return ranking_facts(scored).select(F.round("pr_auc", 6).alias("average_precision"))
 
 
 def roc_auc(scored: DataFrame) -> DataFrame:
     """Share of (positive, negative) pairs ranked rightly, ties half; null with one class."""
-    return _ranking_facts(scored).select(F.round("roc_auc", 6).alias("roc_auc"))
+    return ranking_facts(scored).select(F.round("roc_auc", 6).alias("roc_auc"))
 
 
 def best_f1_threshold(scored: DataFrame) -> DataFrame:
     """Lowest threshold with the highest F1; 0.5 without rows."""
-    return _ranking_facts(scored).select("threshold", F.round("best_f1", 6).alias("f1"))
+    return ranking_facts(scored).select("threshold", F.round("best_f1", 6).alias("f1"))
 
 
 def top_size(n: Column, share: float) -> Column:
@@ -108,7 +103,7 @@ def top_size(n: Column, share: float) -> Column:
 def captured_at(scored: DataFrame, positions, key: str = KEY) -> DataFrame:
     """Positives among the first k rows by score, for each asked k."""
     rows = scored.select(key, "score", F.col(LABEL).cast("bigint").alias("label"))
-    return order_cuts(rows, "score", key, "label", positions, _bucket(), descending=True).select("k", "captured")
+    return order_cuts(rows, "score", key, "label", positions, descending=True).select("k", "captured")
 
 
 def top_share(scored: DataFrame, share: float = TOP_SHARE, key: str = KEY) -> DataFrame:
@@ -132,11 +127,24 @@ def lift_at_k(scored: DataFrame, share: float = TOP_SHARE, key: str = KEY) -> Da
     return top_share(scored, share, key).select("k", "lift")
 
 
-def gains_curve(scored: DataFrame, key: str = KEY) -> DataFrame:
-    """Cumulative gains at every whole percent of the ranked rows."""
-    percents = F.sequence(F.lit(1), F.lit(100))
+def gains_curve_full(scored: DataFrame) -> DataFrame:
+    """Cumulative gains after each distinct score, with those of a random order beside them."""
+    targeted = F.col("cum_n") * 100 / F.col("all.n")
+    return with_row(score_points(scored), "all", _label_totals(scored)).select(
+        "score",
+        "cum_n",
+        "cum_pos",
+        F.round(targeted, 6).alias("pct_targeted"),
+        F.round(F.col("cum_pos") * 100 / F.greatest(F.col("all.pos"), F.lit(1)), 6).alias("pct_captured"),
+        F.round(targeted, 6).alias("pct_random"),
+    )
+
+
+def gains_curve(scored: DataFrame, key: str = KEY, points: int = GAINS_POINTS) -> DataFrame:
+    """Cumulative gains at ``points`` even steps through the ranked rows, ties cut by key."""
+    steps = F.sequence(F.lit(1), F.lit(points))
     cuts = captured_at(
-        scored, lambda n: F.array_distinct(F.transform(percents, lambda p: F.ceil(n * p / 100).cast("bigint"))), key
+        scored, lambda n: F.array_distinct(F.transform(steps, lambda p: F.ceil(n * p / points).cast("bigint"))), key
     )
     return with_row(cuts, "all", _label_totals(scored)).select(
         "k",
@@ -205,7 +213,7 @@ def evaluation_metrics(
     scored: DataFrame, model: str, threshold: Column | float | None = None, key: str = KEY
 ) -> DataFrame:
     """All ranking metrics of one model as (model, metric, value)."""
-    facts = with_row(_ranking_facts(scored), "top", top_share(scored, key=key))
+    facts = with_row(ranking_facts(scored), "top", top_share(scored, key=key))
     values = {
         "pr_auc": F.col("pr_auc"),
         "roc_auc": F.col("roc_auc"),
@@ -217,7 +225,9 @@ def evaluation_metrics(
     if threshold is not None:
         facts = with_row(facts, "at", confusion_at_threshold(scored, threshold))
         values |= {"threshold": F.lit(threshold), "f1": F.col("at.f1")}
-    wide = facts.select(*[F.round(v.cast("double"), 6).alias(name) for name, v in values.items()])
+    # A threshold is applied to scores again, so it stays as it is.
+    whole = lambda name, v: v if name == "threshold" else F.round(v, 6)
+    wide = facts.select(*[whole(name, v.cast("double")).alias(name) for name, v in values.items()])
     return wide.unpivot([], list(values), "metric", "value").select(F.lit(model).alias("model"), "metric", "value")
 
 

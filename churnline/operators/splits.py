@@ -24,7 +24,6 @@ def ordered_holdout(features: DataFrame, key: str = KEY, share: float = TRAIN_SH
         key,
         LABEL,
         positions=lambda n: F.array(F.floor(n * share).cast("bigint")),
-        bucket=F.floor(F.col("tenure") / 12),
     ).select(F.struct("tenure", "hash", "key"))
     here = F.struct(F.col("tenure"), tie_break(key).alias("hash"), F.col(key).alias("key"))
     return features.withColumn("split", F.when(here <= last.scalar(), "train").otherwise("test"))
@@ -62,5 +61,12 @@ def class_weights(rows: DataFrame) -> DataFrame:
 
 
 def fixed_sample(rows: DataFrame, key: str = KEY, size: int = 1000) -> DataFrame:
-    """A repeatable sample without replacement: the rows with the smallest key hashes."""
-    return rows.orderBy(tie_break(key), key).limit(size)
+    """A repeatable sample without replacement: the rows with the smallest key hashes.
+
+    The last row of the sample is found from counts per hash cell; only rows up to it are sorted.
+    """
+    keys = rows.select(key, F.lit(0).alias("value"), F.lit(0).alias("label"))
+    last = order_cuts(keys, "value", key, "label", lambda n: F.array(F.least(n, F.lit(size)).cast("bigint")))
+    here = F.struct(tie_break(key).alias("hash"), F.col(key).alias("key"))
+    first = rows.where(here <= last.select(F.struct("hash", "key")).scalar())
+    return first.orderBy(tie_break(key), key).limit(size)

@@ -62,11 +62,11 @@ class ScoreCard:
         return total
 
     def score(self, value_of=F.col) -> Column:
-        return F.round(1 / (1 + F.exp(-self.logit(value_of))), metrics.SCORE_DIGITS)
+        return 1 / (1 + F.exp(-self.logit(value_of)))
 
 
 def churn_probability(column: str = "probability") -> Column:
-    return F.round(vector_to_array(column)[1], metrics.SCORE_DIGITS)
+    return vector_to_array(column)[1]
 
 
 def score_rows(model: Transformer, rows: DataFrame, keep: list[str]) -> DataFrame:
@@ -104,7 +104,7 @@ def train_baseline(train: DataFrame, columns: list[str]) -> PipelineModel:
             elasticNetParam=0.0,
             standardization=False,
             maxIter=1000,
-            tol=1e-7,
+            tol=1e-9,
         ),
     ]
     return Pipeline(stages=stages).fit(rows)
@@ -115,7 +115,7 @@ class AveragePrecision(Evaluator):
 
     def _evaluate(self, dataset: DataFrame) -> float:
         scored = dataset.select(F.col("label").cast("int").alias(LABEL), churn_probability().alias("score"))
-        return metrics.average_precision(scored).first()["average_precision"]
+        return metrics.ranking_facts(scored).first()["pr_auc"]
 
     def isLargerBetter(self) -> bool:
         return True

@@ -329,6 +329,9 @@ UNION ALL SELECT 'weighted avg', round(sum(precision * support) / any_value(n),
         "gains_curve": f"""{MODELLING} SELECT DISTINCT place AS k, CAST(captured AS BIGINT) AS captured, round(place * 100 / n, 6) AS pct_targeted,
   round(captured * 100 / greatest(pos, 1), 6) AS pct_captured
 FROM ranked JOIN range(1, 101) t(p) ON place = ceil(n * p / 100)""",
+        "gains_curve_full": f"""{MODELLING} SELECT score, CAST(cum_n AS BIGINT) AS cum_n, CAST(cum_pos AS BIGINT) AS cum_pos,
+  round(cum_n * 100 / (SELECT count(*) FROM test), 6) AS pct_targeted, round(cum_pos * 100 / greatest(all_pos, 1), 6) AS pct_captured,
+  round(cum_n * 100 / (SELECT count(*) FROM test), 6) AS pct_random FROM points""",
         "evaluation_metrics": f"{MODELLING.rstrip()},\n{METRICS}\nSELECT 'card' AS model, metric, value FROM metrics",
         "linear_contributions": f"{LONG.rstrip()},\n{_WHOLE} SELECT customerID, feature, {_round('value', 'contribution')} FROM whole",
         "linear_base_value": f"{FEATURES_CTE} SELECT round(avg({_logit()}), 6) AS base_value FROM features",
@@ -362,6 +365,12 @@ SELECT customerID AS customer, score AS churn_prob, {_TIER} AS risk_tier, Monthl
   drivers AS top_drivers, Churn AS actual_churn
 FROM chosen JOIN drivers USING (customerID) WHERE score > 0.5 ORDER BY score DESC, customerID LIMIT 100""",
         "whatif_scores": _whatif(),
+        "whatif_changes": f"{FEATURES_CTE} "
+        + _stack(
+            f"SELECT customerID, '{name}' AS scenario, '{c}' AS feature, round(CAST({c} AS DOUBLE), 6) AS original, CAST({v} AS DOUBLE) AS new_value, "
+            f"round(CAST({v} AS DOUBLE) - {c}, 6) AS delta FROM features WHERE abs({v} - {c}) > 1e-6"
+            for name, c, v in SCENARIOS
+        ),
         "revenue_impact": f"{MODELLING.rstrip()},\n{_REVENUE}\nSELECT * FROM revenue",
         "memo_facts": f"""{MODELLING.rstrip()},\n{METRICS},\n{_REVENUE},
 {LONG.split("doubles AS", 1)[1].join(["doubles AS", ""]).rstrip()},

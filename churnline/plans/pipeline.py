@@ -35,11 +35,8 @@ def exploration(s: Stages) -> dict[str, DataFrame]:
 
 
 def evaluation(s: Stages, threshold: float) -> dict[str, DataFrame]:
-    test = F.col("split") == "test"
-    baseline, trees = s.baseline_scores().where(test), s.tree_scores().where(test)
-    both = metrics.evaluation_metrics(baseline, "baseline").unionByName(
-        metrics.evaluation_metrics(trees, "trees", threshold=threshold)
-    )
+    trees = s.tree_scores().where(F.col("split") == "test")
+    both = s.comparison()
     return {
         "split_summary": splits.split_summary(s.modelling()),
         "class_weights": splits.class_weights(s.train()),
@@ -48,6 +45,7 @@ def evaluation(s: Stages, threshold: float) -> dict[str, DataFrame]:
         "model_comparison": metrics.model_comparison(both, ["baseline", "trees"]),
         "classification_report": metrics.classification_report(trees, threshold),
         "gains_curve": metrics.gains_curve(trees),
+        "gains_curve_full": metrics.gains_curve_full(trees),
     }
 
 
@@ -126,7 +124,7 @@ def main() -> None:
     parser.add_argument("--min-rows", type=int, default=quality.MIN_ROWS)
     given = parser.parse_args()
     spark = SparkSession.builder.appName("churnline").getOrCreate()
-    stages = Stages(spark, given.customers, read_customers_csv, given.trials, space=None)
+    stages = Stages(spark, given.customers, read_customers_csv, given.trials)
     run(stages, given.out.rstrip("/"), min_rows=given.min_rows).orderBy("table_name").show(100, truncate=False)
 
 

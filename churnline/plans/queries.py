@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from churnline.functions import encodings as enc
 from churnline.operators import aggregates, attribution, correlation, metrics, products, quality, segments, splits, training
 from churnline.operators.features import clean, engineered, segment_columns, unseen_categories
-from churnline.plans.stages import CARD, CARD_THRESHOLD, Stages
+from churnline.plans.stages import CARD, CARD_THRESHOLD, TREES, Stages
 from churnline.schema import INTERNET_ADD_ONS, KEY, LABEL, YES_NO_COLUMNS
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,6 +24,7 @@ SCENARIOS = [
     ("supported_bundle", "TechSupport_No", 0.0),
     ("supported_bundle", "charges_per_service", 5.0),
 ]
+# The levels whose rates the narrative quotes.
 WANTED_LEVELS = [
     ("Contract", "Month-to-month"),
     ("Contract", "One year"),
@@ -38,7 +39,7 @@ WANTED_LEVELS = [
 
 
 def query(build: Callable[[Stages], DataFrame]) -> Callable[[Stages], DataFrame]:
-    _QUERIES[build.__name__] = lambda spark, folder: build(Stages(spark, folder))
+    _QUERIES[build.__name__] = lambda spark, folder: build(Stages(spark, folder, trees=TREES))
     return build
 
 
@@ -314,11 +315,6 @@ def gbt_scores(s: Stages) -> DataFrame:
     return s.tree_scores()
 
 
-@query
-def tuning_results(s: Stages) -> DataFrame:
-    return training.tuning_results(s.tuned())
-
-
 @query
 def predicted_labels(s: Stages) -> DataFrame:
     return training.predicted(s.scored(), CARD_THRESHOLD).select(KEY, "score", "predicted")
@@ -326,10 +322,7 @@ def predicted_labels(s: Stages) -> DataFrame:
 
 @query
 def model_comparison(s: Stages) -> DataFrame:
-    test = F.col("split") == "test"
-    base = metrics.evaluation_metrics(s.baseline_scores().where(test), "baseline")
-    trees = metrics.evaluation_metrics(s.tree_scores().where(test), "trees", threshold=s.tree_threshold())
-    return metrics.model_comparison(base.unionByName(trees), ["baseline", "trees"])
+    return metrics.model_comparison(s.comparison(), ["baseline", "trees"])
 
 
 # ---- evaluation ----------------------------------------------------------------------
@@ -380,6 +373,11 @@ def gains_curve(s: Stages) -> DataFrame:
     return metrics.gains_curve(s.scored_test())
 
 
+@query
+def gains_curve_full(s: Stages) -> DataFrame:
+    return metrics.gains_curve_full(s.scored_test())
+
+
 @query
 def evaluation_metrics(s: Stages) -> DataFrame:
     return s.metrics()
@@ -408,10 +406,10 @@ def tree_additivity(s: Stages) -> DataFrame:
     """Rows, and those where base value and contributions do not add up to the score."""
     base = attribution.tree_base_value(s.nodes())
     margin = F.lit(base) + F.aggregate("contributions", F.lit(0.0), lambda a, c: a + c)
-    sums = s.tree_attributions().select(KEY, F.round(1 / (1 + F.exp(-margin)), 6).alias("rebuilt"))
+    sums = s.tree_attributions().select(KEY, (1 / (1 + F.exp(-margin))).alias("rebuilt"))
     both = sums.join(s.tree_scores(), KEY)
     return both.agg(
-        F.count(F.lit(1)).alias("n_rows"), F.count_if(F.abs(F.col("rebuilt") - F.col("score")) > 1.5e-6).alias("n_off")
+        F.count(F.lit(1)).alias("n_rows"), F.count_if(F.abs(F.col("rebuilt") - F.col("score")) > 1e-6).alias("n_off")
     )
 
 
@@ -520,7 +518,14 @@ def risk_list(s: Stages) -> DataFrame:
 @query
 def whatif_scores(s: Stages) -> DataFrame:
     scenarios = s.spark.createDataFrame(SCENARIOS, "scenario string, feature string, new_value double")
-    return products.whatif_card(s.features(), scenarios, list(CARD.weights), CARD.score)
+    score = lambda value_of: F.round(CARD.score(value_of), 6)
+    return products.whatif_card(s.features(), scenarios, list(CARD.weights), score)
+
+
+@query
+def whatif_changes(s: Stages) -> DataFrame:
+    scenarios = s.spark.createDataFrame(SCENARIOS, "scenario string, feature string, new_value double")
+    return segments.rounded(products.whatif_changes(s.features(), scenarios, s.columns()))
 
 
 @query

@@ -38,27 +38,42 @@ CARD = ScoreCard(
 )
 CARD_THRESHOLD = 0.5
 
-# The registered queries search a smaller space than the library's default.
-QUICK_SPACE = {"maxIter": (5, 15), "maxDepth": (3, 4), "stepSize": (0.05, 0.2)}
-QUICK_TRIALS = 3
+# Given parameters inside the search ranges, for queries that need a model but no search.
+TREES = {
+    "maxIter": 200,
+    "maxDepth": 3,
+    "stepSize": 0.1,
+    "subsamplingRate": 0.8,
+    "featureSubsetStrategy": "0.8",
+    "minInstancesPerNode": 5,
+}
 
 
 class Stages:
-    """``source`` names the raw customers and ``load`` reads them."""
+    """``source`` names the raw customers and ``load`` reads them.
+
+    With ``trees`` those parameters are fitted; without, ``trials`` parameter sets are searched.
+    """
 
     def __init__(
         self,
         spark: SparkSession,
         source: str,
         load: Callable[[SparkSession, str], DataFrame] = customer_snapshots,
-        trials: int = QUICK_TRIALS,
-        space: dict | None = QUICK_SPACE,
+        trials: int = training.TRIALS,
+        space: dict | None = None,
+        trees: dict | None = None,
     ):
         self.spark = spark
         self.folder = source.rstrip("/")
         self.load = load
         self.trials = trials
         self.space = space
+        self.given = trees
+        context = spark.sparkContext
+        # Boosting cuts its lineage there.
+        if context.getCheckpointDir() is None:
+            context.setCheckpointDir(shared_folder(spark))
 
     def raw(self) -> DataFrame:
         return staged(self.spark, "raw", (self.folder,), lambda: self.load(self.spark, self.folder))
@@ -90,7 +105,9 @@ class Stages:
     # ---- the given model -----------------------------------------------------------
 
     def scored(self) -> DataFrame:
-        return self.modelling().select(KEY, LABEL, "split", "tenure", "MonthlyCharges", CARD.score().alias("score"))
+        """Scores of the given card, to six digits: other engines' last bits differ."""
+        score = F.round(CARD.score(), 6).alias("score")
+        return self.modelling().select(KEY, LABEL, "split", "tenure", "MonthlyCharges", score)
 
     def scored_test(self) -> DataFrame:
         return self.scored().where(F.col("split") == "test")
@@ -114,9 +131,6 @@ class Stages:
 
     def _model(self, name: str, fit) -> PipelineModel:
         def train() -> PipelineModel:
-            context = self.spark.sparkContext
-            if context.getCheckpointDir() is None:
-                context.setCheckpointDir(shared_folder(self.spark))
             return load_model(save_model(fit(), fresh_path(self.spark, name)))
 
         return once(self.spark, (name, self.folder), train)
@@ -132,7 +146,12 @@ class Stages:
         )
 
     def trees(self) -> PipelineModel:
-        return self._model("trees", lambda: training.as_pipeline(self.tuned().bestModel, self.columns()))
+        def fit() -> PipelineModel:
+            if self.given:
+                return training.fit_trees(self.train(), self.columns(), self.given)
+            return training.as_pipeline(self.tuned().bestModel, self.columns())
+
+        return self._model("trees", fit)
 
     def model_scores(self, model: PipelineModel) -> DataFrame:
         keep = [KEY, LABEL, "split", "tenure", "MonthlyCharges"]
@@ -144,17 +163,34 @@ class Stages:
     def tree_scores(self) -> DataFrame:
         return staged(self.spark, "tree_scores", (self.folder,), lambda: self.model_scores(self.trees()))
 
-    def tree_threshold(self) -> float:
-        """Best-F1 threshold of the trees on training rows, each scored out of its fold."""
+    def _threshold(self, name: str, fit) -> float:
+        """Best-F1 threshold of a model on training rows, each scored out of its fold."""
 
         def choose() -> float:
-            params = training.best_params(self.tuned())
-            fit = lambda rows: training.fit_trees(rows, self.columns(), params)
             build = lambda: training.out_of_fold_scores(self.train(), fit, folds=FOLDS)
-            scored = staged(self.spark, "out_of_fold", (self.folder,), build)
+            scored = staged(self.spark, f"{name}_out_of_fold", (self.folder,), build)
             return metrics.best_f1_threshold(scored).first()["threshold"]
 
-        return once(self.spark, ("tree_threshold", self.folder), choose)
+        return once(self.spark, (f"{name}_threshold", self.folder), choose)
+
+    def baseline_threshold(self) -> float:
+        return self._threshold("baseline", lambda rows: training.train_baseline(rows, self.columns()))
+
+    def tree_threshold(self) -> float:
+        params = self.given or training.best_params(self.tuned())
+        return self._threshold("trees", lambda rows: training.fit_trees(rows, self.columns(), params))
+
+    def comparison(self, on_test: bool = False) -> DataFrame:
+        """Metrics of both models on the test rows, one threshold protocol for both.
+
+        Thresholds come from training rows out of fold, or, ``on_test``, from the test rows.
+        """
+        test = F.col("split") == "test"
+        base = None if on_test else self.baseline_threshold()
+        trees = None if on_test else self.tree_threshold()
+        return metrics.evaluation_metrics(self.baseline_scores().where(test), "baseline", base).unionByName(
+            metrics.evaluation_metrics(self.tree_scores().where(test), "trees", trees)
+        )
 
     def nodes(self) -> DataFrame:
         model = self.trees().stages[-1]

@@ -132,7 +132,7 @@ def test_order_cuts_inside_one_huge_tie(spark):
     import hashlib
 
     data = spark.range(5000).select(F.col("id").cast("string").alias("id"), F.lit(1).alias("v"), (F.col("id") % 2).alias("y"))
-    cut = order_cuts(data, "v", "id", "y", lambda n: F.array(F.lit(1).cast("bigint"), n), F.floor("v")).orderBy("k").collect()
+    cut = order_cuts(data, "v", "id", "y", lambda n: F.array(F.lit(1).cast("bigint"), n)).orderBy("k").collect()
     ordered = sorted((hashlib.md5(str(i).encode()).hexdigest(), str(i), i % 2) for i in range(5000))
     assert [(r["k"], r["key"], r["captured"]) for r in cut] == [(1, ordered[0][1], ordered[0][2]), (5000, ordered[-1][1], 2500)]
 
@@ -142,3 +142,21 @@ def test_sequence_numbers_fill_each_group(spark):
     got = sequence_numbers(data, ["g"], "id")
     for group, size in (("a", 1000), ("b", 2000)):
         assert sorted(r["position"] for r in got.where(F.col("g") == group).collect()) == list(range(1, size + 1))
+
+
+def test_scores_keep_their_precision(spark):
+    from churnline.operators.products import with_risk_tier
+
+    data = frame(spark, [(1, 3e-7), (0, 0.50000004), (1, 0.50000005)])
+    assert [r["risk_tier"] for r in with_risk_tier(data).orderBy("score").collect()] == ["Low", "High", "High"]
+    assert metrics.captured_at(data, lambda n: F.array(F.lit(1).cast("bigint"))).first()["captured"] == 1
+    full = metrics.gains_curve_full(data).orderBy("cum_n").collect()
+    assert [(r["cum_n"], r["cum_pos"]) for r in full] == [(1, 1), (2, 1), (3, 2)]
+
+
+def test_one_row_per_asked_position_whatever_the_ties(spark):
+    data = spark.range(4000).select(
+        F.col("id").cast("string").alias(KEY), (F.col("id") % 2).cast("int").alias(LABEL), F.lit(0.25).alias("score")
+    )
+    curve = metrics.gains_curve(data, points=400).orderBy("k").collect()
+    assert [r["k"] for r in curve] == list(range(10, 4001, 10)) and curve[-1]["captured"] == 2000

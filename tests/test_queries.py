@@ -9,7 +9,7 @@ FOLDER = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events".split()
 TYPES = {"BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "VARCHAR": "string"}
 TRAINED = {
-    "baseline_scores", "gbt_scores", "tuning_results", "model_comparison", "tree_contributions", "attribution_base_value",
+    "baseline_scores", "gbt_scores", "model_comparison", "tree_contributions", "attribution_base_value",
     "tree_importance", "gain_importance", "permutation_importance", "importance_comparison", "whatif_model_scores",
 }
 
