@@ -148,13 +148,20 @@ def test_whatif(spark):
     )
     got = {(r[KEY], r["scenario"]): r for r in products.whatif_card(people, scenarios, ["a", "b"], card.score).collect()}
     assert len(got) == 4
-    sigmoid = lambda z: round(1 / (1 + np.exp(-z)), 6)
+    sigmoid = lambda z: pytest.approx(1 / (1 + np.exp(-z)), abs=1e-12)
     assert got[("p", "more_b")]["new_score"] == sigmoid(0) and got[("p", "more_b")]["direction"] == "reduced"
     assert got[("q", "more_b")]["direction"] == "unchanged" and got[("q", "more_b")]["changed"] == ""
     assert got[("p", "both")]["changed"] == "a, b" and got[("p", "both")]["new_score"] == sigmoid(-3)
     assert got[("q", "both")]["changed"] == "b"
     with pytest.raises(Exception, match="unknown feature in scenario: a"):
         products.whatif_card(people, scenarios, ["b"], ScoreCard(0.0, {"b": 1.0}).score).collect()
+    moved = products.whatif_changes(people, scenarios, ["a", "b"]).collect()
+    assert sorted(tuple(r) for r in moved) == [
+        ("p", "both", "a", 1.0, 0.0, -1.0),
+        ("p", "both", "b", 0.0, 3.0, 3.0),
+        ("p", "more_b", "b", 0.0, 1.0, 1.0),
+        ("q", "both", "b", 1.0, 3.0, 2.0),
+    ]
 
 
 def test_revenue_arithmetic(spark):
