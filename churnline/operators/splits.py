@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from churnline.functions.ordering import order_cuts, sequence_numbers, tie_break
+from churnline.functions.ordering import HASH_DIGITS, order_cuts, sequence_numbers, tie_break
 from churnline.functions.scalars import with_row
 from churnline.schema import KEY, LABEL
 
@@ -65,7 +65,9 @@ def fixed_sample(rows: DataFrame, key: str = KEY, size: int = 1000) -> DataFrame
 
     The last row of the sample is found from counts per hash cell; only rows up to it are sorted.
     """
-    keys = rows.select(key, F.lit(0).alias("value"), F.lit(0).alias("label"))
+    # The hash's first digits as a number: the order by it, then by hash, is that by hash.
+    cell = F.conv(F.left(tie_break(key), F.lit(HASH_DIGITS)), 16, 10).cast("int")
+    keys = rows.select(key, cell.alias("value"), F.lit(0).alias("label"))
     last = order_cuts(keys, "value", key, "label", lambda n: F.array(F.least(n, F.lit(size)).cast("bigint")))
     here = F.struct(tie_break(key).alias("hash"), F.col(key).alias("key"))
     first = rows.where(here <= last.select(F.struct("hash", "key")).scalar())
