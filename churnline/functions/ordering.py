@@ -13,8 +13,6 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from churnline.functions.scalars import with_row
-
 HASH_DIGITS = 4  # 65,536 cells
 VALUE_BUCKETS = 256
 
@@ -23,23 +21,34 @@ def tie_break(key: str) -> Column:
     return F.md5(F.col(key).cast("string"))
 
 
-def running_totals(points: DataFrame, value: str, sums: list[str], descending: bool = False) -> DataFrame:
+def running_totals(
+    points: DataFrame, value: str, sums: list[str], descending: bool = False, by: list[str] | None = None
+) -> DataFrame:
     """Add ``<sum>_before`` columns: totals of all rows earlier in the order of the distinct ``value``.
 
     Approximate quantiles of the values cut them into buckets of about equal size, whatever
-    their distribution; only bucket totals meet in one task.
+    their distribution; only bucket totals meet in one task. With ``by`` each group has an
+    order of its own; groups must be few, since their quantiles are broadcast.
     """
+    by = by or []
     order = F.col(value).desc() if descending else F.col(value).asc()
     shares = [F.lit(i / VALUE_BUCKETS) for i in range(1, VALUE_BUCKETS)]
-    edges = points.agg(F.percentile_approx(value, F.array(*shares), F.lit(10_000)).alias("edges"))
-    bucket = F.size(F.filter(F.coalesce("edges.edges", F.array(F.col(value))), lambda e: e <= F.col(value)))
-    placed = with_row(points, "edges", edges).withColumn("bucket", -bucket if descending else bucket)
+    edges = points.groupBy(*by).agg(F.percentile_approx(value, F.array(*shares), F.lit(10_000)).alias("edges"))
+    with_edges = points.join(F.broadcast(edges), by) if by else points.withColumn("edges", edges.scalar())
+    # How many edges a value has passed, by halving the steps: VALUE_BUCKETS is a power of two.
+    steps = F.array(*[F.lit(VALUE_BUCKETS >> i) for i in range(1, VALUE_BUCKETS.bit_length())])
+    passed = F.aggregate(
+        steps, F.lit(0), lambda at, step: F.when(F.get("edges", at + step - 1) <= F.col(value), at + step).otherwise(at)
+    )
+    placed = with_edges.withColumn("bucket", -passed if descending else passed).drop("edges")
     earlier = Window.rowsBetween(Window.unboundedPreceding, -1)
-    offsets = placed.groupBy("bucket").agg(*[F.sum(c).alias(c) for c in sums])
-    across = earlier.orderBy("bucket")
-    offsets = offsets.select("bucket", *[F.coalesce(F.sum(c).over(across), F.lit(0)).alias(f"{c}_offset") for c in sums])
-    within = earlier.partitionBy("bucket").orderBy(order)
-    return placed.join(offsets, "bucket").select(
+    offsets = placed.groupBy(*by, "bucket").agg(*[F.sum(c).alias(c) for c in sums])
+    across = earlier.partitionBy(*by).orderBy("bucket")
+    offsets = offsets.select(
+        *by, "bucket", *[F.coalesce(F.sum(c).over(across), F.lit(0)).alias(f"{c}_offset") for c in sums]
+    )
+    within = earlier.partitionBy(*by, "bucket").orderBy(order)
+    return placed.join(offsets, [*by, "bucket"]).select(
         *points.columns,
         *[
             (F.col(f"{c}_offset") + F.coalesce(F.sum(c).over(within), F.lit(0))).alias(f"{c}_before")
