@@ -16,7 +16,7 @@ come first, so a host with a third of all pages only widens them.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from churnline.llm.common import ascii_lower, table, written
@@ -77,13 +77,11 @@ def path_templates(paths: DataFrame) -> DataFrame:
         level = rows.where("branch is not null").groupBy("host", "template", "branch").agg(
             F.count("*").alias("paths"), F.sum("labelled").alias("labelled"), F.sum("blocked").alias("blocked")
         )
-        parent = Window.partitionBy("host", "template")
-        level = (
-            level.withColumn("all_paths", F.sum("paths").over(parent))
-            .withColumn("values", F.count("*").over(parent))
-            .withColumn("all_labelled", F.sum("labelled").over(parent))
-            .withColumn("all_blocked", F.sum("blocked").over(parent))
+        # Folded and joined: a window would bring all branches of a host into one task.
+        parent = level.groupBy("host", "template").agg(
+            F.sum("paths").alias("all_paths"), F.count("*").alias("values"), F.sum("labelled").alias("all_labelled"), F.sum("blocked").alias("all_blocked")
         )
+        level = level.join(parent, ["host", "template"])
         many = (F.col("all_paths") >= MIN_PATHS) & (F.col("values") > MAX_DISTINCT * F.col("all_paths"))
         usual = (F.col("all_blocked") + 0.5) / (F.col("all_labelled") + 1.0)
         z = (F.col("blocked") - F.col("labelled") * usual) / F.sqrt(F.col("labelled") * usual * (1 - usual) + 1e-9)
