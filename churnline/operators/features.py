@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -31,10 +32,10 @@ def engineered(cleaned: DataFrame) -> DataFrame:
     )
 
 
-def unseen_categories(raw: DataFrame) -> DataFrame:
-    """Contract levels outside the known order, with their row counts."""
-    levels = raw.groupBy(F.col("Contract").alias("level")).agg(F.count(F.lit(1)).alias("n"))
-    return levels.where(F.col("level").isNull() | ~F.col("level").isin(*CONTRACT_ORDER))
+def unseen_categories(raw: DataFrame, column: str = "Contract", known: Iterable[str] = tuple(CONTRACT_ORDER)) -> DataFrame:
+    """Levels of a column outside its known ones, with their row counts."""
+    levels = raw.groupBy(F.col(column).alias("level")).agg(F.count(F.lit(1)).alias("n"))
+    return levels.where(F.col("level").isNull() | ~F.col("level").isin(*known))
 
 
 @dataclass(frozen=True)

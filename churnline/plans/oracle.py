@@ -241,6 +241,7 @@ def oracle_sql() -> dict[str, str]:
         "tenure_bucket": f"{FEATURES_CTE} SELECT customerID, tenure, tenure_bucket FROM named",
         "contract_ordinal": f"{FEATURES_CTE} SELECT customerID, Contract, Contract_ord FROM features JOIN raw USING (customerID)",
         "unseen_contracts": f"{RAW} SELECT Contract AS level, count(*) AS n FROM raw WHERE Contract IS NULL OR Contract NOT IN ('Month-to-month', 'One year', 'Two year') GROUP BY Contract",
+        "unseen_payments": f"{RAW} SELECT PaymentMethod AS level, count(*) AS n FROM raw WHERE PaymentMethod IS NULL OR PaymentMethod NOT IN ('Electronic check', 'Mailed check', 'Bank transfer (automatic)', 'Credit card (automatic)') GROUP BY PaymentMethod",
         "onehot_internet_payment": f"{FEATURES_CTE} SELECT customerID, {encoded(('InternetService', 'IS'), ('PaymentMethod', 'PM'))} FROM features",
         "binary_encodings": f"{FEATURES_CTE} SELECT customerID, gender, Partner, Dependents, PhoneService, PaperlessBilling FROM features",
         "onehot_services": f"{FEATURES_CTE} SELECT customerID, {encoded(*[(c, c) for c in ['MultipleLines', *INTERNET_ADD_ONS]])} FROM features",
@@ -273,7 +274,7 @@ UNION ALL SELECT 'churn_rate', round(rate, 6), CASE WHEN rate > 0.1 AND rate < 0
         "segment_internet": _segment_churn("InternetService"),
         "segment_high_value": _segment_churn("is_high_value"),
         "segment_all": f"{FEATURES_CTE} " + _segments_of("named", ["Contract", "PaymentMethod", "InternetService", "is_high_value"]),
-        "segment_by_column": f"{FEATURES_CTE} " + _segments_of("features", SEGMENT_FLAGS),
+        "segment_by_column": f"{FEATURES_CTE} SELECT *, round(100 * churn_rate, 1) AS churn_rate_pct FROM ({_segments_of('features', SEGMENT_FLAGS)})",
         "class_balance": f"{FEATURES_CTE} SELECT Churn AS label, count(*) AS n, round(100 * count(*) / (SELECT count(*) FROM features), 4) AS pct FROM features GROUP BY Churn",
         "correlation_matrix": f"{FEATURES_CTE.rstrip()},\n{_PAIRS}\n{_pairs()}",
         "target_correlation": f"{FEATURES_CTE.rstrip()},\n{corr}\nSELECT * FROM target_corr",

@@ -11,7 +11,7 @@ from churnline.functions import encodings as enc
 from churnline.operators import aggregates, attribution, correlation, metrics, products, quality, segments, splits, training
 from churnline.operators.features import clean, engineered, segment_columns, unseen_categories
 from churnline.plans.stages import CARD, CARD_THRESHOLD, TREES, Stages
-from churnline.schema import INTERNET_ADD_ONS, KEY, LABEL, YES_NO_COLUMNS
+from churnline.schema import INTERNET_ADD_ONS, KEY, LABEL, PAYMENT_METHODS, YES_NO_COLUMNS
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -125,6 +125,12 @@ def unseen_contracts(s: Stages) -> DataFrame:
     return unseen_categories(s.raw())
 
 
+@query
+def unseen_payments(s: Stages) -> DataFrame:
+    """Market segments stand in for payment methods in the given tables, so levels are found here."""
+    return unseen_categories(s.raw(), "PaymentMethod", PAYMENT_METHODS)
+
+
 @query
 def onehot_internet_payment(s: Stages) -> DataFrame:
     return s.raw().select(KEY, *_named(s.encoder().one_hot(["InternetService", "PaymentMethod"])))
@@ -214,7 +220,8 @@ def segment_all(s: Stages) -> DataFrame:
 
 @query
 def segment_by_column(s: Stages) -> DataFrame:
-    return aggregates.segment_churn_all(s.features(), segment_columns(s.columns()))
+    rates = aggregates.segment_churn_all(s.features(), segment_columns(s.columns()))
+    return rates.withColumn("churn_rate_pct", F.round(100 * F.col("churn_rate"), 1))
 
 
 @query

@@ -35,6 +35,7 @@ LABEL = "Churn"
 
 # Domains and limits of the feature preparation.
 CONTRACT_ORDER = {"Month-to-month": 0, "One year": 1, "Two year": 2}
+PAYMENT_METHODS = ["Electronic check", "Mailed check", "Bank transfer (automatic)", "Credit card (automatic)"]
 TENURE_BUCKETS = {"0-12": 12, "13-24": 24, "25-48": 48, "49+": None}
 HIGH_VALUE_OVER = 70
 YES_NO_COLUMNS = ["Partner", "Dependents", "PhoneService", "PaperlessBilling"]
