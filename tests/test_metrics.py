@@ -1,4 +1,5 @@
 import math
+import random
 
 import numpy as np
 import pytest
@@ -6,7 +7,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from churnline.functions.ordering import order_cuts, sequence_numbers
+from churnline.functions.ordering import order_cuts, running_totals, sequence_numbers
 from churnline.operators import metrics
 from churnline.schema import KEY, LABEL
 
@@ -160,3 +161,17 @@ def test_one_row_per_asked_position_whatever_the_ties(spark):
     )
     curve = metrics.gains_curve(data, points=400).orderBy("k").collect()
     assert [r["k"] for r in curve] == list(range(10, 4001, 10)) and curve[-1]["captured"] == 2000
+
+
+def test_running_totals_per_group(spark):
+    source = random.Random(8)
+    rows = [(g, v, source.randint(1, 9)) for g in "ab" for v in {round(source.lognormvariate(0, 3), 3) for _ in range(700)}]
+    rows += [("a", None, 4), ("c", 1.0, 2)]
+    data = spark.createDataFrame(rows, "g string, v double, n long")
+    for descending in (False, True):
+        got = running_totals(data, "v", ["n"], descending, by=["g"]).collect()
+        assert len(got) == len(rows)
+        for r in got:
+            rank = lambda v: float("-inf") if v is None else v
+            ahead = lambda v: rank(v) > rank(r["v"]) if descending else rank(v) < rank(r["v"])
+            assert r["n_before"] == sum(n for g, v, n in rows if g == r["g"] and ahead(v))
