@@ -6,10 +6,13 @@ belong to) the middle of each measure over all documents gives a band; a text ou
 band is rejected. Documents below MIN_WORDS words or with most words in repeated 3-word
 windows are rejected by the base rules.
 
-Medians are weighted by documents and read from counts per group and bin, so nothing but
-(group, bin) counts is shuffled; a group never meets in one task. A group with fewer than
-MIN_GROUP documents has no band and rejects nothing. A band is at least FLOOR of the median
-wide to either side, so thousands of equal texts cannot narrow it to themselves.
+A band reaches some median absolute deviations from the median, by measure and side: junk of
+sf0.1 that passes the base rules lies 3 to 13 below the middle of its characters per token.
+Equal texts count once, so thousands of copies cannot narrow a band to themselves; FLOOR of
+the median is the least deviation, below that of every language there. Byte fallback is so
+rare that it has no spread; its band is a fixed width. Medians are read from counts per group
+and bin, a group never meets in one task; a row of bins per text is shuffled for the copies.
+A group with fewer than MIN_GROUP texts has no band and rejects nothing.
 
 Null and empty texts have no words and fail the base rules. Repeated rows are judged alike.
 Texts are read whole. All columns of the input pass through ``with_quality``.
@@ -35,9 +38,9 @@ VOCABULARY = public_tokenizers.path("piece_bpe_32k.model")
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 MIN_GROUP = 30
-WIDTH = 8.0
-#: (measure, bin width, least width of half a band as a share of the median, as a number)
-MEASURES = (("chars_per_token", 0.01, 0.25, 0.0), ("byte_share", 0.001, 0.0, 0.08), ("token_entropy", 0.02, 0.25, 0.0))
+FLOOR = 0.01
+#: (measure, bin width, deviations below the median, above it, least half band as a number)
+MEASURES = (("chars_per_token", 0.01, 5.0, 8.0, 0.0), ("byte_share", 0.001, 8.0, 8.0, 0.08), ("token_entropy", 0.02, 5.0, 8.0, 0.0))
 CACHE = 500_000
 
 _SYMBOLS = re.compile(r"[#*$%&|<>]")
@@ -151,11 +154,12 @@ def measures(vocabulary: str = VOCABULARY):
     return measured
 
 
-def bands(measured: DataFrame, group: str) -> DataFrame:
-    """One row per group: (group, low and high of each measure), from all documents of MIN_WORDS words."""
+def bands(measured: DataFrame, group: str, same: str) -> DataFrame:
+    """One row per group: (group, low and high of each measure), from all texts (told apart by ``same``) of MIN_WORDS words."""
     long = measured.where(F.col("n_words") >= MIN_WORDS)
-    bins = F.array(*[F.struct(F.lit(m).alias("measure"), F.round(F.col(m) / w).cast("long").alias("bin")) for m, w, _, _ in MEASURES])
-    counts = long.select(group, F.explode(bins).alias("b")).groupBy(group, "b.measure", "b.bin").agg(F.count("*").alias("n"))
+    texts = long.select(group, same, *[F.round(F.col(m) / w).cast("long").alias(m) for m, w, *_ in MEASURES]).distinct()
+    bins = F.array(*[F.struct(F.lit(m).alias("measure"), F.col(m).alias("bin")) for m, *_ in MEASURES])
+    counts = texts.select(group, F.explode(bins).alias("b")).groupBy(group, "b.measure", "b.bin").agg(F.count("*").alias("n"))
 
     def middle(rows: DataFrame, value: str, out: str) -> DataFrame:
         by = [group, "measure"]
@@ -171,10 +175,11 @@ def bands(measured: DataFrame, group: str) -> DataFrame:
     spread = middle(away.groupBy(group, "measure", "away").agg(F.sum("n").alias("n")), "away", "mad")
     both = centre.join(spread, [group, "measure"])
     sides = []
-    for m, w, share, least in MEASURES:
-        own = F.col("measure") == m
-        half = F.greatest(WIDTH * F.col("mad") * w, share * F.col("median") * w, F.lit(least))
-        sides += [F.max(F.when(own, F.col("median") * w - half)).alias(f"low_{m}"), F.max(F.when(own, F.col("median") * w + half)).alias(f"high_{m}")]
+    for m, w, below, above, least in MEASURES:
+        own, middle_ = F.col("measure") == m, F.col("median") * w
+        # Half a bin more: values were rounded to bins.
+        low, high = (F.greatest(n * F.greatest(F.col("mad") * w, FLOOR * middle_), F.lit(least)) + w / 2 for n in (below, above))
+        sides += [F.max(F.when(own, middle_ - low)).alias(f"low_{m}"), F.max(F.when(own, middle_ + high)).alias(f"high_{m}")]
     return both.where(F.col("n_median") >= MIN_GROUP).groupBy(group).agg(*sides)
 
 
@@ -185,18 +190,19 @@ def base_failed(row: Column) -> Column:
 def with_quality(docs: DataFrame, column: str = "quality", keep: list[str] | None = None, vocabulary: str = VOCABULARY) -> DataFrame:
     """The columns ``keep`` of ``docs`` (all) and a struct ``column``: measures, base_failed, kept."""
     keep = docs.columns if keep is None else keep
-    measured = written(docs.select(*keep, measures(vocabulary)("text").alias(column)), "quality")
+    same = free_name(docs.select(*keep), "same_text")
+    measured = written(docs.select(*keep, F.xxhash64("text").alias(same), measures(vocabulary)("text").alias(column)), "quality")
     script = F.concat(F.lit("script:"), F.col(f"{column}.script"))
     group = F.coalesce(F.concat(F.lit("lang:"), F.col("lang").cast("string")), script) if "lang" in keep else script
     key = free_name(measured, "band_group")
     rows = measured.withColumn(key, group)
-    limits = bands(rows.select(F.col(key).alias("group"), f"{column}.*"), "group")
+    limits = bands(rows.select(F.col(key).alias("group"), F.col(same).alias("same"), f"{column}.*"), "group", "same")
     band = free_name(rows, "band")
     limits = limits.select(F.col("group").alias(key), F.struct(*[c for c in limits.columns if c != "group"]).alias(band))
     # One short row per language or script.
     rows = rows.join(F.broadcast(limits), key, "left")
     inside = F.lit(True)
-    for m, _, _, _ in MEASURES:
+    for m, *_ in MEASURES:
         inside = inside & F.col(f"{column}.{m}").between(F.col(f"{band}.low_{m}"), F.col(f"{band}.high_{m}"))
     failed = base_failed(F.col(column))
     kept = ~failed & F.coalesce(inside, F.lit(True))

@@ -330,6 +330,21 @@ def test_bands_reject_odd_texts(spark):
     assert 300 not in kept and len(kept) >= 295
 
 
+def test_fertility_rejects_what_the_base_rules_pass(spark):
+    source = random.Random(12)
+    words = "the house of many small green stones stands near water while people walk along narrow roads".split()
+    plain = [" ".join(source.choice(words) for _ in range(120)) for _ in range(300)]
+    # Symbols after a word in three: somewhat fewer characters a token, nothing repeated and enough words.
+    junk = [" ".join(source.choice(words) + ("###" if k % 3 == 0 else "") for k in range(120)) for _ in range(10)]
+    copies = [plain[0]] * 900
+    rows = spark.createDataFrame([(i, t, "en") for i, t in enumerate([*plain, *junk, *copies])], "doc_id long, text string, lang string")
+    judged = {r.doc_id: r.quality for r in quality.with_quality(rows).collect()}
+    assert not any(q.base_failed for q in judged.values())
+    assert not any(judged[i].kept for i in range(300, 310))
+    # Copies neither hide the others' spread nor fall out themselves.
+    assert sum(judged[i].kept for i in range(300)) >= 295 and all(judged[i].kept for i in range(310, 1210))
+
+
 def test_leaks_within_the_budget(spark, empty):
     source = random.Random(4)
     letters = "abcdefghijklmnopqrstuvwxyz   "
