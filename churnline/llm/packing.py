@@ -45,8 +45,8 @@ class Tokens:
     """Ids of the ``word_bpe`` file, put together from remembered chunks and words.
 
     That tokenizer drops white space and merges within words of its pattern only, so a text's
-    ids are those of its chunks between spaces and line feeds. Chunks below U+0250 are
-    lower-cased and cut into words here; any other goes through the tokenizer whole.
+    ids are those of its chunks between spaces and line feeds. Chunks that are below U+0250,
+    also in lower case, are cut into words here; any other goes through the tokenizer whole.
     """
 
     def __init__(self, path: str):
@@ -74,9 +74,10 @@ class Tokens:
         if ids is None:
             if len(self.chunks) >= CACHE:
                 self.chunks.clear()
-            if chunk and max(chunk) < "ɐ" and "<|" not in chunk:
-                words = self.pattern.findall(unicodedata.normalize("NFC", chunk).lower())
-                ids = b"".join(map(self._word, words))
+            plain = unicodedata.normalize("NFC", chunk).lower() if chunk and max(chunk) < "ɐ" and "<|" not in chunk else ""
+            # Some capitals below U+0250 have small letters above it.
+            if plain and max(plain) < "ɐ":
+                ids = b"".join(map(self._word, self.pattern.findall(plain)))
             else:
                 ids = np.array(self.whole.encode(chunk, add_special_tokens=False).ids, dtype="<u4").tobytes()
             self.chunks[chunk] = ids

@@ -291,6 +291,15 @@ def test_packing_is_whole_and_tight(docs, empty):
     assert packing.pack(empty).count() == 0
 
 
+def test_packing_ids_equal_the_library_on_every_code_point():
+    own = packing.Tokens(packing.VOCABULARY)
+    points = [chr(c) for c in range(1, 0x110000) if not 0xD800 <= c < 0xE000]
+    low, high = points[:0x250], points[0x250:]
+    texts = [t for c in low for t in (c, f"a{c}b", f"{c}{c} x{c}")] + [" ".join(f"a{c}b" for c in high[i : i + 64]) for i in range(0, len(high), 64)]
+    for text, want in zip(texts, own.whole.encode_batch(texts, add_special_tokens=False)):
+        assert own.of(text).tolist() == [*want.ids, packing.END_ID], text
+
+
 def test_index_ranks_by_bm25():
     class Given:
         idf, mean_length = np.array([1.0, 2.0, 0.5, 0.0], dtype=np.float32), 3.0
