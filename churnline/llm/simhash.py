@@ -149,7 +149,7 @@ def fingerprint_components(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFram
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
-    """One row per document: doc_id, same (hash of the text), fp, component_id."""
+    """One row per document: doc_id, same (hash of the text), fp, component (its smallest fp), component_id."""
     rows = docs.select("doc_id", "text", F.monotonically_increasing_id().alias("row"), F.xxhash64("text").alias("same"))
     prints = written(fingerprints(rows, ["row", "doc_id", "same"], shingle=shingle), "fingerprints")
     return _named(prints, max_bits)
@@ -159,14 +159,15 @@ def _named(prints: DataFrame, max_bits: int) -> DataFrame:
     distinct = written(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct")
     found = fingerprint_components(distinct, max_bits).join(distinct, "fp")
     least = found.groupBy("component").agg(F.min("least").alias("component_id"))
-    by_fp = found.join(least, "component").select("fp", "component_id")
-    return prints.join(by_fp, "fp").select("doc_id", "same", "fp", "component_id")
+    by_fp = found.join(least, "component").select("fp", "component", "component_id")
+    return prints.join(by_fp, "fp").select("doc_id", "same", "fp", "component", "component_id")
 
 
 def one_of_each(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
     """One document of each component, that of the smallest id, with all its columns."""
     named = near_duplicates(docs, shingle, max_bits)
-    kept = named.groupBy("component_id").agg(F.min(F.struct("doc_id", "same")).alias("k"), F.max("fp").alias("fp"))
+    # Ids may be null or repeated, so they do not tell components apart.
+    kept = named.groupBy("component").agg(F.min(F.struct("doc_id", "same")).alias("k"))
     id_, same = free_name(docs, "kept_id"), free_name(docs, "kept_same")
     kept = kept.select(F.col("k.doc_id").alias(id_), F.col("k.same").alias(same))
     rows = docs.join(kept, docs["doc_id"].eqNullSafe(kept[id_]) & (F.xxhash64(docs["text"]) == kept[same]), "left_semi")

@@ -266,6 +266,15 @@ def test_one_of_each_keeps_one_row(docs):
     assert kept.count() == named.select("component_id").distinct().count()
 
 
+def test_one_of_each_with_null_and_repeated_ids(spark):
+    source = random.Random(10)
+    made = [" ".join("".join(source.choice("abcdefghij") for _ in range(6)) for _ in range(60)) for _ in range(12)]
+    ids = [None] * 5 + [7] * 5 + [8, 9]
+    rows = [*zip(ids, made), (None, made[0]), (7, made[6]), (10, made[11])]
+    kept = simhash.one_of_each(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert Counter(map(tuple, kept)) == Counter(zip(ids, made))
+
+
 def test_packing_is_whole_and_tight(docs, empty):
     model = tokenizers.Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
     ids = defaultdict(list)
