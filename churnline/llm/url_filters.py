@@ -5,7 +5,9 @@ it looks variable (digits, long codes) or if its level under one parent has near
 different values as paths. Sibling branches whose share of blocked pages does not differ
 from that of the level as a whole (a z-test) are merged into the level's wildcard. What is
 left are templates; a template is rejected if its blocked share, smoothed towards its host's,
-which is smoothed towards that of all pages, reaches LIMIT. Segments from MAX_DEPTH on are one.
+which is smoothed towards that of all pages, reaches LIMIT. All segments are looked at. Where
+the labelled pages below a branch are all blocked or all not, no test can set a part of them
+apart: what is left of these paths are wildcards, and they leave the loop.
 
 Labels are the verdicts of the given allow and block rules unless a table (page_id, blocked)
 is given. A page that a rule decides keeps the rule's verdict; all others get that of their
@@ -16,6 +18,9 @@ come first, so a host with a third of all pages only widens them.
 
 from __future__ import annotations
 
+from functools import reduce
+from itertools import count
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,7 +36,6 @@ RULES = (
 )
 VARIABLE = r"^(?=.*[0-9]).*$|^[0-9a-f-]{16,}$|^.{40,}$"
 ANY = "*"
-MAX_DEPTH = 6
 MIN_PATHS = 8
 MAX_DISTINCT = 0.5
 MIN_Z = 2.5
@@ -67,14 +71,17 @@ def _share(blocked: Column, labelled: Column, towards: Column) -> Column:
 def path_templates(paths: DataFrame) -> DataFrame:
     """(host, path, template) for distinct (host, path, n, labelled, blocked)."""
     segments = F.filter(F.split("path", "/"), lambda s: s != "")
-    head = F.slice(segments, 1, MAX_DEPTH - 1)
-    rest = F.when(F.size(segments) >= MAX_DEPTH, F.array(F.lit(ANY + ANY))).otherwise(F.array().cast("array<string>"))
-    rows = paths.withColumn("segments", F.concat(head, rest)).withColumn("template", F.lit(""))
-    for depth in range(MAX_DEPTH):
+    rows = paths.withColumn("segments", segments).withColumn("template", F.lit(""))
+    ended = []
+    for depth in count():
         own = F.get("segments", F.lit(depth))
         literal = F.when(own.rlike(VARIABLE), F.lit(ANY)).otherwise(own)
         rows = written(rows.withColumn("branch", literal), "branches")
-        level = rows.where("branch is not null").groupBy("host", "template", "branch").agg(
+        ended.append(rows.where("branch is null").select("host", "path", "template", "n", "labelled", "blocked"))
+        rows = rows.where("branch is not null")
+        if rows.isEmpty():
+            return reduce(DataFrame.unionByName, ended)
+        level = rows.groupBy("host", "template", "branch").agg(
             F.count("*").alias("paths"), F.sum("labelled").alias("labelled"), F.sum("blocked").alias("blocked")
         )
         # Folded and joined: a window would bring all branches of a host into one task.
@@ -86,10 +93,12 @@ def path_templates(paths: DataFrame) -> DataFrame:
         usual = (F.col("all_blocked") + 0.5) / (F.col("all_labelled") + 1.0)
         z = (F.col("blocked") - F.col("labelled") * usual) / F.sqrt(F.col("labelled") * usual * (1 - usual) + 1e-9)
         alike = (F.col("labelled") == 0) | (F.abs(z) < MIN_Z)
-        known = level.select("host", "template", "branch", F.when(many | alike, F.lit(ANY)).otherwise(F.col("branch")).alias("step"))
-        rows = rows.join(known, ["host", "template", "branch"], "left")
-        rows = rows.withColumn("template", F.concat("template", F.coalesce(F.concat(F.lit("/"), "step"), F.lit("")))).drop("branch", "step")
-    return rows.select("host", "path", "template", "n", "labelled", "blocked")
+        step = F.when(many | alike, F.lit(ANY)).otherwise(F.col("branch")).alias("step")
+        settled = ((F.col("all_blocked") == 0) | (F.col("all_blocked") == F.col("all_labelled"))).alias("settled")
+        rows = rows.join(level.select("host", "template", "branch", step, settled), ["host", "template", "branch"])
+        rest = F.expr(f"repeat('/{ANY}', size(segments) - {depth})")
+        rows = rows.withColumn("template", F.concat("template", F.when(F.col("settled"), rest).otherwise(F.concat(F.lit("/"), "step"))))
+        rows = rows.withColumn("segments", F.when(~F.col("settled"), F.col("segments"))).drop("branch", "step", "settled")
 
 
 def purities(templated: DataFrame) -> DataFrame:

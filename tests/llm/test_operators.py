@@ -213,6 +213,15 @@ def test_url_rules_and_templates(spark):
     assert url_filters.judge(pages.limit(0)).count() == 0
 
 
+def test_url_sections_far_down(spark):
+    deep = [(i, f"http://d.net/a/b/c/d/e/f/{'bad' if i % 2 else 'good'}/p{i}/end", i % 2) for i in range(200)]
+    six = [(1000 + i, f"http://six.net/a/b/c/d/e/{'bad' if i % 2 else 'good'}", i % 2) for i in range(200)]
+    table = spark.createDataFrame(deep + six, "page_id long, url string, blocked int")
+    for r in url_filters.judge(table, table.select("page_id", "blocked"), ()).collect():
+        assert r.verdict == ("block" if r.page_id % 2 else "allow")
+        assert r.template == ("/*" * 6 + f"/{'bad' if r.page_id % 2 else 'good'}/*/*" if r.page_id < 1000 else "/*" * 5 + f"/{'bad' if r.page_id % 2 else 'good'}")
+
+
 def fingerprint(text):
     ws = (text or "").translate(UPPER).encode().split()
     shingles = [b" ".join(ws[i : i + 3]) for i in range(len(ws) - 2)] if len(ws) > 2 else [b" ".join(ws)] * bool(ws)
