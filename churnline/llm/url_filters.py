@@ -2,7 +2,7 @@
 
 Paths become lists of segments. Going down from the host, a segment becomes a wildcard if
 it looks variable (digits, long codes) or if its level under one parent has nearly as many
-different values as paths. Sibling branches whose share of blocked pages does not differ
+different values as paths and it has itself fewer than MIN_PATHS of them. Sibling branches whose share of blocked pages does not differ
 from that of the level as a whole (a z-test) are merged into the level's wildcard. What is
 left are templates; a template is rejected if its blocked share, smoothed towards its host's,
 which is smoothed towards that of all pages, reaches LIMIT. All segments are looked at. Where
@@ -93,7 +93,9 @@ def path_templates(paths: DataFrame) -> DataFrame:
         usual = (F.col("all_blocked") + 0.5) / (F.col("all_labelled") + 1.0)
         z = (F.col("blocked") - F.col("labelled") * usual) / F.sqrt(F.col("labelled") * usual * (1 - usual) + 1e-9)
         alike = (F.col("labelled") == 0) | (F.abs(z) < MIN_Z)
-        step = F.when(many | alike, F.lit(ANY)).otherwise(F.col("branch")).alias("step")
+        # Among many values only a branch with paths enough to test is held apart.
+        few = many & (F.col("paths") < MIN_PATHS)
+        step = F.when(few | alike, F.lit(ANY)).otherwise(F.col("branch")).alias("step")
         settled = ((F.col("all_blocked") == 0) | (F.col("all_blocked") == F.col("all_labelled"))).alias("settled")
         rows = rows.join(level.select("host", "template", "branch", step, settled), ["host", "template", "branch"])
         rest = F.expr(f"repeat('/{ANY}', size(segments) - {depth})")

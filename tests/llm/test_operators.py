@@ -222,6 +222,15 @@ def test_url_sections_far_down(spark):
         assert r.template == ("/*" * 6 + f"/{'bad' if r.page_id % 2 else 'good'}/*/*" if r.page_id < 1000 else "/*" * 5 + f"/{'bad' if r.page_id % 2 else 'good'}")
 
 
+def test_url_section_among_many_slugs(spark):
+    name = lambda i: "".join(chr(97 + i // 26**k % 26) for k in range(3))
+    slugs = [(i, f"http://m.net/{name(i)}/page", 0) for i in range(600)]
+    spam = [(1000 + i, f"http://m.net/spam/{name(i)}", 1) for i in range(400)]
+    table = spark.createDataFrame(slugs + spam, "page_id long, url string, blocked int")
+    for r in url_filters.judge(table, table.select("page_id", "blocked"), ()).collect():
+        assert (r.template, r.verdict) == (("/spam/*", "block") if r.page_id >= 1000 else ("/*/*", "allow"))
+
+
 def fingerprint(text):
     ws = (text or "").translate(UPPER).encode().split()
     shingles = [b" ".join(ws[i : i + 3]) for i in range(len(ws) - 2)] if len(ws) > 2 else [b" ".join(ws)] * bool(ws)
