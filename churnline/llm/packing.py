@@ -1,9 +1,12 @@
 """Operator 8, packing: windows filled by lexical retrieval.
 
 Documents become token ids with an end id. Whole windows inside a long document stand alone;
-what is left of each document enters the pool of its shard. A shard is a run of documents of
-one partition with an inverted index of their tokens, weighted by BM25 with document
-frequencies of the whole corpus. A seed's unused neighbours, best first, fill its window;
+what is left of each document enters the pool of its shard. Documents are dealt to shards by
+content: the corpus is sorted by the commonest tokens of each that tell documents apart (a
+hash of the ids breaks ties, so copies can be dealt to several tasks), and a shard is a run of
+SHARD_DOCS documents of that order, with an inverted index of their tokens, weighted by BM25
+with document frequencies of the whole corpus. Neighbours in other shards are not found; the
+README says how many those are. A seed's unused neighbours, best first, fill its window;
 the last one is cut where the window ends and its rest stays in the pool. What a shard cannot
 fill is handed to the partition's next shard, and at the end of a partition split into
 sequences of powers of two, which need no padding.
@@ -34,6 +37,8 @@ VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 WINDOW = 2048
 END_ID = 1
 SHARD_DOCS = 512
+#: Tokens in the key that documents are sorted by.
+KEY_TOKENS = 32
 K1, B = 1.2, 0.75
 CACHE = 500_000
 
@@ -131,9 +136,31 @@ class Weights:
                 df[token] = n
         # Tokens of more than half of all documents say nothing.
         self.idf = np.maximum(0.0, np.log((docs - df + 0.5) / (df + 0.5))).astype(np.float32)
+        # Place of each token from the commonest to the rarest.
+        self.place = np.empty(size, dtype=">u4")
+        self.place[np.argsort(-df, kind="stable")] = np.arange(size)
         self.mean_length = max(1.0, totals.get(-1, 0) / max(1, docs))
 
 
+def by_content(stored: DataFrame, weights: Weights, kind: str) -> DataFrame:
+    """``stored`` sorted over all partitions by what is left of each document beyond whole windows."""
+    place, telling = weights.place, weights.idf > 0
+
+    @F.arrow_udf("binary")
+    def key(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for rows in batches:
+            out = []
+            for row in rows:
+                ids = np.frombuffer(row.as_py(), dtype=kind)
+                tail = np.unique(ids[len(ids) - len(ids) % WINDOW :])
+                out.append(np.sort(place[tail[telling[tail]]])[:KEY_TOKENS].tobytes())
+            yield pa.array(out, pa.binary())
+
+    order = ["content", "salt", "doc_id"]
+    keyed = stored.withColumn("content", key("ids")).withColumn("salt", F.xxhash64("doc_id", "ids"))
+    return keyed.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "ids")
+
+
 class Index:
     """Inverted index of some token lists."""
 
@@ -259,7 +286,7 @@ def pack(docs: DataFrame, vocabulary: str = VOCABULARY, shard_docs: int = SHARD_
         tail = [s for w in windows if sum(p[2] for p in w) < WINDOW for s in powers_of_two(w)]
         yield rows(full + tail)
 
-    return stored.mapInArrow(run, PIECES + ", ids binary")
+    return by_content(stored, weights, kind).mapInArrow(run, PIECES + ", ids binary")
 
 
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

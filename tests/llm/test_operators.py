@@ -327,6 +327,19 @@ def test_packing_ids_equal_the_library_on_every_code_point():
         assert own.of(text).tolist() == [*want.ids, packing.END_ID], text
 
 
+def test_related_documents_meet_whatever_their_place(spark):
+    source = random.Random(11)
+    subjects = ["river stone bridge water", "piano violin chorus melody", "bread butter cheese onion", "engine wheel brake petrol"]
+    # Subjects take turns, so that no two documents of one subject are near in the file.
+    rows = [(i, " ".join(source.choice(subjects[i % 4].split()) for _ in range(700))) for i in range(64)]
+    pieces = packing.pack(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1), shard_docs=4).collect()
+    of = defaultdict(set)
+    for r in pieces:
+        of[r.sequence_id].add(r.doc_id % 4)
+    full = [s for s in of if sum(r.length for r in pieces if r.sequence_id == s) == packing.WINDOW]
+    assert sum(len(of[s]) == 1 for s in full) >= 0.6 * len(full)
+
+
 def test_index_ranks_by_bm25():
     class Given:
         idf, mean_length = np.array([1.0, 2.0, 0.5, 0.0], dtype=np.float32), 3.0
