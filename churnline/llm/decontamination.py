@@ -7,7 +7,7 @@ then decides. Texts and items are lower-cased, white space runs become one space
 
 Null and empty texts have no leaks; null and blank items match nothing. Items below
 MIN_CHARS characters are matched without edits, as whole words. Equal items under several
-ids are all reported. Texts are read whole. Benchmarks larger than BLOCK_CHARS are taken
+ids are all reported, a null item_id as null. Texts are read whole. Benchmarks larger than BLOCK_CHARS are taken
 in blocks, each searched in all documents.
 """
 
@@ -79,12 +79,12 @@ class Pattern:
 class Matcher:
     """All places of some items in texts, within each item's error budget."""
 
-    def __init__(self, items: list[tuple[int, str]]):
-        by_text: dict[str, list[int]] = {}
+    def __init__(self, items: list[tuple[int | None, str]]):
+        by_text: dict[str, list[int | None]] = {}
         for item_id, text in items:
             if text:
                 by_text.setdefault(text, []).append(item_id)
-        self.texts, self.ids = list(by_text), [sorted(ids) for ids in by_text.values()]
+        self.texts, self.ids = list(by_text), list(by_text.values())
         self.patterns = [Pattern(t) for t in self.texts]
         owners: dict[str, list[tuple[int, int]]] = {}
         for k, text in enumerate(self.texts):
@@ -96,8 +96,8 @@ class Matcher:
         if owners:
             self.automaton.make_automaton()
 
-    def places(self, text: str) -> list[tuple[int, int, int, int]]:
-        """(item id, start, end, distance) in a normalised text, sorted."""
+    def places(self, text: str) -> list[tuple[int | None, int, int, int]]:
+        """(item id, start, end, distance) in a normalised text, sorted, null ids last."""
         if not self.texts:
             return []
         starts: dict[int, list[int]] = {}
@@ -112,7 +112,7 @@ class Matcher:
             else:
                 ends = self._verified(pattern, text, at)
             found += [(i, *place) for place in ends for i in self.ids[k]]
-        return sorted(found)
+        return sorted(found, key=lambda p: (p[0] is None, p[0] or 0, *p[1:]))
 
     @staticmethod
     def _verified(pattern: Pattern, text: str, at: list[int]) -> list[tuple[int, int, int]]:
@@ -136,9 +136,9 @@ def _whole_words(text: str, start: int, end: int) -> bool:
     return not (start and text[start - 1].isalnum() and text[start].isalnum()) and not (end < len(text) and text[end].isalnum() and text[end - 1].isalnum())
 
 
-def blocks(benchmark: DataFrame) -> Iterator[list[tuple[int, str]]]:
+def blocks(benchmark: DataFrame) -> Iterator[list[tuple[int | None, str]]]:
     """Normalised items in blocks of about BLOCK_CHARS characters, each fit for a broadcast."""
-    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).where("item_id is not null and text is not null")
+    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).where("text is not null")
     chars = items.agg(F.sum(F.length("text"))).first()[0] or 0
     n = -(-chars // BLOCK_CHARS) or 1
     for b in range(n):
@@ -146,7 +146,7 @@ def blocks(benchmark: DataFrame) -> Iterator[list[tuple[int, str]]]:
         yield [(r.item_id, normalised(r.text)) for r in rows]
 
 
-def leaks_in(items: list[tuple[int, str]]):
+def leaks_in(items: list[tuple[int | None, str]]):
     """Column function: the places of ``items`` in a text column."""
 
     @F.arrow_udf(LEAKS)

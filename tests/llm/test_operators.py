@@ -411,6 +411,14 @@ def test_leaks_within_the_budget(spark, empty):
     assert decontamination.without_leaks(docs, bench.limit(0)).count() == 7
 
 
+def test_items_without_id_are_searched(spark):
+    item = "what is the name of the longest river that flows through the old town"
+    bench = spark.createDataFrame([(None, item), (3, item), (None, None)], "item_id long, text string")
+    docs = spark.createDataFrame([(0, f"so {item} then"), (1, "clean text")], "doc_id long, text string")
+    assert {(r.doc_id, r.item_id) for r in decontamination.find_leaks(docs, bench).collect()} == {(0, None), (0, 3)}
+    assert [r.doc_id for r in decontamination.without_leaks(docs, bench.where("item_id is null")).collect()] == [1]
+
+
 def test_best_place_is_the_nearest():
     source = random.Random(6)
     for _ in range(200):
