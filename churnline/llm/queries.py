@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from churnline.llm.context_tree import op2_context_tree
 from churnline.llm.decontamination import op10_decontamination
 from churnline.llm.licenses import op5_licenses
+from churnline.llm.lines import OP13_SQL, op13_line_dedup
 from churnline.llm.packing import op8_packing
 from churnline.llm.quality import op9_quality
 from churnline.llm.sharding import op1_sharding
@@ -30,8 +31,9 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_packing": op8_packing,
         "op9_quality": op9_quality,
         "op10_decontamination": op10_decontamination,
+        "op13_line_dedup": op13_line_dedup,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op13_line_dedup": OP13_SQL}
