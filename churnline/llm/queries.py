@@ -10,6 +10,7 @@ from churnline.llm.context_tree import op2_context_tree
 from churnline.llm.decontamination import op10_decontamination
 from churnline.llm.licenses import op5_licenses
 from churnline.llm.lines import OP13_SQL, op13_line_dedup
+from churnline.llm.merkle import op12_merkle, op12_sql
 from churnline.llm.packing import op8_packing
 from churnline.llm.quality import op9_quality
 from churnline.llm.sharding import op1_sharding
@@ -31,9 +32,10 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_packing": op8_packing,
         "op9_quality": op9_quality,
         "op10_decontamination": op10_decontamination,
+        "op12_merkle": op12_merkle,
         "op13_line_dedup": op13_line_dedup,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op13_line_dedup": OP13_SQL}
+    return {"op12_merkle": op12_sql(), "op13_line_dedup": OP13_SQL}
