@@ -12,6 +12,7 @@ from churnline.llm.licenses import op5_licenses
 from churnline.llm.lines import OP13_SQL, op13_line_dedup
 from churnline.llm.merkle import op12_merkle, op12_sql
 from churnline.llm.packing import op8_packing
+from churnline.llm.phrases import OP11_SQL, op11_phrases
 from churnline.llm.quality import op9_quality
 from churnline.llm.sharding import op1_sharding
 from churnline.llm.simhash import op7_simhash
@@ -32,10 +33,11 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_packing": op8_packing,
         "op9_quality": op9_quality,
         "op10_decontamination": op10_decontamination,
+        "op11_phrases": op11_phrases,
         "op12_merkle": op12_merkle,
         "op13_line_dedup": op13_line_dedup,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op12_merkle": op12_sql(), "op13_line_dedup": OP13_SQL}
+    return {"op11_phrases": OP11_SQL, "op12_merkle": op12_sql(), "op13_line_dedup": OP13_SQL}
