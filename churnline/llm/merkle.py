@@ -78,7 +78,7 @@ def build_block(digests: list[bytes], height: int) -> bytes:
     return nodes.tobytes()
 
 
-def block_levels(nodes: bytes, leaves: int, height: int) -> list[list[str]]:
+def stored_levels(nodes: bytes, leaves: int, height: int) -> list[list[str]]:
     """Digests as hex text, level by level from the leaves up, without the block's root."""
     stored = np.frombuffer(nodes, np.uint8).reshape(-1, DIGEST)
     levels = []
@@ -164,27 +164,27 @@ def placed(leaves: DataFrame, order: list[str]) -> DataFrame:
 _BLOCK = "tree string, block long, height int, leaves int, above int, nodes binary"
 
 
-def _block_of(place: str = "place") -> Column:
-    return F.expr(f"{place} div {FAN**BLOCK_LEVELS}")
+def _block_of(levels: int) -> Column:
+    return F.expr(f"place div {FAN**levels}")
 
 
-def _built(group: pa.Table) -> pa.Table:
+def _built(group: pa.Table, levels: int) -> pa.Table:
     group = group.sort_by("place")
     first = {c: group.column(c)[0].as_py() for c in ("tree", "block", "height")}
-    height = min(BLOCK_LEVELS, first["height"])
+    height = min(levels, first["height"])
     nodes = build_block(group.column("digest").to_pylist(), height)
     row = {"tree": first["tree"], "block": first["block"], "height": height, "leaves": len(group), "above": first["height"] - height, "nodes": nodes}
     kinds = [pa.string(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary()]
     return pa.table({n: pa.array([v], k) for (n, v), k in zip(row.items(), kinds)})
 
 
-def bands(leaves: DataFrame) -> list[DataFrame]:
+def bands(leaves: DataFrame, levels: int = BLOCK_LEVELS) -> list[DataFrame]:
     """Blocks of all trees, the lowest band first; ``above`` says how many levels are over a block."""
     found = []
     level = leaves.select("tree", "place", "digest", "height")
     while True:
-        grouped = level.withColumn("block", _block_of()).groupBy("tree", "block")
-        blocks = written(grouped.applyInArrow(_built, _BLOCK), f"blocks{len(found)}")
+        grouped = level.withColumn("block", _block_of(levels)).groupBy("tree", "block")
+        blocks = written(grouped.applyInArrow(lambda group: _built(group, levels), _BLOCK), f"blocks{len(found)}")
         found.append(blocks)
         open_blocks = blocks.where("above > 0")
         if open_blocks.isEmpty():
@@ -205,6 +205,7 @@ class Manifest:
     sources: list[DataFrame]
     subroots: DataFrame
     dataset: list[DataFrame]
+    block_levels: int
 
     def root(self) -> str | None:
         """The dataset's root as hex text, None without documents."""
@@ -221,30 +222,30 @@ class Manifest:
         return whole
 
 
-def manifest(docs: DataFrame, claimed: Column | None = None) -> Manifest:
+def manifest(docs: DataFrame, claimed: Column | None = None, block_levels: int = BLOCK_LEVELS) -> Manifest:
     """Trees over ``docs``; ``claimed`` is a digest to check in a leaf's place (its own if not given)."""
     rows = docs.select(F.col("doc_id"), tree_of().alias("tree"), leaf_digest({}).alias("digest"), (leaf_digest({}) if claimed is None else claimed).alias("claimed"))
     leaves = placed(rows, ["doc_id", "digest"])
-    sources = bands(leaves)
+    sources = bands(leaves, block_levels)
     closed = [b.where("above = 0").select("tree", root_of_block().alias("digest")) for b in sources]
     subroots = closed[0]
     for more in closed[1:]:
         subroots = subroots.unionByName(more)
     subroots = placed(subroots.select(F.lit("").alias("tree"), F.col("tree").alias("source_tree"), "digest"), ["source_tree"])
-    return Manifest(leaves, sources, subroots, bands(subroots))
+    return Manifest(leaves, sources, subroots, bands(subroots, block_levels), block_levels)
 
 
 # ---- proofs ----------------------------------------------------------------------------
 
 
-def _handed_down(blocks: DataFrame) -> DataFrame:
+def _handed_down(blocks: DataFrame, block_levels: int) -> DataFrame:
     """(tree, place, subroot, way): for each leaf of each block, the way from it to the root."""
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                levels = block_levels(row["nodes"], row["leaves"], row["height"])
-                n, first = row["leaves"], row["block"] * FAN**BLOCK_LEVELS
+                levels = stored_levels(row["nodes"], row["leaves"], row["height"])
+                n, first = row["leaves"], row["block"] * FAN**block_levels
                 ways = [packed(steps(levels, i)) + row["way"] for i in range(n)]
                 columns = [pa.array([row["tree"]] * n, pa.string()), pa.array(range(first, first + n), pa.int64()), pa.array([row["subroot"]] * n, pa.binary()), pa.array(ways, pa.binary())]
                 yield pa.RecordBatch.from_arrays(columns, names=["tree", "place", "subroot", "way"])
@@ -261,7 +262,7 @@ def ways_to_blocks(found: Manifest) -> DataFrame:
             ready = blocks.select("*", nothing.alias("subroot"), nothing.alias("way"))
         else:
             ready = blocks.join(ways.withColumnRenamed("place", "block"), ["tree", "block"])
-        ways = written(_handed_down(ready), "ways")
+        ways = written(_handed_down(ready, found.block_levels), "ways")
     of_source = ways.join(found.subroots.select("tree", "place", "source_tree", "digest"), ["tree", "place"])
     of_source = of_source.select(F.col("source_tree").alias("tree"), F.lit(0).cast("long").alias("block"), F.col("digest").alias("subroot"), "way")
     ways = None
@@ -272,17 +273,17 @@ def ways_to_blocks(found: Manifest) -> DataFrame:
             given = given.unionByName(blocks.where("above > 0").join(ways.withColumnRenamed("place", "block"), ["tree", "block"]))
         if blocks is found.sources[0]:
             return written(given, "lowest")
-        ways = written(_handed_down(given), "ways")
+        ways = written(_handed_down(given, found.block_levels), "ways")
 
 
 _PROVED = [("doc_id", pa.int64()), ("leaf", pa.string()), ("subroot", pa.string()), ("proof", pa.string()), ("folded_root", pa.string())]
 
 
-def _proved(docs: pa.Table, blocks: pa.Table) -> pa.Table:
+def _proved(docs: pa.Table, blocks: pa.Table, block_levels: int) -> pa.Table:
     block = blocks.to_pylist()[0]
-    levels = block_levels(block["nodes"], block["leaves"], block["height"])
+    levels = stored_levels(block["nodes"], block["leaves"], block["height"])
     rest = unpacked(block["way"])
-    first, subroot, rows = block["block"] * FAN**BLOCK_LEVELS, block["subroot"].hex(), []
+    first, subroot, rows = block["block"] * FAN**block_levels, block["subroot"].hex(), []
     for doc, place, leaf, claimed in zip(*(docs.column(c).to_pylist() for c in ("doc_id", "place", "digest", "claimed"))):
         way = steps(levels, place - first) + rest
         proof = "".join(d for _, others in way for d in others)
@@ -292,9 +293,10 @@ def _proved(docs: pa.Table, blocks: pa.Table) -> pa.Table:
 
 def proofs(found: Manifest) -> DataFrame:
     """(doc_id, leaf, subroot, proof, folded_root) of every leaf; ``proof`` is the siblings' hex text in order."""
-    by = ["tree", "block"]
-    leaves = found.leaves.select("doc_id", "tree", "place", "digest", "claimed", _block_of().alias("block")).groupBy(by)
-    return leaves.cogroup(ways_to_blocks(found).groupBy(by)).applyInArrow(_proved, "doc_id long, leaf string, subroot string, proof string, folded_root string")
+    by, found_levels = ["tree", "block"], found.block_levels
+    leaves = found.leaves.select("doc_id", "tree", "place", "digest", "claimed", _block_of(found.block_levels).alias("block")).groupBy(by)
+    pairs = leaves.cogroup(ways_to_blocks(found).groupBy(by))
+    return pairs.applyInArrow(lambda docs, blocks: _proved(docs, blocks, found_levels), "doc_id long, leaf string, subroot string, proof string, folded_root string")
 
 
 def tampered_text() -> Column:

@@ -61,12 +61,12 @@ _TABLE = bytes.maketrans(
 # ---- hashes and proposals ----------------------------------------------------------------
 
 
-def _mixed(first: np.ndarray, second: np.ndarray) -> np.ndarray:
-    """Hash of a pair from its words' hashes, as a place in the filter."""
+def _mixed(first: np.ndarray, second: np.ndarray, bits: int) -> np.ndarray:
+    """Hash of a pair from its words' hashes, as a place in a filter of 2^``bits``."""
     x = first * np.uint64(0x9E3779B97F4A7C15) ^ (second + np.uint64(0x7F4A7C15)) * np.uint64(0xC2B2AE3D27D4EB4F)
     x ^= x >> np.uint64(29)
     x *= np.uint64(0xBF58476D1CE4E5B9)
-    return x >> np.uint64(64 - FILTER_BITS)
+    return x >> np.uint64(64 - bits)
 
 
 def _word_hashes(words: list[bytes], lang: str) -> np.ndarray:
@@ -75,18 +75,18 @@ def _word_hashes(words: list[bytes], lang: str) -> np.ndarray:
 
 
 class Filter:
-    """A set of words and one of pairs, as bits; counted is what an earlier pass has reached."""
+    """A set of words and one of pairs, each as 2^``bits`` bits."""
 
-    def __init__(self, words: np.ndarray, pairs: np.ndarray):
-        self.words, self.pairs = words, pairs
+    def __init__(self, bits: int, words: np.ndarray, pairs: np.ndarray):
+        self.bits, self.words, self.pairs = bits, words, pairs
 
     @staticmethod
-    def empty() -> Filter:
-        return Filter(*(np.zeros((1 << FILTER_BITS) // 64, dtype=np.uint64) for _ in range(2)))
+    def empty(bits: int) -> Filter:
+        return Filter(bits, *(np.zeros((1 << bits) // 64, dtype=np.uint64) for _ in range(2)))
 
     def with_bits(self, rows: pa.Table) -> Filter:
         """``rows`` has (size, cell, bits): 64 bits of the filter of words (1) or pairs (2)."""
-        out = Filter(self.words.copy(), self.pairs.copy())
+        out = Filter(self.bits, self.words.copy(), self.pairs.copy())
         size = rows.column("size").to_numpy()
         cell, bits = rows.column("cell").to_numpy(), rows.column("bits").to_numpy().view(np.uint64)
         for n, held in ((1, out.words), (2, out.pairs)):
@@ -98,12 +98,12 @@ def _has(bits: np.ndarray, at: np.ndarray) -> np.ndarray:
     return (bits[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1) == 1
 
 
-def _word_places(hashes: np.ndarray) -> np.ndarray:
-    return hashes >> np.uint64(64 - FILTER_BITS)
+def _word_places(hashes: np.ndarray, bits: int) -> np.ndarray:
+    return hashes >> np.uint64(64 - bits)
 
 
 def bit_rows(proposed: DataFrame) -> pa.Table:
-    """(size, cell, bits) of (size, bit): 2^FILTER_BITS / 64 rows for each of both sizes at most."""
+    """(size, cell, bits) of (size, bit): one row for 64 bits of a filter at most, for each of both sizes."""
     cells = proposed.groupBy("size", F.shiftright("bit", 6).alias("cell"))
     return cells.agg(F.bit_or(F.expr("shiftleft(1L, int(bit & 63))")).alias("bits")).toArrow()
 
@@ -111,20 +111,20 @@ def bit_rows(proposed: DataFrame) -> pa.Table:
 # ---- reading texts -----------------------------------------------------------------------
 
 
-def _streams(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, bool, list[bytes]]]:
-    """(language, first, tokens) in blocks; all but the first block of a text begin with two carried tokens."""
+def _streams(batches: Iterator[pa.RecordBatch], block_bytes: int) -> Iterator[tuple[str, int, list[bytes]]]:
+    """(language, carried, tokens) in blocks; later blocks of a text begin with up to two carried tokens."""
     waiting: dict[str, list[bytes]] = {}
     held = 0
     for batch in batches:
         for lang, text in zip(batch.column("lang"), batch.column("text")):
             lang = lang.as_py()
             data = (text.as_py() or "").encode().translate(_TABLE)
-            if len(data) > BLOCK_BYTES:
-                yield from _pieces(lang, data)
+            if len(data) > block_bytes:
+                yield from _pieces(lang, data, block_bytes)
                 continue
             waiting.setdefault(lang, []).append(data)
             held += len(data)
-            if held > BLOCK_BYTES:
+            if held > block_bytes:
                 for name, texts in waiting.items():
                     yield name, 0, _tokens(_BREAK.join(texts))
                 waiting, held = {}, 0
@@ -136,11 +136,11 @@ def _tokens(data: bytes) -> list[bytes]:
     return data.replace(_BREAK, b" \xff ").split()
 
 
-def _pieces(lang: str, data: bytes) -> Iterator[tuple[str, int, list[bytes]]]:
+def _pieces(lang: str, data: bytes, block_bytes: int) -> Iterator[tuple[str, int, list[bytes]]]:
     """A long text in blocks, cut between words; the last two tokens are carried over."""
     start, carried = 0, []
     while start < len(data):
-        end = start + BLOCK_BYTES
+        end = start + block_bytes
         cuts = [at for mark in (b" ", b"\t", _BREAK) if (at := data.find(mark, end)) >= 0]
         end = min(cuts, default=len(data))
         tokens = carried + _tokens(data[start:end])
@@ -151,14 +151,14 @@ def _pieces(lang: str, data: bytes) -> Iterator[tuple[str, int, list[bytes]]]:
 class Block:
     """Distinct words of a block, the codes of its places, and its runs of two and three words."""
 
-    def __init__(self, lang: str, carried: int, tokens: list[bytes]):
+    def __init__(self, lang: str, carried: int, tokens: list[bytes], bits: int):
         codes, distinct = pd.factorize(np.array([_BREAK, *tokens], dtype=object))
-        self.words, self.carried = list(distinct), carried
+        self.words, self.bits = list(distinct), bits
         codes = codes[1:]
         self.counts = np.bincount(codes[carried:], minlength=len(self.words))
         self.counts[0] = 0
         self.hashes = _word_hashes(self.words, lang)
-        self.places = _word_places(self.hashes)
+        self.places = _word_places(self.hashes, bits)
         word = codes > 0
         first = max(0, carried - 1)
         pair = word[:-1] & word[1:]
@@ -171,7 +171,7 @@ class Block:
         self.triple = np.flatnonzero(inside)
 
     def pair_places(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-        return _mixed(self.hashes[left], self.hashes[right])
+        return _mixed(self.hashes[left], self.hashes[right], self.bits)
 
     def distinct_pairs(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Both words and the count of the distinct pairs that begin at ``at``."""
@@ -191,16 +191,16 @@ def _given(docs: DataFrame) -> DataFrame:
     return docs.select(F.coalesce("lang", F.lit(NO_LANG)).alias("lang"), "text").where("text is not null")
 
 
-def sampled_proposals(docs: DataFrame, sample: int = SAMPLE, least: int = SAMPLE_LEAST) -> DataFrame:
+def sampled_proposals(docs: DataFrame, sample: int, least: int, bits: int, block_bytes: int) -> DataFrame:
     """(size, bit) of the words and pairs that the sampled documents hold ``least`` times."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for lang, carried, tokens in _streams(batches):
-            block = Block(lang, carried, tokens)
+        for lang, carried, tokens in _streams(batches, block_bytes):
+            block = Block(lang, carried, tokens, bits)
             left, right, n = block.distinct_pairs(block.pair)
             found = ((1, block.places[1:], block.counts[1:]), (2, block.pair_places(left, right), n))
-            for size, bits, times in found:
-                kinds = [pa.array(np.full(len(bits), size), pa.int32()), pa.array(bits.astype(np.int64)), pa.array(times.astype(np.int64))]
+            for size, at, times in found:
+                kinds = [pa.array(np.full(len(at), size), pa.int32()), pa.array(at.astype(np.int64)), pa.array(times.astype(np.int64))]
                 yield pa.RecordBatch.from_arrays(kinds, names=["size", "bit", "n"])
 
     # Copies share a text but not an id, so a group of them is drawn from, not drawn as one.
@@ -214,7 +214,7 @@ def sampled_proposals(docs: DataFrame, sample: int = SAMPLE, least: int = SAMPLE
 _COUNTS = "lang string, size int, phrase string, n long"
 
 
-def full_pass(docs: DataFrame, proposed: Filter, counted: Filter | None, least: int) -> DataFrame:
+def full_pass(docs: DataFrame, proposed: Filter, counted: Filter | None, least: int, block_bytes: int) -> DataFrame:
     """(lang, size, phrase, n) of the phrases with ``least`` occurrences that ``proposed`` reaches and ``counted`` did not.
 
     The first pass, without ``counted``, adds all words and, as size 0, the words' total per language.
@@ -227,8 +227,8 @@ def full_pass(docs: DataFrame, proposed: Filter, counted: Filter | None, least:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         new, old = shared.value
-        for lang, carried, tokens in _streams(batches):
-            block = Block(lang, carried, tokens)
+        for lang, carried, tokens in _streams(batches, block_bytes):
+            block = Block(lang, carried, tokens, new.bits)
             words = block.words
             if old is None:
                 here = np.flatnonzero(block.counts)
@@ -266,8 +266,9 @@ def border_failures(found: DataFrame, proposed: Filter) -> DataFrame:
         out = []
         for lang, size, phrase in zip(langs.to_pylist(), sizes.to_pylist(), phrases.to_pylist()):
             hashes = _word_hashes(phrase.encode().split(b" "), lang)
-            at = _word_places(hashes) if size == 1 else _mixed(hashes[:1], hashes[1:])
-            held = _has(shared.value.words if size == 1 else shared.value.pairs, at)[0]
+            known = shared.value
+            at = _word_places(hashes, known.bits) if size == 1 else _mixed(hashes[:1], hashes[1:], known.bits)
+            held = _has(known.words if size == 1 else known.pairs, at)[0]
             out.append(None if held else int(at[0]))
         return pa.array(out, pa.int64())
 
@@ -275,12 +276,15 @@ def border_failures(found: DataFrame, proposed: Filter) -> DataFrame:
     return parts.select("size", missing("lang", "size", "phrase").alias("bit")).where("bit is not null").distinct()
 
 
-def frequent_phrases(docs: DataFrame, least: int = LEAST, sample: int = SAMPLE, sample_least: int = SAMPLE_LEAST) -> DataFrame:
+def frequent_phrases(
+    docs: DataFrame, least: int = LEAST, sample: int = SAMPLE, sample_least: int = SAMPLE_LEAST, filter_bits: int = FILTER_BITS, block_bytes: int = BLOCK_BYTES
+) -> DataFrame:
     """(lang, size, phrase, n) of all phrases of up to three words with ``least`` occurrences; size 0 is all words of a language."""
-    counted, proposed = None, Filter.empty().with_bits(bit_rows(sampled_proposals(docs, sample, sample_least)))
+    first = sampled_proposals(docs, sample, sample_least, filter_bits, block_bytes)
+    counted, proposed = None, Filter.empty(filter_bits).with_bits(bit_rows(first))
     whole = None
     while True:
-        found = full_pass(docs, proposed, counted, least)
+        found = full_pass(docs, proposed, counted, least, block_bytes)
         whole = found if whole is None else whole.unionByName(found)
         failed = bit_rows(border_failures(found, proposed))
         if not len(failed):
@@ -307,9 +311,9 @@ def _score(a: Column, left: Column, right: Column) -> Column:
     return F.call_function("div", F.lit(1_000_000).cast("decimal(7,0)") * (whole(a) * whole(a)).cast("decimal(31,0)"), whole(left) * whole(right))
 
 
-def collocations(docs: DataFrame, top: int = TOP, least: int = LEAST, sample: int = SAMPLE, sample_least: int = SAMPLE_LEAST) -> DataFrame:
-    """The ``top`` phrases of each language: lang, rank, phrase, a, l, r, n, score."""
-    counts = written(frequent_phrases(docs, least, sample, sample_least), "frequent")
+def collocations(docs: DataFrame, top: int = TOP, least: int = LEAST, **passes: int) -> DataFrame:
+    """The ``top`` phrases of each language: lang, rank, phrase, a, l, r, n, score; ``passes`` as for ``frequent_phrases``."""
+    counts = written(frequent_phrases(docs, least, **passes), "frequent")
     totals = counts.where("size = 0").select("lang", F.col("n").alias("words"))
     all_words = totals.agg(F.coalesce(F.sum("words"), F.lit(0))).first()[0]
     w = F.split("phrase", " ")

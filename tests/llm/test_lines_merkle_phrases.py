@@ -71,7 +71,7 @@ def test_lines_equal_brute_force(spark, monkeypatch, share):
 def test_no_lines(spark):
     docs = rows_of(spark, corpus())
     assert lines.with_unique_lines(docs.limit(0)).count() == 0
-    nothing = lines.with_unique_lines(docs.where("text is null")).collect()
+    nothing = lines.with_unique_lines(docs.where("text is null").drop("lines")).collect()
     assert [(r.lines.n_lines, r.lines.n_dropped, r.lines.kept) for r in nothing if r.doc_id == 100] == [(1, 0, "")]
 
 
@@ -136,11 +136,10 @@ def brute_merkle(rows):
 
 
 @pytest.mark.parametrize("levels", [merkle.BLOCK_LEVELS, 1, 2, 3])
-def test_merkle_equals_brute_force(spark, monkeypatch, levels):
+def test_merkle_equals_brute_force(spark, levels):
     # Low blocks make many bands of them, in the sources' trees and in the one above.
-    monkeypatch.setattr(merkle, "BLOCK_LEVELS", levels)
     rows = corpus()
-    found = merkle.manifest(rows_of(spark, rows), merkle.leaf_digest({"text": merkle.tampered_text()}))
+    found = merkle.manifest(rows_of(spark, rows), merkle.leaf_digest({"text": merkle.tampered_text()}), levels)
     want, root = brute_merkle(rows)
     assert found.root() == root
     assert Counter(map(tuple, merkle.proofs(found).collect())) == want
@@ -202,7 +201,7 @@ def brute_phrases(rows, top, least=10):
     for (lang, *p), a in counts.items():
         if len(p) == 1 or a < least:
             continue
-        if any(100 * b >= 50 * a for q, b in counts.items() if len(p) == 2 and len(q) == 4 and q[0] == lang and p in (list(q[1:3]), list(q[2:4]))):
+        if any(100 * b >= 50 * a for q, b in counts.items() if b >= least and len(p) == 2 and len(q) == 4 and q[0] == lang and p in (list(q[1:3]), list(q[2:4]))):
             continue
         cuts = [(10**6 * a * a // (counts[lang, *p[:k]] * counts[lang, *p[k:]]), k) for k in range(1, len(p))]
         score, k = min(cuts)
@@ -216,20 +215,17 @@ def brute_phrases(rows, top, least=10):
 )
 def test_phrases_equal_brute_force(spark, monkeypatch, top, sample, sample_least, block, share):
     # The last case draws no sample at all: every phrase comes from border failures.
-    monkeypatch.setattr(phrases, "BLOCK_BYTES", block)
     monkeypatch.setattr(phrases, "HOT_SHARE", share)
-    monkeypatch.setattr(phrases, "FILTER_BITS", 16)
     rows = prose()
     docs = spark.createDataFrame([(*r, "s", 1) for r in rows], "doc_id long, text string, lang string, phrase string, n int").repartition(5)
-    got = {tuple(r) for r in phrases.collocations(docs, top, sample=sample, sample_least=sample_least).collect()}
+    got = {tuple(r) for r in phrases.collocations(docs, top, sample=sample, sample_least=sample_least, block_bytes=block, filter_bits=16).collect()}
     assert got == brute_phrases(rows, top)
 
 
-def test_passes_count_each_phrase_once(spark, monkeypatch):
-    monkeypatch.setattr(phrases, "FILTER_BITS", 16)
+def test_passes_count_each_phrase_once(spark):
     docs = spark.createDataFrame(prose(), "doc_id long, text string, lang string")
     for sample in (2, 10**9):
-        found = phrases.frequent_phrases(docs, sample=sample).groupBy("lang", "size", "phrase").count()
+        found = phrases.frequent_phrases(docs, sample=sample, filter_bits=16).groupBy("lang", "size", "phrase").count()
         assert found.where("count > 1").isEmpty()
 
 
