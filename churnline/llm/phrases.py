@@ -1,20 +1,22 @@
 """Operator 11, phrase collocation mining: Toivonen's sample, border and full passes.
 
 A sample of the documents (one in SAMPLE, by a hash) proposes words and word pairs that it
-holds SAMPLE_LEAST times. A full pass then counts, exactly and over all texts, what is proposed
-and its negative border: all words, the pairs of two proposed words and the triples of two
-proposed pairs, so a phrase outside the proposals is counted as soon as its parts are inside.
-Words and pairs of the border that turn out frequent are border failures: they join the
-proposals, and a further pass counts the phrases that become reachable thereby and those only,
-until no failure is left. Then every frequent phrase has been counted once, whatever the sample.
-
-Proposals are kept as bits by hash, of a fixed size (2^FILTER_BITS). Two phrases with one bit
-only mean that more is counted; the order of passes uses the same bits throughout, so nothing
-is counted twice.
+holds SAMPLE_LEAST times. A full pass then counts, over all texts, what is proposed and its
+negative border: all words, the pairs of two proposed words and the triples of two proposed
+pairs, so a phrase outside the proposals is counted as soon as its parts are inside. Words and
+pairs of the border that turn out frequent are border failures: they join the proposals, and a
+further pass counts the phrases that become reachable thereby and those only, until no failure
+is left. These passes count 64-bit hashes, so a figure is never too low, and too high only
+where hashes meet. A last pass counts exactly, as text, whatever reached LEAST by its hash.
+Every frequent phrase is among them, whatever the sample and the hashes.
+
+Proposals and survivors are kept as bits by hash, of a fixed size (2^FILTER_BITS). Two phrases
+with one bit only mean that more is counted; the order of passes uses the same bits
+throughout, so nothing is counted twice.
 
 Texts of one language form one stream with breaks between pieces and texts. It is read in
 blocks of BLOCK_BYTES, the last words of a block carried over, so very long texts need no more
-memory. Counts are summed per block, per task and then by (language, phrase).
+memory than their own bytes. Counts are summed per block, per task and then by key.
 
 Scores need the counts of a phrase's parts. Parts that make up one in HOT_SHARE of all words or
 more (3 * HOT_SHARE at most) are sent along, the others joined. All figures are integers, with
@@ -34,6 +36,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -46,27 +49,25 @@ ABSORBED = 50
 TOP = 2000
 SAMPLE = 8
 SAMPLE_LEAST = 2
-FILTER_BITS = 26
-BLOCK_BYTES = 6_000_000
+FILTER_BITS = 25
+BLOCK_BYTES = 3_000_000
 HOT_SHARE = 1 << 16
 RANK_PARTS = 64
 NO_LANG = "und"
 
-_BREAK = b"\xff"  # in no UTF-8 text
-_TABLE = bytes.maketrans(
-    string.ascii_uppercase.encode() + b".,;:!?\n\x0b\x0c\r", string.ascii_lowercase.encode() + _BREAK * 10
-)
+_BREAK = b"\n"  # stands for all that ends a piece, so it is in no word
+_TABLE = bytes.maketrans(string.ascii_uppercase.encode() + b".,;:!?\x0b\x0c\r\t", string.ascii_lowercase.encode() + _BREAK * 9 + b" ")
 
 
-# ---- hashes and proposals ----------------------------------------------------------------
+# ---- hashes and bits ---------------------------------------------------------------------
 
 
-def _mixed(first: np.ndarray, second: np.ndarray, bits: int) -> np.ndarray:
-    """Hash of a pair from its words' hashes, as a place in a filter of 2^``bits``."""
+def _mixed(first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    """Hash of a phrase from those of its beginning and its last word."""
     x = first * np.uint64(0x9E3779B97F4A7C15) ^ (second + np.uint64(0x7F4A7C15)) * np.uint64(0xC2B2AE3D27D4EB4F)
     x ^= x >> np.uint64(29)
     x *= np.uint64(0xBF58476D1CE4E5B9)
-    return x >> np.uint64(64 - bits)
+    return x ^ x >> np.uint64(32)
 
 
 def _word_hashes(words: list[bytes], lang: str) -> np.ndarray:
@@ -74,92 +75,107 @@ def _word_hashes(words: list[bytes], lang: str) -> np.ndarray:
     return np.fromiter((xxhash.xxh64_intdigest(w, seed) for w in words), np.uint64, len(words))
 
 
-class Filter:
-    """A set of words and one of pairs, each as 2^``bits`` bits."""
-
-    def __init__(self, bits: int, words: np.ndarray, pairs: np.ndarray):
-        self.bits, self.words, self.pairs = bits, words, pairs
-
-    @staticmethod
-    def empty(bits: int) -> Filter:
-        return Filter(bits, *(np.zeros((1 << bits) // 64, dtype=np.uint64) for _ in range(2)))
-
-    def with_bits(self, rows: pa.Table) -> Filter:
-        """``rows`` has (size, cell, bits): 64 bits of the filter of words (1) or pairs (2)."""
-        out = Filter(self.bits, self.words.copy(), self.pairs.copy())
-        size = rows.column("size").to_numpy()
-        cell, bits = rows.column("cell").to_numpy(), rows.column("bits").to_numpy().view(np.uint64)
-        for n, held in ((1, out.words), (2, out.pairs)):
-            held[cell[size == n]] |= bits[size == n]
-        return out
-
-
-def _has(bits: np.ndarray, at: np.ndarray) -> np.ndarray:
-    return (bits[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1) == 1
+def _keys(hashes: np.ndarray, size: int) -> pa.Array:
+    """Hashes as keys: the two lowest bits say how many words the phrase has."""
+    return pa.array((hashes & ~np.uint64(3) | np.uint64(size)).view(np.int64))
 
 
-def _word_places(hashes: np.ndarray, bits: int) -> np.ndarray:
-    return hashes >> np.uint64(64 - bits)
+class Bits:
+    """Sets of words, pairs and triples, each as 2^``bits`` bits by the leading bits of the hash."""
 
+    def __init__(self, bits: int, sets: list[np.ndarray]):
+        self.bits, self.sets = bits, sets
 
-def bit_rows(proposed: DataFrame) -> pa.Table:
-    """(size, cell, bits) of (size, bit): one row for 64 bits of a filter at most, for each of both sizes."""
-    cells = proposed.groupBy("size", F.shiftright("bit", 6).alias("cell"))
-    return cells.agg(F.bit_or(F.expr("shiftleft(1L, int(bit & 63))")).alias("bits")).toArrow()
+    @staticmethod
+    def of(keys: DataFrame, bits: int) -> Bits:
+        """The bits of a table's ``key``; one row for 64 bits of a set at most comes to the driver."""
+        at = F.shiftrightunsigned("key", 64 - bits)
+        cells = keys.groupBy(F.pmod("key", F.lit(4)).alias("size"), F.shiftright(at, 6).alias("cell"))
+        rows = cells.agg(F.bit_or(F.expr(f"shiftleft(1L, int(shiftrightunsigned(key, {64 - bits}) & 63))")).alias("bits")).toArrow()
+        size, cell, held = (rows.column(i).to_numpy() for i in range(3))
+        sets = []
+        for n in (1, 2, 3):
+            found = np.zeros((1 << bits) // 64, dtype=np.uint64)
+            found[cell[size == n]] = held[size == n].view(np.uint64)
+            sets.append(found)
+        return Bits(bits, sets)
+
+    def has(self, hashes: np.ndarray, size: int) -> np.ndarray:
+        at = hashes >> np.uint64(64 - self.bits)
+        return (self.sets[size - 1][at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1) == 1
+
+    def joined(self, other: Bits) -> Bits:
+        return Bits(self.bits, [a | b for a, b in zip(self.sets, other.sets)])
+
+    def parts(self) -> Bits:
+        """Only words and pairs."""
+        return Bits(self.bits, self.sets[:2])
+
+    def covers_parts(self, other: Bits) -> bool:
+        """Whether all words and pairs of ``other`` are in here."""
+        return not any((b & ~a).any() for a, b in zip(self.parts().sets, other.parts().sets))
 
 
 # ---- reading texts -----------------------------------------------------------------------
 
 
-def _streams(batches: Iterator[pa.RecordBatch], block_bytes: int) -> Iterator[tuple[str, int, list[bytes]]]:
-    """(language, carried, tokens) in blocks; later blocks of a text begin with up to two carried tokens."""
+def _streams(batches: Iterator[pa.RecordBatch], block_bytes: int) -> Iterator[tuple[str, int, bytes]]:
+    """(language, carried, text) in blocks; later blocks of a text begin with up to two carried tokens."""
     waiting: dict[str, list[bytes]] = {}
     held = 0
     for batch in batches:
-        for lang, text in zip(batch.column("lang"), batch.column("text")):
-            lang = lang.as_py()
-            data = (text.as_py() or "").encode().translate(_TABLE)
+        for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").cast(pa.binary())):
+            data = text.as_py().translate(_TABLE)
             if len(data) > block_bytes:
                 yield from _pieces(lang, data, block_bytes)
                 continue
             waiting.setdefault(lang, []).append(data)
             held += len(data)
             if held > block_bytes:
-                for name, texts in waiting.items():
-                    yield name, 0, _tokens(_BREAK.join(texts))
-                waiting, held = {}, 0
-    for name, texts in waiting.items():
-        yield name, 0, _tokens(_BREAK.join(texts))
-
+                for name in list(waiting):
+                    yield name, 0, _BREAK.join(waiting.pop(name))
+                held = 0
+    for name in list(waiting):
+        yield name, 0, _BREAK.join(waiting.pop(name))
 
-def _tokens(data: bytes) -> list[bytes]:
-    return data.replace(_BREAK, b" \xff ").split()
 
-
-def _pieces(lang: str, data: bytes, block_bytes: int) -> Iterator[tuple[str, int, list[bytes]]]:
+def _pieces(lang: str, data: bytes, block_bytes: int) -> Iterator[tuple[str, int, bytes]]:
     """A long text in blocks, cut between words; the last two tokens are carried over."""
     start, carried = 0, []
     while start < len(data):
         end = start + block_bytes
-        cuts = [at for mark in (b" ", b"\t", _BREAK) if (at := data.find(mark, end)) >= 0]
+        cuts = [at for mark in (b" ", _BREAK) if (at := data.find(mark, end)) >= 0]
         end = min(cuts, default=len(data))
-        tokens = carried + _tokens(data[start:end])
-        yield lang, len(carried), tokens
-        carried, start = tokens[-2:], end
+        yield lang, len(carried), b" ".join([*carried, data[start:end]])
+        # The last two tokens lie behind the third mark from the end, or further on.
+        at, last = end, []
+        while len(last) < 2 and at > start:
+            at = max(start, data.rfind(b" ", start, at), data.rfind(_BREAK, start, at))
+            last = data[at:end].replace(_BREAK, b" \n ").split(b" ")
+            last = [t for t in last if t]
+        carried, start = (carried + last)[-2:], end
+
+
+def _tokens(data: bytes) -> pa.DictionaryArray:
+    """The words and breaks of a block, in order."""
+    spaced = pa.array([data.replace(_BREAK, b" \n ")], pa.large_binary())
+    found = pc.split_pattern(spaced, b" ").flatten()
+    return found.filter(pc.greater(pc.binary_length(found), 0)).dictionary_encode()
 
 
 class Block:
     """Distinct words of a block, the codes of its places, and its runs of two and three words."""
 
-    def __init__(self, lang: str, carried: int, tokens: list[bytes], bits: int):
-        codes, distinct = pd.factorize(np.array([_BREAK, *tokens], dtype=object))
-        self.words, self.bits = list(distinct), bits
-        codes = codes[1:]
+    def __init__(self, lang: str, carried: int, data: bytes):
+        found = _tokens(data)
+        self.words = found.dictionary
+        codes = found.indices.to_numpy(zero_copy_only=False).astype(np.int32)
+        stop = self.words.index(pa.scalar(_BREAK, self.words.type)).as_py()
         self.counts = np.bincount(codes[carried:], minlength=len(self.words))
-        self.counts[0] = 0
-        self.hashes = _word_hashes(self.words, lang)
-        self.places = _word_places(self.hashes, bits)
-        word = codes > 0
+        if stop >= 0:
+            self.counts[stop] = 0
+        self.hashes = _word_hashes(self.words.to_pylist(), lang)
+        word = codes != stop
         first = max(0, carried - 1)
         pair = word[:-1] & word[1:]
         self.left, self.right = codes[:-1], codes[1:]
@@ -170,8 +186,21 @@ class Block:
         inside[: max(0, carried - 2)] = False
         self.triple = np.flatnonzero(inside)
 
-    def pair_places(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-        return _mixed(self.hashes[left], self.hashes[right], self.bits)
+    def phrases(self, *codes: np.ndarray) -> pa.Array:
+        """The phrases of words with these codes, space-joined."""
+        parts = [self.words.take(pa.array(c)) for c in codes]
+        return pc.binary_join_element_wise(*parts, pa.scalar(b" ", self.words.type)) if len(parts) > 1 else parts[0]
+
+    def hashes_of(self, *codes: np.ndarray) -> np.ndarray:
+        found = self.hashes[codes[0]]
+        for more in codes[1:]:
+            found = _mixed(found, self.hashes[more])
+        return found
+
+    def pairs_by_place(self) -> tuple[np.ndarray, np.ndarray]:
+        """For each place the code of its pair, and the hashes of these pairs."""
+        codes, distinct = pd.factorize(self.left.astype(np.int64) * len(self.words) + self.right)
+        return codes, self.hashes_of(distinct // len(self.words), distinct % len(self.words)) if len(distinct) else self.hashes[:0]
 
     def distinct_pairs(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Both words and the count of the distinct pairs that begin at ``at``."""
@@ -188,108 +217,124 @@ class Block:
 
 
 def _given(docs: DataFrame) -> DataFrame:
-    return docs.select(F.coalesce("lang", F.lit(NO_LANG)).alias("lang"), "text").where("text is not null")
+    return docs.select(F.coalesce("lang", F.lit(NO_LANG)).alias("lang"), F.coalesce("text", F.lit("")).alias("text"))
+
+
+# ---- passes ------------------------------------------------------------------------------
+
+_HASHED = "key long, n long"
+_COUNTS = "lang string, size int, phrase string, n long"
+
 
+def _hashed(block: Block, size: int, codes: list[np.ndarray], n: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([_keys(block.hashes_of(*codes), size), pa.array(n.astype(np.int64))], names=["key", "n"])
 
-def sampled_proposals(docs: DataFrame, sample: int, least: int, bits: int, block_bytes: int) -> DataFrame:
-    """(size, bit) of the words and pairs that the sampled documents hold ``least`` times."""
+
+def _summed(docs: DataFrame, work, least: int) -> DataFrame:
+    counted = _given(docs).mapInArrow(work, _HASHED).groupBy("key").agg(F.sum("n").alias("n"))
+    return counted.where(F.col("n") >= least)
+
+
+def sampled_proposals(docs: DataFrame, sample: int, least: int, block_bytes: int) -> DataFrame:
+    """(key, n) of the words and pairs that the sampled documents hold ``least`` times."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for lang, carried, tokens in _streams(batches, block_bytes):
-            block = Block(lang, carried, tokens, bits)
+        for lang, carried, data in _streams(batches, block_bytes):
+            block = Block(lang, carried, data)
+            here = np.flatnonzero(block.counts)
+            yield _hashed(block, 1, [here], block.counts[here])
             left, right, n = block.distinct_pairs(block.pair)
-            found = ((1, block.places[1:], block.counts[1:]), (2, block.pair_places(left, right), n))
-            for size, at, times in found:
-                kinds = [pa.array(np.full(len(at), size), pa.int32()), pa.array(at.astype(np.int64)), pa.array(times.astype(np.int64))]
-                yield pa.RecordBatch.from_arrays(kinds, names=["size", "bit", "n"])
+            yield _hashed(block, 2, [left, right], n)
 
     # Copies share a text but not an id, so a group of them is drawn from, not drawn as one.
     drawn = F.pmod(F.xxhash64("doc_id", "text"), F.lit(sample)) == 0
-    counted = _given(docs.where(drawn)).mapInArrow(work, "size int, bit long, n long").groupBy("size", "bit").agg(F.sum("n").alias("n"))
-    return counted.where(F.col("n") >= least).select("size", "bit")
-
-
-# ---- full passes -------------------------------------------------------------------------
-
-_COUNTS = "lang string, size int, phrase string, n long"
+    return _summed(docs.where(drawn), work, least)
 
 
-def full_pass(docs: DataFrame, proposed: Filter, counted: Filter | None, least: int, block_bytes: int) -> DataFrame:
-    """(lang, size, phrase, n) of the phrases with ``least`` occurrences that ``proposed`` reaches and ``counted`` did not.
+def full_pass(docs: DataFrame, proposed: Bits, counted: Bits | None, least: int, block_bytes: int) -> DataFrame:
+    """(key, n) of the phrases with ``least`` occurrences that ``proposed`` reaches and ``counted`` did not.
 
-    The first pass, without ``counted``, adds all words and, as size 0, the words' total per language.
+    The first pass, without ``counted``, adds all words.
     """
     shared = docs.sparkSession.sparkContext.broadcast((proposed, counted))
 
-    def rows(lang: str, size: int, phrases: list[bytes], n: np.ndarray) -> pa.RecordBatch:
-        columns = [pa.array([lang] * len(phrases), pa.string()), pa.array(np.full(len(phrases), size), pa.int32()), pa.array(phrases, pa.binary()).cast(pa.string()), pa.array(n.astype(np.int64))]
-        return pa.RecordBatch.from_arrays(columns, names=["lang", "size", "phrase", "n"])
-
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         new, old = shared.value
-        for lang, carried, tokens in _streams(batches, block_bytes):
-            block = Block(lang, carried, tokens, new.bits)
-            words = block.words
+        for lang, carried, data in _streams(batches, block_bytes):
+            block = Block(lang, carried, data)
             if old is None:
                 here = np.flatnonzero(block.counts)
-                yield rows(lang, 0, [b""], np.array([block.counts.sum()]))
-                yield rows(lang, 1, [words[i] for i in here], block.counts[here])
-            inside = _has(new.words, block.places)
+                yield _hashed(block, 1, [here], block.counts[here])
+            # Breaks are in no pair, whatever their bit says.
+            inside = new.has(block.hashes, 1)
             reached = inside[block.left] & inside[block.right]
             if old is not None:
-                before = _has(old.words, block.places)
+                before = old.has(block.hashes, 1)
                 reached &= ~(before[block.left] & before[block.right])
             left, right, n = block.distinct_pairs(block.pair[reached[block.pair]])
-            yield rows(lang, 2, [b"%b %b" % (words[a], words[b]) for a, b in zip(left.tolist(), right.tolist())], n)
-            # Whether each pair of the block is inside; it is looked up once per distinct pair.
-            codes, distinct = pd.factorize(block.left.astype(np.int64) * len(words) + block.right)
-            places = block.pair_places(distinct // len(words), distinct % len(words)) if len(distinct) else np.zeros(0, np.uint64)
-            inside = _has(new.pairs, places)[codes]
+            yield _hashed(block, 2, [left, right], n)
+            codes, hashes = block.pairs_by_place()
+            inside = new.has(hashes, 2)[codes]
             at = block.triple
             reached = inside[at] & inside[at + 1]
             if old is not None:
-                before = _has(old.pairs, places)[codes]
+                before = old.has(hashes, 2)[codes]
                 reached &= ~(before[at] & before[at + 1])
-            a, b, c, n = block.distinct_triples(at[reached])
-            yield rows(lang, 3, [b"%b %b %b" % (words[i], words[j], words[k]) for i, j, k in zip(a.tolist(), b.tolist(), c.tolist())], n)
+            *abc, n = block.distinct_triples(at[reached])
+            yield _hashed(block, 3, abc, n)
 
-    sums = _given(docs).mapInArrow(work, _COUNTS).groupBy("lang", "size", "phrase").agg(F.sum("n").alias("n"))
-    return written(sums.where((F.col("n") >= least) | (F.col("size") == 0)), "phrases")
+    found = written(_summed(docs, work, least), "hashed")
+    shared.destroy()
+    return found
 
 
-def border_failures(found: DataFrame, proposed: Filter) -> DataFrame:
-    """(size, bit) of counted words and pairs that are frequent and not proposed."""
-    shared = found.sparkSession.sparkContext.broadcast(proposed)
+def exact_pass(docs: DataFrame, survivors: Bits, least: int, block_bytes: int) -> DataFrame:
+    """(lang, size, phrase, n) of the phrases with ``least`` occurrences among ``survivors``; size 0 is all words of a language."""
+    shared = docs.sparkSession.sparkContext.broadcast(survivors)
 
-    @F.arrow_udf("long")
-    def missing(langs: pa.Array, sizes: pa.Array, phrases: pa.Array) -> pa.Array:
-        out = []
-        for lang, size, phrase in zip(langs.to_pylist(), sizes.to_pylist(), phrases.to_pylist()):
-            hashes = _word_hashes(phrase.encode().split(b" "), lang)
-            known = shared.value
-            at = _word_places(hashes, known.bits) if size == 1 else _mixed(hashes[:1], hashes[1:], known.bits)
-            held = _has(known.words if size == 1 else known.pairs, at)[0]
-            out.append(None if held else int(at[0]))
-        return pa.array(out, pa.int64())
+    def rows(lang: str, size: int, phrases: pa.Array, n: np.ndarray) -> pa.RecordBatch:
+        phrases = phrases.cast(pa.binary()).cast(pa.string())
+        columns = [pa.repeat(lang, len(n)), pa.repeat(pa.scalar(size, pa.int32()), len(n)), phrases, pa.array(n.astype(np.int64))]
+        return pa.RecordBatch.from_arrays(columns, names=["lang", "size", "phrase", "n"])
 
-    parts = found.where(F.col("size").isin(1, 2))
-    return parts.select("size", missing("lang", "size", "phrase").alias("bit")).where("bit is not null").distinct()
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = shared.value
+        for lang, carried, data in _streams(batches, block_bytes):
+            block = Block(lang, carried, data)
+            yield rows(lang, 0, pa.array([b""], pa.binary()), np.array([block.counts.sum()]))
+            here = np.flatnonzero((block.counts > 0) & held.has(block.hashes, 1))
+            yield rows(lang, 1, block.phrases(here), block.counts[here])
+            codes, hashes = block.pairs_by_place()
+            inside = held.has(hashes, 2)[codes]
+            left, right, n = block.distinct_pairs(block.pair[inside[block.pair]])
+            yield rows(lang, 2, block.phrases(left, right), n)
+            # A frequent triple has two frequent pairs.
+            at = block.triple
+            *abc, n = block.distinct_triples(at[inside[at] & inside[at + 1]])
+            kept = held.has(block.hashes_of(*abc), 3)
+            yield rows(lang, 3, block.phrases(*[c[kept] for c in abc]), n[kept])
+
+    sums = _given(docs).mapInArrow(work, _COUNTS).groupBy("lang", "size", "phrase").agg(F.sum("n").alias("n"))
+    return sums.where((F.col("n") >= least) | (F.col("size") == 0))
+
+
+def survivors(docs: DataFrame, least: int, sample: int, sample_least: int, filter_bits: int, block_bytes: int) -> Bits:
+    """Bits of all phrases that may be frequent: passes until the border has no failures."""
+    proposed = Bits.of(sampled_proposals(docs, sample, sample_least, block_bytes), filter_bits).parts()
+    counted, found = None, None
+    while True:
+        new = Bits.of(full_pass(docs, proposed, counted, least, block_bytes), filter_bits)
+        found = new if found is None else found.joined(new)
+        if proposed.covers_parts(new):
+            return found
+        counted, proposed = proposed, proposed.joined(new.parts())
 
 
 def frequent_phrases(
     docs: DataFrame, least: int = LEAST, sample: int = SAMPLE, sample_least: int = SAMPLE_LEAST, filter_bits: int = FILTER_BITS, block_bytes: int = BLOCK_BYTES
 ) -> DataFrame:
     """(lang, size, phrase, n) of all phrases of up to three words with ``least`` occurrences; size 0 is all words of a language."""
-    first = sampled_proposals(docs, sample, sample_least, filter_bits, block_bytes)
-    counted, proposed = None, Filter.empty(filter_bits).with_bits(bit_rows(first))
-    whole = None
-    while True:
-        found = full_pass(docs, proposed, counted, least, block_bytes)
-        whole = found if whole is None else whole.unionByName(found)
-        failed = bit_rows(border_failures(found, proposed))
-        if not len(failed):
-            return whole
-        counted, proposed = proposed, proposed.with_bits(failed)
+    return exact_pass(docs, survivors(docs, least, sample, sample_least, filter_bits, block_bytes), least, block_bytes)
 
 
 # ---- collocations ------------------------------------------------------------------------
