@@ -9,12 +9,15 @@ rows of one such cell are ranked.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from churnline.session import stored
+
 HASH_DIGITS = 4  # 65,536 cells
-VALUE_BUCKETS = 256
 
 
 def tie_break(key: str) -> Column:
@@ -26,34 +29,25 @@ def running_totals(
 ) -> DataFrame:
     """Add ``<sum>_before`` columns: totals of all rows earlier in the order of the distinct ``value``.
 
-    Approximate quantiles of the values cut them into buckets of about equal size, whatever
-    their distribution; only bucket totals meet in one task. With ``by`` each group has an
-    order of its own; groups must be few, since their quantiles are broadcast.
+    Rows are dealt to partitions by ranges of the value and written in that order, each with its
+    place; then partition totals give every partition its offset, and totals within a partition
+    the rest. Only one row per partition (and group) meets in one task. With ``by`` each group
+    has an order of its own.
     """
     by = by or []
-    order = F.col(value).desc() if descending else F.col(value).asc()
-    shares = [F.lit(i / VALUE_BUCKETS) for i in range(1, VALUE_BUCKETS)]
-    edges = points.groupBy(*by).agg(F.percentile_approx(value, F.array(*shares), F.lit(10_000)).alias("edges"))
-    with_edges = points.join(F.broadcast(edges), by) if by else points.withColumn("edges", edges.scalar())
-    # How many edges a value has passed, by halving the steps: VALUE_BUCKETS is a power of two.
-    steps = F.array(*[F.lit(VALUE_BUCKETS >> i) for i in range(1, VALUE_BUCKETS.bit_length())])
-    passed = F.aggregate(
-        steps, F.lit(0), lambda at, step: F.when(F.get("edges", at + step - 1) <= F.col(value), at + step).otherwise(at)
-    )
-    placed = with_edges.withColumn("bucket", -passed if descending else passed).drop("edges")
+    order = [*by, F.col(value).desc() if descending else F.col(value).asc()]
+    ranged = points.repartitionByRange(*order).sortWithinPartitions(*order)
+    # The upper bits of the place are the partition's number. Written, so that both readers see one division.
+    placed = stored(ranged.withColumn("place", F.monotonically_increasing_id()), "ranges")
+    placed = placed.withColumn("range", F.shiftright("place", 33))
     earlier = Window.rowsBetween(Window.unboundedPreceding, -1)
-    offsets = placed.groupBy(*by, "bucket").agg(*[F.sum(c).alias(c) for c in sums])
-    across = earlier.partitionBy(*by).orderBy("bucket")
-    offsets = offsets.select(
-        *by, "bucket", *[F.coalesce(F.sum(c).over(across), F.lit(0)).alias(f"{c}_offset") for c in sums]
-    )
-    within = earlier.partitionBy(*by, "bucket").orderBy(order)
-    return placed.join(offsets, [*by, "bucket"]).select(
+    across = earlier.partitionBy(*by).orderBy("range")
+    offsets = placed.groupBy(*by, "range").agg(*[F.sum(c).alias(c) for c in sums])
+    offsets = offsets.select(*by, "range", *[F.coalesce(F.sum(c).over(across), F.lit(0)).alias(f"{c}_offset") for c in sums])
+    within = earlier.partitionBy(*by, "range").orderBy("place")
+    return placed.join(offsets, [*by, "range"]).select(
         *points.columns,
-        *[
-            (F.col(f"{c}_offset") + F.coalesce(F.sum(c).over(within), F.lit(0))).alias(f"{c}_before")
-            for c in sums
-        ],
+        *[(F.col(f"{c}_offset") + F.coalesce(F.sum(c).over(within), F.lit(0))).alias(f"{c}_before") for c in sums],
     )
 
 
@@ -72,14 +66,17 @@ def order_cuts(
     of the first k rows.
     """
     points = rows.groupBy(value).agg(F.count(F.lit(1)).alias("n"), F.sum(label).alias("pos"))
-    total = points.agg(F.sum("n")).scalar()
-    placed = running_totals(points, value, ["n", "pos"], descending).withColumn("total", total)
+    asked = sorted(set(points.agg(positions(F.sum("n")).alias("ks")).first()["ks"] or []) - {None})
+    placed = running_totals(points, value, ["n", "pos"], descending)
 
     def inside(k: Column) -> Column:
         return (k > F.col("n_before")) & (k <= F.col("n_before") + F.col("n"))
 
-    wanted = placed.select(value, "n_before", "pos_before", F.filter(positions(F.col("total")), inside).alias("ks"))
-    wanted = wanted.where(F.size("ks") > 0)
+    # Plain comparisons find the few rows that hold a position; only those look at the array.
+    holds = reduce(or_, [inside(F.lit(k)) for k in asked], F.lit(False))
+    ks = F.array(*[F.lit(k) for k in asked]).cast("array<bigint>")
+    wanted = placed.where(holds).select(value, "n_before", "pos_before", F.filter(ks, inside).alias("ks"))
+    wanted = stored(wanted, "wanted")
     hashed = rows.select(value, F.col(key).alias("key"), tie_break(key).alias("hash"), F.col(label).alias("label"))
     # One row per wanted value, at most one per asked position: safe to broadcast, and no row is copied.
     tied = hashed.join(F.broadcast(wanted.select(value)), value).withColumn("cell", F.left("hash", F.lit(HASH_DIGITS)))

@@ -10,7 +10,7 @@ import sys
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassificationModel
@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from churnline.functions.ordering import tie_break
 from churnline.functions.scalars import with_row
+from churnline.operators import ensembles
 from churnline.operators.training import ScoreCard, churn_probability
 from churnline.schema import KEY, LABEL
 from churnline.session import fresh_path
@@ -68,76 +69,29 @@ def tree_nodes(model: GBTClassificationModel) -> DataFrame:
     return nodes.join(F.broadcast(weights), "tree")
 
 
-def leaf_paths(nodes: pd.DataFrame) -> list[tuple]:
-    """Per leaf: its value and, per feature on its path, the interval (low, high] and cover share.
-
-    Log-odds are twice the ensemble's margin, hence the 2.
-    """
-    leaves = []
-    for _, tree in nodes.groupby("tree"):
-        table = tree.set_index("node").to_dict("index")
-        open_paths = [(0, {})]
-        while open_paths:
-            number, path = open_paths.pop()
-            node = table[number]
-            if node["left"] < 0:
-                names = sorted(path)
-                bounds = np.array([path[f] for f in names]).reshape(-1, 3)
-                leaves.append((2.0 * node["weight"] * node["prediction"], np.array(names, dtype=int), *bounds.T))
-                continue
-            low, high, share = path.get(node["feature"], (-np.inf, np.inf, 1.0))
-            for child, edges in (
-                (node["left"], (low, min(high, node["threshold"]))),
-                (node["right"], (max(low, node["threshold"]), high)),
-            ):
-                ratio = table[child]["cover"] / node["cover"]
-                open_paths.append((child, {**path, node["feature"]: (*edges, share * ratio)}))
-    return leaves
-
-
-def path_attributions(x: np.ndarray, leaves: list[tuple]) -> np.ndarray:
-    """Path-dependent Shapley values of the summed leaves for a block of rows.
-
-    A leaf is worth ``value`` times a product over its features of 1 or 0 (the row is inside
-    the interval or not) for known features and the cover share for unknown ones. The Shapley
-    value of such a product is the integral over t of the others' mixed product (the
-    multilinear extension); the integrand is a polynomial, so Gauss points make it exact.
-    """
-    out = np.zeros_like(x)
-    for value, names, low, high, share in leaves:
-        if not len(names):
-            continue
-        points, weights = np.polynomial.legendre.leggauss((len(names) + 1) // 2)
-        gap = ((x[:, names] > low) & (x[:, names] <= high)) - share
-        for t, w in zip((points + 1) / 2, weights / 2):
-            mixed = share + t * gap  # never 0: share > 0 and t < 1
-            out[:, names] += value * w * gap * (mixed.prod(axis=1, keepdims=True) / mixed)
-    return out
-
-
-def base_value(leaves: list[tuple]) -> float:
-    return float(sum(value * share.prod() for value, _, _, _, share in leaves))
-
-
 def tree_attributions(features: DataFrame, nodes: DataFrame, columns: list[str], key: str = KEY) -> DataFrame:
     """Attributions of boosted trees in log-odds.
 
     The node table has at most trees x 2^(depth + 1) rows, whatever the data's size; rows
     stay in the partitions of the input.
     """
-    leaves = features.sparkSession.sparkContext.broadcast(leaf_paths(nodes.toPandas()))
+    trees = features.sparkSession.sparkContext.broadcast(ensembles.trees_of(nodes.toPandas()))
+    values_of = ensembles.shapley_values
 
-    def attribute(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def attribute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = np.stack(batch["values"].to_numpy()) if len(batch) else np.zeros((0, len(columns)))
-            yield batch.assign(contributions=list(path_attributions(x, leaves.value)))
+            flat = batch.column("values").flatten().to_numpy()
+            found = values_of(flat.reshape(batch.num_rows, -1).T.copy(), trees.value)
+            ends = pa.array(np.arange(batch.num_rows + 1, dtype=np.int32) * found.shape[0])
+            shares = pa.ListArray.from_arrays(ends, pa.array(found.T.ravel()))
+            yield pa.RecordBatch.from_arrays([batch.column(key), batch.column("values"), shares], names=[key, "values", "contributions"])
 
-    rows = features.select(key, F.array(*[F.col(c).cast("double") for c in columns]).alias("values"))
-    return rows.mapInPandas(attribute, f"{key} string, values array<double>, contributions array<double>")
+    rows = features.select(F.col(key).cast("string").alias(key), F.array(*[F.col(c).cast("double") for c in columns]).alias("values"))
+    return rows.mapInArrow(attribute, f"{key} string, values array<double>, contributions array<double>")
 
 
 def tree_base_value(nodes: DataFrame) -> float:
-    return base_value(leaf_paths(nodes.toPandas()))
+    return ensembles.expected_value(ensembles.trees_of(nodes.toPandas()))
 
 
 # ---- views on attributions -----------------------------------------------------------

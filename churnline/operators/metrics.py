@@ -86,6 +86,16 @@ def average_precision(scored: DataFrame) -> DataFrame:
     return ranking_facts(scored).select(F.round("pr_auc", 6).alias("average_precision"))
 
 
+def average_precision_by(scored: DataFrame, group: str, label: str = LABEL) -> DataFrame:
+    """Average precision of each group; 0 in a group without positives."""
+    points = scored.groupBy(group, "score").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.col(label).cast("bigint")).alias("pos")
+    )
+    placed = running_totals(points, "score", ["n", "pos"], descending=True, by=[group])
+    step = F.col("pos") * (F.col("pos_before") + F.col("pos")) / (F.col("n_before") + F.col("n"))
+    return placed.groupBy(group).agg(_ratio(F.sum(step), F.sum("pos")).alias("average_precision"))
+
+
 def roc_auc(scored: DataFrame) -> DataFrame:
     """Share of (positive, negative) pairs ranked rightly, ties half; null with one class."""
     return ranking_facts(scored).select(F.round("roc_auc", 6).alias("roc_auc"))

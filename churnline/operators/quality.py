@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from churnline.schema import LABEL, REQUIRED_COLUMNS
@@ -17,17 +17,31 @@ def null_counts(features: DataFrame, columns: list[str] | None = None) -> DataFr
     return counts.unpivot([], columns, "column_name", "nulls")
 
 
-def quality_gate(features: DataFrame, min_rows: int = MIN_ROWS, rate_range: tuple[float, float] = RATE_RANGE) -> DataFrame:
-    """One row per check with its value and a 0/1 verdict, from a single pass."""
+def gate_facts() -> dict[str, Column]:
+    """What the gate judges, as aggregates: a query can compute them, or a write observe them."""
     any_null = F.lit(0)
     for column in REQUIRED_COLUMNS:
         any_null = any_null + F.col(column).isNull().cast("int")
+    return {
+        "nulls": F.coalesce(F.sum(any_null), F.lit(0)).cast("double"),
+        "rows": F.count(F.lit(1)).cast("double"),
+        "rate": F.round(F.avg(LABEL), 6),
+    }
+
+
+def quality_gate(features: DataFrame, min_rows: int = MIN_ROWS, rate_range: tuple[float, float] = RATE_RANGE) -> DataFrame:
+    """One row per check with its value and a 0/1 verdict, from a single pass."""
+    return judged(features.agg(*[c.alias(n) for n, c in gate_facts().items()]), min_rows, rate_range)
+
+
+def observed_gate(spark: SparkSession, facts: dict, min_rows: int = MIN_ROWS, rate_range: tuple[float, float] = RATE_RANGE) -> DataFrame:
+    """The same gate from the facts that the table's write observed, without reading it again."""
+    row = [facts[name] for name in ("nulls", "rows", "rate")]
+    return judged(spark.createDataFrame([row], "nulls double, rows double, rate double"), min_rows, rate_range)
+
+
+def judged(facts: DataFrame, min_rows: int, rate_range: tuple[float, float]) -> DataFrame:
     low, high = rate_range
-    facts = features.agg(
-        F.coalesce(F.sum(any_null), F.lit(0)).cast("double").alias("nulls"),
-        F.count(F.lit(1)).cast("double").alias("rows"),
-        F.round(F.avg(LABEL), 6).alias("rate"),
-    )
 
     def check(name: str, value: Column, ok: Column) -> Column:
         return F.struct(F.lit(name).alias("check"), value.alias("value"), ok.alias("ok"))
@@ -42,6 +56,10 @@ def quality_gate(features: DataFrame, min_rows: int = MIN_ROWS, rate_range: tupl
 
 
 def require_quality(features: DataFrame, **limits) -> None:
-    failed = [f"{r['check']}={r['value']}" for r in quality_gate(features, **limits).collect() if not r["ok"]]
+    require_passed(quality_gate(features, **limits))
+
+
+def require_passed(gate: DataFrame) -> None:
+    failed = [f"{r['check']}={r['value']}" for r in gate.collect() if not r["ok"]]
     if failed:
         raise ValueError(f"feature table fails {', '.join(failed)}")

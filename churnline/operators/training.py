@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import random
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel, Transformer
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.evaluation import Evaluator
@@ -18,6 +20,7 @@ from churnline.functions.reshape import feature_rows
 from churnline.functions.scalars import with_row
 from churnline.operators import metrics
 from churnline.schema import KEY, LABEL
+from churnline.session import fresh_path
 
 SEED = 42
 TRIALS = 50
@@ -107,7 +110,10 @@ def train_baseline(train: DataFrame, columns: list[str]) -> PipelineModel:
             tol=1e-9,
         ),
     ]
-    return Pipeline(stages=stages).fit(rows)
+    # A fitted logistic model keeps its training summary and with it the session; a saved one does not.
+    path = fresh_path(train.sparkSession, "baseline_fit")
+    Pipeline(stages=stages).fit(rows).write().save(path)
+    return PipelineModel.load(path)
 
 
 class AveragePrecision(Evaluator):
@@ -143,19 +149,19 @@ def draw_trials(gbt: GBTClassifier, trials: int, seed: int = SEED, space: dict |
     return drawn
 
 
-def _tree_rows(train: DataFrame, columns: list[str], keep: list[str]) -> DataFrame:
+def tree_rows(train: DataFrame, columns: list[str], keep: list[str]) -> DataFrame:
     n, pos = label_counts(train)
     assembled = VectorAssembler(inputCols=columns, outputCol="features", handleInvalid="error").transform(train)
     return _weighted(assembled, (n - pos) / max(1, pos), 1.0).select("features", "label", "weight", *keep)
 
 
-def _trees(seed: int = SEED, **params) -> GBTClassifier:
+def boosted(seed: int = SEED, **params) -> GBTClassifier:
     return GBTClassifier(lossType="logistic", weightCol="weight", seed=seed, **params)
 
 
 def fit_trees(train: DataFrame, columns: list[str], params: dict, seed: int = SEED) -> PipelineModel:
     """Boosted trees with given parameters (by name), positives weighted up."""
-    return as_pipeline(_trees(seed, **params).fit(_tree_rows(train, columns, [])), columns)
+    return as_pipeline(boosted(seed, **params).fit(tree_rows(train, columns, [])), columns)
 
 
 def best_params(tuned: CrossValidatorModel) -> dict:
@@ -178,8 +184,8 @@ def tune_trees(
     The best parameters are refitted on all training rows. Assembling happens once,
     ahead of the search.
     """
-    rows = _tree_rows(train, columns, [fold_column])
-    gbt = _trees(seed)
+    rows = tree_rows(train, columns, [fold_column])
+    gbt = boosted(seed)
     search = CrossValidator(
         estimator=gbt,
         estimatorParamMaps=draw_trials(gbt, trials, seed, space),
@@ -216,11 +222,19 @@ def as_pipeline(model, columns: list[str]) -> PipelineModel:
     return PipelineModel(stages=[assembler, model])
 
 
+def in_parallel(work, items: list) -> list:
+    """``work`` of every item, each in a thread of its own: Spark runs their jobs side by side."""
+    if len(items) < 2:
+        return [work(i) for i in items]
+    with ThreadPoolExecutor(len(items)) as pool:
+        return list(pool.map(inheritable_thread_target(SparkSession.active())(work), items))
+
+
 def out_of_fold_scores(train: DataFrame, fit, fold_column: str = "fold", folds: int = 3) -> DataFrame:
-    """Score every training row by a model that has not seen its fold."""
+    """Score every training row by a model that has not seen its fold; the folds are fitted side by side."""
+    models = in_parallel(lambda fold: fit(train.where(F.col(fold_column) != fold)), list(range(folds)))
     parts = None
-    for fold in range(folds):
-        model = fit(train.where(F.col(fold_column) != fold))
+    for fold, model in enumerate(models):
         scored = score_rows(model, train.where(F.col(fold_column) == fold), [KEY, LABEL])
         parts = scored if parts is None else parts.unionByName(scored)
     return parts

@@ -231,6 +231,7 @@ def oracle_sql() -> dict[str, str]:
     return {
         "raw_customers": f"{RAW} SELECT * FROM raw",
         "features_table_count": f"{FEATURES_CTE} SELECT count(*) AS n_rows FROM features",
+        "features_catalog_count": f"{FEATURES_CTE} SELECT count(*) AS n_rows FROM features",
         "output_manifest": f"{MODELLING.rstrip()},\n{METRICS},\n{_PAIRS}\n"
         + _stack(
             f"SELECT '{name}' AS table_name, count(*) AS n_rows, CASE WHEN count(*) > 0 THEN 1 ELSE 0 END AS ok FROM {source}"
@@ -262,6 +263,12 @@ facts AS (SELECT CAST(count(*) FILTER (tenure IS NULL) + count(*) FILTER (Monthl
     + count(*) FILTER (Churn IS NULL) AS DOUBLE) AS nulls, CAST(count(*) AS DOUBLE) AS n, avg(Churn) AS rate FROM features)
 SELECT 'key_nulls' AS "check", nulls AS value, CASE WHEN nulls = 0 THEN 1 ELSE 0 END AS ok FROM facts
 UNION ALL SELECT 'row_count', n, CASE WHEN n > {GATE_MIN_ROWS} THEN 1 ELSE 0 END FROM facts
+UNION ALL SELECT 'churn_rate', round(rate, 6), CASE WHEN rate > 0.1 AND rate < 0.4 THEN 1 ELSE 0 END FROM facts""",
+        "observed_quality_gate": f"""{FEATURES_CTE.rstrip()},
+facts AS (SELECT CAST(count(*) FILTER (tenure IS NULL) + count(*) FILTER (MonthlyCharges IS NULL) + count(*) FILTER (TotalCharges IS NULL)
+    + count(*) FILTER (Churn IS NULL) AS DOUBLE) AS nulls, CAST(count(*) AS DOUBLE) AS n, avg(Churn) AS rate FROM features)
+SELECT 'key_nulls' AS "check", nulls AS value, CASE WHEN nulls = 0 THEN 1 ELSE 0 END AS ok FROM facts
+UNION ALL SELECT 'row_count', n, CASE WHEN n > {GATE_MIN_ROWS} THEN 1 ELSE 0 END FROM facts
 UNION ALL SELECT 'churn_rate', round(rate, 6), CASE WHEN rate > 0.1 AND rate < 0.4 THEN 1 ELSE 0 END FROM facts""",
         "cohort_churn": f"{FEATURES_CTE} SELECT tenure_bucket, round(avg(Churn), 6) AS churn_rate, count(*) AS n, round(100 * avg(Churn), 1) AS churn_rate_pct FROM named WHERE tenure_bucket IS NOT NULL GROUP BY tenure_bucket",
         "cohort_churn_onehot": f"{FEATURES_CTE} "
@@ -295,6 +302,21 @@ UNION ALL SELECT 'correlation', direction || '.' || place || '.' || feature, cor
   count(*) FILTER (score > 0.5) AS high_risk FROM scored""",
         "feature_ranges": f"{FEATURES_CTE} {ranges}",
         "feature_split_points": f"{LONG} SELECT feature, split_kind, {_round('min_value', 'max_value', 'median', 'split_value')} FROM splits",
+        "calendar_holdout": f"""{RAW.rstrip()},
+dates AS (SELECT obs_date, sum(count(*)) OVER (ORDER BY obs_date DESC) AS later, sum(count(*)) OVER () AS total FROM raw GROUP BY obs_date),
+cut AS (SELECT max(obs_date) AS cutoff FROM dates WHERE later >= 0.2 * total)
+SELECT customerID, obs_date, CASE WHEN obs_date >= cutoff THEN 'test'
+  WHEN CAST(obs_date AS DATE) + INTERVAL 12 MONTH <= CAST(cutoff AS DATE) THEN 'train' ELSE 'purged' END AS split FROM raw, cut""",
+        "rolling_folds": f"""{RAW.rstrip()},
+origins AS (
+  SELECT obs_date AS origin, CAST(row_number() OVER (ORDER BY obs_date) - 1 AS INTEGER) AS fold
+  FROM (SELECT DISTINCT obs_date FROM raw ORDER BY obs_date DESC LIMIT 3)),
+grouped AS (SELECT *, CAST('0x' || left(md5(CAST(c_custkey AS VARCHAR)), 4) AS INTEGER) % 3 AS grp FROM raw),
+roles AS (
+  SELECT fold, customerID, CASE WHEN grp = fold AND obs_date = origin THEN 'validate'
+    WHEN grp <> fold AND CAST(obs_date AS DATE) + INTERVAL 12 MONTH <= CAST(origin AS DATE) THEN 'train' END AS role
+  FROM grouped, origins)
+SELECT fold, customerID, role FROM roles WHERE role IS NOT NULL""",
         "ordered_holdout": f"{MODELLING} SELECT customerID, tenure, split FROM modelling",
         "split_summary": f"{MODELLING} SELECT split, count(*) AS n, CAST(sum(Churn) AS BIGINT) AS churners, round(avg(Churn), 6) AS churn_rate FROM modelling GROUP BY split",
         "stratified_folds": f"{FEATURES_CTE} SELECT customerID, Churn, CAST((row_number() OVER (PARTITION BY Churn ORDER BY md5(customerID), customerID) - 1) % 3 AS INTEGER) AS fold FROM features",

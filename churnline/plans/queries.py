@@ -12,11 +12,13 @@ from churnline.operators import aggregates, attribution, correlation, metrics, p
 from churnline.operators.features import clean, engineered, segment_columns, unseen_categories
 from churnline.plans.stages import CARD, CARD_THRESHOLD, TREES, Stages
 from churnline.schema import INTERNET_ADD_ONS, KEY, LABEL, PAYMENT_METHODS, YES_NO_COLUMNS
+from churnline.sources.customers import replace_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
 
 GATE_MIN_ROWS = 1000  # the smallest given tables have fewer customers than the default asks for
+CATALOG_TABLE = "churnline_features"
 SMALL_GAP = 0.005  # labels of the given tables are almost independent of the features
 SCENARIOS = [
     ("two_year_contract", "Contract_ord", 2.0),
@@ -70,25 +72,35 @@ def features_table_count(s: Stages) -> DataFrame:
     return s.spark.sql("SELECT count(*) AS n_rows FROM features")
 
 
+@query
+def features_catalog_count(s: Stages) -> DataFrame:
+    """The feature table as a table of the catalog, replaced on every run, counted by SQL."""
+    replace_table(s.features(), CATALOG_TABLE)
+    return s.spark.sql("SELECT count(*) AS n_rows FROM IDENTIFIER(:name)", {"name": CATALOG_TABLE})
+
+
 @query
 def output_manifest(s: Stages) -> DataFrame:
+    """Row counts of the outputs, as observed when each was written."""
     raw, test = engineered(clean(s.raw())), s.scored_test()
-    return products.output_manifest(
-        {
-            "raw_customers": s.raw(),
-            "features": s.features(),
-            "cohort_churn": aggregates.cohort_churn(raw),
-            "segment_churn": aggregates.segment_churn_all(raw),
-            "class_balance": aggregates.class_balance(raw),
-            "target_correlation": correlation.target_correlation(s.features(), s.columns()),
-            "scores": s.scored(),
-            "gains_curve": metrics.gains_curve(test),
-            "evaluation_metrics": s.metrics(),
-            "attributions": s.attributions(),
-            "global_importance": s.importance(),
-            "risk_tiers": products.risk_tier_distribution(s.scored()),
-        }
-    )
+    s.features(), s.importance(), s.metrics()
+    outputs = {
+        "raw_customers": "raw", "features": "features", "evaluation_metrics": "metrics", "global_importance": "importance"
+    }
+    more = {
+        "cohort_churn": lambda: aggregates.cohort_churn(raw),
+        "segment_churn": lambda: aggregates.segment_churn_all(raw),
+        "class_balance": lambda: aggregates.class_balance(raw),
+        "target_correlation": lambda: correlation.target_correlation(s.features(), s.columns()),
+        "scores": s.scored,
+        "gains_curve": lambda: metrics.gains_curve(test),
+        "attributions": s.attributions,
+        "risk_tiers": lambda: products.risk_tier_distribution(s.scored()),
+    }
+    for name, build in more.items():
+        s.kept(f"out_{name}", build)
+        outputs[name] = f"out_{name}"
+    return products.observed_manifest(s.spark, {name: s.facts(stage)["n_rows"] for name, stage in outputs.items()})
 
 
 # ---- preparation ---------------------------------------------------------------------
@@ -171,6 +183,13 @@ def quality_nulls(s: Stages) -> DataFrame:
     return quality.null_counts(s.features())
 
 
+@query
+def observed_quality_gate(s: Stages) -> DataFrame:
+    """The gate from what the feature table's write observed."""
+    s.features()
+    return quality.observed_gate(s.spark, s.facts("features"), min_rows=GATE_MIN_ROWS)
+
+
 @query
 def quality_gate(s: Stages) -> DataFrame:
     return quality.quality_gate(s.features(), min_rows=GATE_MIN_ROWS)
@@ -283,6 +302,17 @@ def ordered_holdout(s: Stages) -> DataFrame:
     return splits.ordered_holdout(s.features().select(KEY, "tenure", LABEL)).select(KEY, "tenure", "split")
 
 
+@query
+def calendar_holdout(s: Stages) -> DataFrame:
+    rows = splits.calendar_holdout(s.raw().select(KEY, "obs_date"))
+    return rows.select(KEY, F.col("obs_date").cast("string").alias("obs_date"), "split")
+
+
+@query
+def rolling_folds(s: Stages) -> DataFrame:
+    return splits.rolling_folds(s.raw().select(KEY, "c_custkey", "obs_date"), "c_custkey")
+
+
 @query
 def split_summary(s: Stages) -> DataFrame:
     return splits.split_summary(s.modelling())

@@ -13,12 +13,12 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from churnline.operators import attribution, metrics, segments, training
+from churnline.operators import attribution, metrics, quality, search, segments, training
 from churnline.operators.features import FeatureEncoder, feature_columns
 from churnline.operators.splits import FOLDS, fixed_sample, ordered_holdout, stratified_folds
 from churnline.operators.training import ScoreCard
 from churnline.schema import KEY, LABEL
-from churnline.session import fresh_path, once, shared_folder, staged
+from churnline.session import fresh_path, once, shared_folder, staged, staged_facts
 from churnline.sources.artifacts import load_model, save_model
 from churnline.sources.panel import customer_snapshots
 
@@ -52,7 +52,8 @@ TREES = {
 class Stages:
     """``source`` names the raw customers and ``load`` reads them.
 
-    With ``trees`` those parameters are fitted; without, ``trials`` parameter sets are searched.
+    With ``trees`` those parameters are fitted; without, ``trials`` parameter sets are searched,
+    each with every number of trees.
     """
 
     def __init__(
@@ -60,7 +61,7 @@ class Stages:
         spark: SparkSession,
         source: str,
         load: Callable[[SparkSession, str], DataFrame] = customer_snapshots,
-        trials: int = training.TRIALS,
+        trials: int = search.SETS,
         space: dict | None = None,
         trees: dict | None = None,
     ):
@@ -82,7 +83,16 @@ class Stages:
         return once(self.spark, ("encoder", self.folder), lambda: FeatureEncoder.fit(self.raw()))
 
     def features(self) -> DataFrame:
-        return staged(self.spark, "features", (self.folder,), lambda: self.encoder().transform(self.raw()))
+        build = lambda: self.encoder().transform(self.raw())
+        return staged(self.spark, "features", (self.folder,), build, facts=quality.gate_facts())
+
+    def kept(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        """An output table, written once."""
+        return staged(self.spark, name, (self.folder,), build)
+
+    def facts(self, name: str) -> dict:
+        """What the write of a table observed: ``n_rows``, and more where it was asked for."""
+        return staged_facts(self.spark, name, (self.folder,))
 
     def columns(self) -> list[str]:
         return feature_columns(self.features())
@@ -138,18 +148,19 @@ class Stages:
     def baseline(self) -> PipelineModel:
         return self._model("baseline", lambda: training.train_baseline(self.train(), self.columns()))
 
-    def tuned(self):
+    def tree_params(self) -> dict:
+        return self.given or search.best_params(self.tuned())
+
+    def tuned(self) -> list[dict]:
         return once(
             self.spark,
             ("tuned", self.folder),
-            lambda: training.tune_trees(self.train(), self.columns(), self.trials, FOLDS, space=self.space),
+            lambda: search.search_trees(self.train(), self.columns(), self.trials, FOLDS, space=self.space),
         )
 
     def trees(self) -> PipelineModel:
         def fit() -> PipelineModel:
-            if self.given:
-                return training.fit_trees(self.train(), self.columns(), self.given)
-            return training.as_pipeline(self.tuned().bestModel, self.columns())
+            return training.fit_trees(self.train(), self.columns(), self.tree_params())
 
         return self._model("trees", fit)
 
@@ -177,7 +188,7 @@ class Stages:
         return self._threshold("baseline", lambda rows: training.train_baseline(rows, self.columns()))
 
     def tree_threshold(self) -> float:
-        params = self.given or training.best_params(self.tuned())
+        params = self.tree_params()
         return self._threshold("trees", lambda rows: training.fit_trees(rows, self.columns(), params))
 
     def comparison(self, on_test: bool = False) -> DataFrame:

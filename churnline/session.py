@@ -11,7 +11,8 @@ import tempfile
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 _local_folders: dict[str, str] = {}
 _stages: dict[tuple, object] = {}
@@ -43,14 +44,39 @@ def once(spark: SparkSession, key: tuple, build: Callable[[], object]):
     return _stages[full_key]
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared folder and read back: what is numbered once stays numbered so."""
+    path = fresh_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def observed_write(df: DataFrame, path: str, facts: dict[str, Column] | None = None, partition_by: tuple[str, ...] = ()) -> dict:
+    """Write ``df`` and return its row count, and ``facts`` (aggregates by name), gathered by the write itself."""
+    seen = Observation()
+    named = {"n_rows": F.count(F.lit(1)), **(facts or {})}
+    df.observe(seen, *[c.alias(n) for n, c in named.items()]).write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+    return seen.get
+
+
 def staged(
-    spark: SparkSession, name: str, key: tuple, build: Callable[[], DataFrame], partition_by: tuple[str, ...] = ()
+    spark: SparkSession,
+    name: str,
+    key: tuple,
+    build: Callable[[], DataFrame],
+    partition_by: tuple[str, ...] = (),
+    facts: dict[str, Column] | None = None,
 ) -> DataFrame:
     """Read the table ``name``, writing it first if this application has not done so yet."""
 
-    def write() -> str:
+    def write() -> tuple[str, dict]:
         path = fresh_path(spark, name)
-        build().write.partitionBy(*partition_by).parquet(path)
-        return path
+        return path, observed_write(build(), path, facts, partition_by)
+
+    path, _ = once(spark, (name, *key), write)
+    return spark.read.parquet(path)
+
 
-    return spark.read.parquet(once(spark, (name, *key), write))
+def staged_facts(spark: SparkSession, name: str, key: tuple) -> dict:
+    """What the write of a staged table observed."""
+    return _stages[(spark.sparkContext.applicationId, name, *key)][1]

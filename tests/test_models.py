@@ -9,7 +9,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from churnline.operators import attribution, metrics, splits, training
+from churnline.operators import attribution, ensembles, metrics, search, splits, training
 from churnline.operators.features import FeatureEncoder, feature_columns
 from churnline.schema import KEY, LABEL
 from churnline.sources.artifacts import load_model, save_model
@@ -136,6 +136,106 @@ def test_tuning_keeps_the_best_and_repeats(train, columns, tmp_path):
     assert training.score_rows(loaded, train, [KEY, LABEL]).exceptAll(scores).count() == 0
 
 
+def test_prefix_scores_equal_separate_fits(train, columns):
+    used = columns[:12]
+    rows = training.tree_rows(train, used, [KEY])
+    params = {"maxDepth": 3, "stepSize": 0.2, "subsamplingRate": 0.7, "featureSubsetStrategy": "0.8"}
+    whole = training.boosted(42, maxIter=8, **params).fit(rows)
+    got = search.prefix_scored(attribution.tree_nodes(whole), rows, [3, 8], [KEY])
+    for n in (3, 8):
+        alone = training.as_pipeline(training.boosted(42, maxIter=n, **params).fit(rows), used)
+        both = got.where(F.col("trees") == n).join(training.score_rows(alone, train, [KEY]).withColumnRenamed("score", "other"), KEY)
+        assert both.count() == 2400
+        assert both.where(F.abs(F.col("score") - F.col("other")) > 1e-12).isEmpty()
+
+
+def test_average_precision_of_groups(spark):
+    data = spark.createDataFrame(
+        [(g, i % 7 == 0 or i % (g + 2) == 0, (i * 37 % 50) / 50) for g in range(3) for i in range(60)] + [(3, False, 0.5)],
+        "g int, hit boolean, score double",
+    ).withColumn(LABEL, F.col("hit").cast("int"))
+    got = {r["g"]: r["average_precision"] for r in metrics.average_precision_by(data, "g").collect()}
+    for g in range(3):
+        assert round(got[g], 6) == metrics.average_precision(data.where(F.col("g") == g)).first()[0]
+    assert got[3] == 0
+
+
+def test_search_halves_the_sets_and_scores_every_count(spark, train, columns):
+    used = columns[:12]
+    space = {"maxIter": (3, 5), "maxDepth": (2, 3)}
+    trials = search.search_trees(train, used, sets=3, space=space, keep=0.5)
+    assert search.tree_counts(space) == [3, 5] and search.tree_counts() == list(range(200, 801, 50))
+    assert len(trials) == 6
+    assert sorted(t["folds"] for t in trials) == [1, 1, 2, 2, 3, 3]
+    # The trials that went on had the best score in the fold before, and the choice is the best of the last.
+    assert trials[0]["folds"] == 3 and trials[0]["average_precision"] >= trials[1]["average_precision"]
+    assert trials == search.search_trees(train, used, sets=3, space=space, keep=0.5)
+    table = search.tuning_results(spark, trials).orderBy("rank").collect()
+    assert [r["maxIter"] for r in table] == [t["maxIter"] for t in trials]
+    best = search.best_params(trials)
+    model = training.fit_trees(train, used, best)
+    assert model.stages[-1].getNumTrees == best["maxIter"]
+
+
+def test_shapley_values_of_deep_trees_add_up(train, columns):
+    used = columns[:15]
+    rows = training.tree_rows(train, used, [KEY])
+    nodes = attribution.tree_nodes(training.boosted(1, maxIter=3, maxDepth=8).fit(rows)).toPandas()
+    trees = ensembles.trees_of(nodes)
+    x = np.array([r["x"] for r in rows.select(vector_to_array("features").alias("x")).limit(700).collect()]).T
+    got = ensembles.shapley_values(x, trees)
+    log_odds = sum(ensembles.tree_values(x, t) for t in trees)
+    assert np.abs(got.sum(axis=0) + ensembles.expected_value(trees) - log_odds).max() < 1e-9
+    # Few rows take the way without a table of patterns.
+    assert np.abs(ensembles.shapley_values(x[:, :5], trees) - got[:, :5]).max() < 1e-12
+
+
+# ---- calendar splits -------------------------------------------------------------------
+
+
+def snapshots(spark):
+    dates = [f"{y}-{m}-01" for y in range(2000, 2004) for m in ("01", "07")]
+    rows = [(f"{c}-{d}", c, d) for c in range(40) for d in dates[c % 3 :]] + [("x", 99, None)]
+    return spark.createDataFrame(rows, f"{KEY} string, customer long, obs string").withColumn("obs_date", F.col("obs").cast("date"))
+
+
+def test_calendar_holdout_purges_what_looks_ahead(spark):
+    rows = snapshots(spark)
+    got = {(r["obs"], r["split"]) for r in splits.calendar_holdout(rows).collect()}
+    assert {s for _, s in got} == {"train", "purged", "test"}
+    first = min(d for d, s in got if s == "test")
+    n, total = rows.where(F.col("obs") >= first).count(), rows.count() - 1
+    after = rows.where(F.col("obs") > first).count()
+    assert n >= 0.2 * total > after
+    year_before = f"{int(first[:4]) - 1}{first[4:]}"
+    assert all((s == "test") == (d >= first) and (s == "train") == (d <= year_before) for d, s in got if d)
+    assert (None, "purged") in got
+    assert splits.calendar_holdout(rows.limit(0)).count() == 0
+
+
+def test_rolling_folds_keep_customers_and_time_apart(spark):
+    rows = snapshots(spark)
+    folds = splits.rolling_folds(rows, "customer").join(rows, KEY).collect()
+    assert {f["fold"] for f in folds} == {0, 1, 2}
+    for fold in range(3):
+        side = {r: [f for f in folds if f["fold"] == fold and f["role"] == r] for r in ("train", "validate")}
+        origin = {f["obs"] for f in side["validate"]}
+        assert len(origin) == 1
+        (origin,) = origin
+        assert not {f["customer"] for f in side["train"]} & {f["customer"] for f in side["validate"]}
+        assert max(f["obs"] for f in side["train"]) == f"{int(origin[:4]) - 1}{origin[4:]}"
+    validated = [f["customer"] for f in folds if f["role"] == "validate"]
+    assert len(validated) == len(set(validated)) == 40
+    assert splits.rolling_folds(rows.limit(0), "customer").count() == 0
+
+
+def test_fixed_sample_of_fewer_rows_than_asked(train):
+    assert splits.fixed_sample(train, size=10**6).count() == 2400
+    assert splits.fixed_sample(train.limit(0)).count() == 0
+    got = [r[KEY] for r in splits.fixed_sample(train, size=50).collect()]
+    assert got == [r[KEY] for r in train.orderBy(F.md5(KEY), KEY).limit(50).collect()]
+
+
 def test_out_of_fold_scores_every_row_once(train, columns):
     used = columns[:6]
     scored = training.out_of_fold_scores(train, lambda rows: training.train_baseline(rows, used))

@@ -5,7 +5,8 @@ from churnline.functions import encodings as enc
 from churnline.operators import quality
 from churnline.operators.features import FeatureEncoder, clean, engineered, feature_columns, segment_columns, unseen_categories
 from churnline.schema import KEY, LABEL, ONE_HOT_PREFIX
-from churnline.sources.customers import read_customers_csv, register_features, write_table
+from churnline.session import observed_write
+from churnline.sources.customers import read_customers_csv, register_features, replace_table, write_table
 
 
 def values(frame, column):
@@ -125,6 +126,26 @@ def test_feature_table_round_trip(spark, customers, tmp_path):
     assert spark.table("features").exceptAll(table).count() == 0
 
 
+def test_catalog_table_is_replaced(spark, customers):
+    table = FeatureEncoder.fit(customers).transform(customers)
+    assert replace_table(table, "kept_features") == 3000
+    assert replace_table(table.limit(10).select("tenure"), "kept_features") == 10
+    assert spark.table("kept_features").columns == ["tenure"]
+    assert spark.sql("SELECT count(*) FROM kept_features").first()[0] == 10
+    spark.sql("DROP TABLE kept_features")
+
+
+def test_gate_from_what_the_write_observed(spark, customers, tmp_path):
+    table = FeatureEncoder.fit(customers).transform(customers).withColumn("tenure", F.when(F.col("tenure") > 5, F.col("tenure")))
+    facts = observed_write(table, str(tmp_path / "observed"), quality.gate_facts())
+    assert facts["n_rows"] == 3000
+    limits = {"min_rows": 2000, "rate_range": (0.1, 0.6)}
+    seen = quality.observed_gate(spark, facts, **limits)
+    assert seen.collect() == quality.quality_gate(table, **limits).collect()
+    with pytest.raises(ValueError, match="key_nulls"):
+        quality.require_passed(seen)
+
+
 def test_saved_encoder_makes_the_same_columns(spark, tmp_path):
     from churnline.operators.features import FeatureEncoder
     from churnline.sources.artifacts import encoder_table, load_encoder, save_table

@@ -4,6 +4,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as driver
+from churnline.plans.oracle import oracle_sql
 from churnline.plans.queries import registered
 
 FOLDER = "/root/testdata/sf0.001"
@@ -32,11 +33,11 @@ def as_set(rows, names):
 
 
 def test_everything_untrained_has_a_check():
-    assert set(registered()) - set(driver.oracle_sql()) == TRAINED
+    assert set(registered()) - set(oracle_sql()) == TRAINED
     assert set(driver.oracle_sql()) <= set(driver.queries())
 
 
-@pytest.mark.parametrize("name", sorted(driver.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(oracle_sql()))
 def test_equal_to_sql(spark, engine, name):
     table = driver.queries()[name](spark, FOLDER)
     rows = [tuple(r) for r in table.collect()]
