@@ -1,7 +1,9 @@
 """Operator 3, toxicity: multiple-instance learning from document labels.
 
-A sentence s has p(s) = sigmoid(bias + the weights of its distinct words); the document has
-1 - product(1 - p(s)), the noisy-or of its sentences. A word's weight is the sum over its
+A sentence s has the evidence u(s), the weights of its distinct words, and p(s), by how much
+sigmoid(bias + u(s)) exceeds sigmoid(bias), as a share of what is left: 0 without evidence.
+The document has 1 - (1 - sigmoid(bias)) * product(1 - p(s)), the noisy-or of its sentences and
+of one leak, so a text's length alone never convicts it. A word's weight is the sum over its
 features: the word itself and its beginnings of 3 to 6 characters, so that inflected or
 lengthened forms of an insult share what is learned. Weights are learned from document
 labels alone, by gradient steps over all partitions of the training rows; afterwards p(s)
@@ -13,8 +15,8 @@ each distinct text once, with the mean of its labels. Only features of MIN_DOCS
 or more that stand with label 1 beyond chance (MIN_Z deviations) get a weight. Null ids or
 labels are not learned from; several labels of one document count as toxic if any is.
 
-Null and empty texts have no sentence and score 0. Without training rows of both labels
-every text scores 0. Whole texts are scored, rows are never dropped or merged.
+Null and empty texts, and all without evidence however long, score sigmoid(bias). Without
+training rows of both labels every text scores 0. An empty table gives no rows. Whole texts are scored, rows are never dropped or merged.
 """
 
 from __future__ import annotations
@@ -137,6 +139,10 @@ def compact(rows: DataFrame, features: list[int]) -> DataFrame:
     return written(rows.mapInArrow(reduced, "y double, sentences int, sentence array<int>, feature array<int>"), "toxicity")
 
 
+def _sigmoid(z):
+    return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+
+
 def _gradient(compacted: DataFrame, weights: np.ndarray) -> np.ndarray:
     """Sum over all rows of the slope of the log loss, by weight; the bias last."""
 
@@ -149,14 +155,17 @@ def _gradient(compacted: DataFrame, weights: np.ndarray) -> np.ndarray:
             first = np.cumsum(sizes) - sizes
             at = b.column("sentence").flatten().to_numpy() + np.repeat(first, hits)
             feature = b.column("feature").flatten().to_numpy()
-            n = int(sizes.sum())
-            z = weights[-1] + np.bincount(at, weights[feature], n)
-            p = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
-            doc = np.repeat(np.arange(len(y)), sizes)
-            whole = np.maximum(-np.expm1(np.bincount(doc, np.log1p(-p), len(y))), 1e-12)
-            slope = p * ((1 - y) - y * (1 - whole) / whole)[doc]
-            total[:-1] += np.bincount(feature, slope[at], len(weights) - 1)
-            total[-1] += slope.sum()
+            # Sentences without evidence add nothing, so only those that hold a feature are looked at.
+            met, at = np.unique(at, return_inverse=True)
+            doc = np.searchsorted(np.cumsum(sizes), met, side="right")
+            u = np.bincount(at, weights[feature], len(met))
+            p, leak = _sigmoid(weights[-1] + u), _sigmoid(weights[-1])
+            counts = u >= 0  # at 0 too, where all weights start
+            clean = np.bincount(doc, np.where(counts, np.log1p(-p) - np.log1p(-leak), 0.0), len(y)) + np.log1p(-leak)
+            whole = np.maximum(-np.expm1(clean), 1e-12)
+            slope = (1 - y) - y * (1 - whole) / whole
+            total[:-1] += np.bincount(feature, np.where(counts, p * slope[doc], 0.0)[at], len(weights) - 1)
+            total[-1] += (np.where(counts, p - leak, 0.0) * slope[doc]).sum() + leak * slope.sum()
         yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()])], names=["part"])
 
     # One vector per partition of the bounded training rows.
@@ -181,9 +190,12 @@ def train(rows: DataFrame) -> dict[int, float] | None:
     return dict(zip(features, weights[:-1].tolist())) | {-1: float(weights[-1])}
 
 
-def sentence_scores(weights: dict[int, float], by_word: Remembered, sentences: list[list[bytes]]) -> list[float]:
+def log_clean(weights: dict[int, float], by_word: Remembered, sentences: list[list[bytes]]) -> list[float]:
+    """ln(1 - p(s)) of each sentence."""
     get, bias = by_word.__getitem__, weights[-1]
-    return [1 / (1 + math.exp(-max(-30.0, min(30.0, bias + sum(map(get, words)))))) for words in sentences]
+    softplus = lambda z: math.log1p(math.exp(max(-30.0, min(30.0, z))))
+    neutral = softplus(bias)
+    return [neutral - softplus(bias + u) if (u := sum(map(get, words))) > 0 else 0.0 for words in sentences]
 
 
 def _by_word(weights: dict[int, float]) -> Remembered:
@@ -201,7 +213,7 @@ def scorer(weights: dict[int, float] | None):
             for t in texts:
                 clean = 0.0
                 if weights is not None:
-                    clean = sum(math.log1p(-p) for p in sentence_scores(weights, by_word, split_words(t.as_py())))
+                    clean = math.log1p(-_sigmoid(weights[-1])) + sum(log_clean(weights, by_word, split_words(t.as_py())))
                 out.append(max(0.0, -math.expm1(clean)))
             yield pa.array(out, pa.float64())
 
@@ -221,7 +233,7 @@ def offending(docs: DataFrame, weights: dict[int, float] | None, least: float =
                 found = []
                 for number, s in enumerate(_SENTENCE.split((t.as_py() or "").encode()) if weights is not None else []):
                     if split := split_words(s.decode(errors="replace")):
-                        p = sentence_scores(weights, by_word, split)[0]
+                        p = -math.expm1(log_clean(weights, by_word, split)[0])
                         if p >= least:
                             found.append({"number": number, "sentence": s.decode(errors="replace"), "score": p})
                 rows.append(found)

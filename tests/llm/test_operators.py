@@ -158,7 +158,11 @@ def test_toxicity_learns_from_labels_and_locates(spark, empty):
     weights = toxicity.fitted(docs, marked)
     scores = {r.doc_id: r.s for r in docs.select("doc_id", toxicity.scorer(weights)("text").alias("s")).collect()}
     assert all((scores[i] >= 0.5) == bool(y) for i, y in labels)
-    assert scores[1000] == scores[1001] == 0
+    neutral = 1 / (1 + math.exp(-weights[-1]))
+    assert scores[1000] == scores[1001] == pytest.approx(neutral) and neutral < 0.2
+    # However long, a text without evidence scores as an empty one does.
+    plain = spark.createDataFrame([("qqq zzz. " * n,) for n in (1, 100_000)], "text string")
+    assert [r.s for r in plain.select(toxicity.scorer(weights)("text").alias("s")).collect()] == pytest.approx([neutral] * 2)
     blamed = toxicity.offending(docs, weights).collect()
     assert blamed and all("slurr" in r.sentence and r.number == 3 for r in blamed)
     kept = toxicity.without_toxic(docs.withColumn("score", F.lit("x")), marked)
@@ -167,6 +171,35 @@ def test_toxicity_learns_from_labels_and_locates(spark, empty):
     assert toxicity.without_toxic(empty, marked).count() == 0
 
 
+def noisy_or(weights, rows):
+    """Mean log loss of compact rows, sentence by sentence."""
+    total, sigmoid = 0.0, lambda z: 1 / (1 + math.exp(-z))
+    leak = sigmoid(weights[-1])
+    for y, sentences, at, features in rows:
+        clean = 1 - leak
+        for s in range(sentences):
+            u = sum(weights[f] for i, f in zip(at, features) if i == s)
+            clean *= 1 - max(0.0, (sigmoid(weights[-1] + u) - leak) / (1 - leak))
+        total -= y * math.log(1 - clean) + (1 - y) * math.log(clean)
+    return total
+
+
+def test_toxicity_gradient_equals_finite_differences(spark):
+    source = random.Random(3)
+    rows = []
+    for _ in range(40):
+        n, hits = source.randint(1, 6), source.randint(0, 8)
+        rows.append((source.choice([0.0, 0.5, 1.0]), n, sorted(source.randrange(n) for _ in range(hits)), [source.randrange(5) for _ in range(hits)]))
+    rows.append((1.0, 0, [], []))
+    compacted = spark.createDataFrame(rows, "y double, sentences int, sentence array<int>, feature array<int>").repartition(3)
+    weights = np.array([1.5, -0.7, 0.4, 2.2, 0.9, -2.0])
+    got = toxicity._gradient(compacted, weights)
+    for i in range(len(weights)):
+        step = np.zeros_like(weights)
+        step[i] = 1e-6
+        assert got[i] == pytest.approx((noisy_or(weights + step, rows) - noisy_or(weights - step, rows)) / 2e-6, abs=1e-4)
+
+
 def test_token_counts_equal_the_library(docs, empty):
     vocabulary = tokens.unigram_vocabulary()
     model = tokenizers.Tokenizer(tokenizers.models.Unigram(vocabulary, 0, False))
@@ -430,3 +463,14 @@ def test_best_place_is_the_nearest():
                 new.append(min(row[j] + 1, new[-1] + 1, row[j - 1] + (x != y)))
             row = new
         assert decontamination.Pattern(item).best(text)[0] == min(row)
+
+
+def test_long_texts_in_pieces_have_the_same_strings(monkeypatch):
+    text = random.Random(8).randbytes(1000).replace(b"\xff", b"a")
+    whole, lengths = context_tree.strings([text])
+    for block in (1, 7, 1000, 1001, 5000):
+        monkeypatch.setattr(context_tree, "BLOCK_BYTES", block)
+        assert np.concatenate(list(context_tree.long_strings(text, context_tree.DEPTH))).tolist() == whole.tolist()
+    assert lengths.tolist() == [1001]
+    keys, counts = context_tree._added(np.array([5, 3, 5, 5]), np.array([1 << 32, 1 << 32 | 1, 1 << 32 | 1, 1 << 32 | 1]))
+    assert keys.tolist() == [3, 5] and (counts & 0xFFFFFFFF).tolist() == [1, 2] and (counts >> 32).tolist() == [1, 3]
