@@ -44,8 +44,11 @@ HOT_STRINGS = 1 << 23
 HOT_SHARE = 1 << 20
 TOP_BYTES = 2
 BUCKET_STRINGS = 50_000
-MERGE_AT = 3_000_000
-BLOCK_BYTES = 4_000_000
+#: (string, counts) rows that a task adds up at once, 16 bytes each.
+MERGE_AT = 2_000_000
+MERGE_WORDS = 250_000
+BLOCK_BYTES = 1_500_000
+SCORED_BYTES = 2_500_000
 #: The counted end of a text; white space, so no word equals it.
 END_WORD = "\n"
 
@@ -67,20 +70,33 @@ def strings(texts: list[bytes], depth: int = DEPTH) -> tuple[np.ndarray, np.ndar
     return packed[own], lengths
 
 
-def blocks(texts: list[bytes]) -> Iterator[slice]:
-    """Runs of texts of about BLOCK_BYTES."""
+def blocks(texts: list[bytes], block_bytes: int) -> Iterator[slice]:
+    """Runs of texts of about ``block_bytes``."""
     start = size = 0
     for i, t in enumerate(texts):
         size += len(t) + 1
-        if size >= BLOCK_BYTES or i == len(texts) - 1:
+        if size >= block_bytes or i == len(texts) - 1:
             yield slice(start, i + 1)
             start, size = i + 1, 0
 
 
-def _merged(parts: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
-    codes, distinct = pd.factorize(np.concatenate([p[0] for p in parts]))
-    sums = (np.bincount(codes, np.concatenate([p[i] for p in parts])).astype(np.int64) for i in (1, 2))
-    return distinct, *sums
+def long_strings(text: bytes, depth: int) -> Iterator[np.ndarray]:
+    """As ``strings`` of one text, in pieces of BLOCK_BYTES that each begin with the bytes before."""
+    whole = END * depth + text + END
+    for start in range(depth, len(whole), BLOCK_BYTES):
+        raw = np.frombuffer(whole[start - depth : start + BLOCK_BYTES], dtype=np.uint8).astype(np.int64)
+        packed = raw[depth:].copy()
+        for k in range(1, depth + 1):
+            packed |= raw[depth - k : len(raw) - k] << (8 * k)
+        yield packed
+
+
+def _added(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sums by key, sorted. ``counts`` holds the total above bit 32 and the training count below: both add up in one number."""
+    order = np.argsort(keys)
+    keys, counts = keys[order], counts[order]
+    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else order
+    return keys[first], np.add.reduceat(counts, first) if len(keys) else counts
 
 
 def corpus_counts(docs: DataFrame, train: Column, depth: int = DEPTH) -> DataFrame:
@@ -90,38 +106,52 @@ def corpus_counts(docs: DataFrame, train: Column, depth: int = DEPTH) -> DataFra
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts: list[tuple[np.ndarray, ...]] = []
+        parts: list[tuple[np.ndarray, np.ndarray]] = []
         words: Counter[bytes] = Counter()
 
         def rows(*columns: pa.Array) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays(list(columns), names=["string", "word", "n", "total"])
 
         def flush() -> Iterator[pa.RecordBatch]:
-            if parts:
-                keys, n, total = _merged(parts)
-                yield rows(pa.array(keys), pa.nulls(len(keys), pa.string()), pa.array(n), pa.array(total))
+            for keys, counts in parts:
+                yield rows(pa.array(keys), pa.nulls(len(keys), pa.string()), pa.array(counts & 0xFFFFFFFF), pa.array(counts >> 32))
+            parts.clear()
+            yield from flush_words()
+
+        def flush_words() -> Iterator[pa.RecordBatch]:
             if words:
                 names, n = pa.array(list(words), pa.binary()).cast(pa.string()), pa.array(words.values(), pa.int64())
                 yield rows(pa.nulls(len(names), pa.int64()), names, n, n)
-            parts.clear()
             words.clear()
 
+        def runs(texts: list[bytes], learn: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+            """Strings and whether they are learned from, in blocks."""
+            for part in blocks(texts, BLOCK_BYTES):
+                if sum(map(len, texts[part])) < 2 * BLOCK_BYTES:
+                    found, lengths = strings(texts[part], depth)
+                    yield found, np.repeat(learn[part], lengths)
+                else:
+                    for text, own in zip(texts[part], learn[part]):
+                        for found in long_strings(text, depth):
+                            yield found, np.full(len(found), own)
+
         for batch in batches:
             texts = [(t.as_py() or "").encode() for t in batch.column("text")]
             learn = batch.column("learn").to_numpy(zero_copy_only=False).astype(bool)
-            for part in blocks(texts):
-                found, lengths = strings(texts[part], depth)
-                codes, distinct = pd.factorize(found)
-                n = np.bincount(codes, np.repeat(learn[part], lengths), len(distinct)).astype(np.int64)
-                parts.append((distinct, n, np.bincount(codes).astype(np.int64)))
-                for t, own in zip(texts[part], learn[part]):
-                    if own:
-                        words.update(t.lower().split())
-                words[END_WORD.encode()] += int(learn[part].sum())
+            for found, own in runs(texts, learn):
+                parts.append(_added(found, own.astype(np.int64) | 1 << 32))
                 if sum(len(p[0]) for p in parts) > MERGE_AT:
-                    parts[:] = [_merged(parts)]
-                if len(words) > MERGE_AT // 3 or parts and len(parts[0][0]) > MERGE_AT // 2:
-                    yield from flush()
+                    parts[:] = [_added(*(np.concatenate([p[i] for p in parts]) for i in (0, 1)))]
+                    if len(parts[0][0]) > MERGE_AT // 2:
+                        yield from flush()
+            for t, own in zip(texts, learn):
+                if own:
+                    words.update(t.lower().split())
+                    words[END_WORD.encode()] += 1
+                if len(words) > MERGE_WORDS:
+                    yield from flush_words()
+        if parts:
+            parts[:] = [_added(*(np.concatenate([p[i] for p in parts]) for i in (0, 1)))]
         yield from flush()
 
     given = docs.select("text", F.coalesce(train, F.lit(False)).alias("learn"))
@@ -173,17 +203,24 @@ def nodes(counts: DataFrame, depth: int = DEPTH) -> DataFrame:
     return kept
 
 
+Nodes = tuple[np.ndarray, np.ndarray, np.ndarray]
+
+
+def sorted_nodes(given: pa.Table) -> Nodes:
+    """(key, one, stop) as arrays, sorted by key."""
+    keys, one, stop = (given.column(c).to_numpy() for c in ("key", "one", "stop"))
+    order = np.argsort(keys)
+    return keys[order], one[order], stop[order]
+
+
 class Model:
-    """Nodes sorted by key; the log10 probability of a byte after its context."""
+    """Nodes of short and of long contexts, each sorted by key; the log10 probability of a byte after its context."""
 
-    def __init__(self, keys: np.ndarray, one: np.ndarray, stop: np.ndarray, depth: int):
-        order = np.argsort(keys)
-        self.keys, self.one, self.stop, self.depth = keys[order], one[order], stop[order], depth
+    def __init__(self, short: Nodes, long: Nodes, depth: int):
+        self.short, self.long, self.depth = short, long, depth
 
     def log10(self, strings: np.ndarray) -> np.ndarray:
         total = np.zeros(len(strings))
-        if not len(self.keys):
-            return total + 8 * math.log10(0.5)
         byte, context = strings & 255, strings >> 8
         for i in range(8):
             decided = (1 << i) | (byte >> (8 - i))
@@ -191,10 +228,13 @@ class Model:
             p = np.full(len(strings), 0.5)
             below = np.zeros(len(strings), dtype=bool)
             for d in range(self.depth, -1, -1):
+                keys, ones, stops = self.short if d <= TOP_BYTES else self.long
+                if not len(keys):
+                    continue
                 key = ((context & ((1 << 8 * d) - 1)) << 8) | decided | (d << 48)
-                at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-                here = self.keys[at] == key
-                one, stop = self.one[at], self.stop[at]
+                at = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
+                here = keys[at] == key
+                one, stop = ones[at], stops[at]
                 mixed = np.where(below, stop * one + (1 - stop) * p, one)
                 p = np.where(here, mixed, p)
                 below |= here
@@ -211,12 +251,10 @@ def string_values(counts: DataFrame, kept: DataFrame, depth: int = DEPTH) -> Dat
     columns = ("key", "one", "stop")
     short = F.shiftright("key", 48) <= TOP_BYTES
     # Contexts of TOP_BYTES bytes at most: 2^24 nodes if every context occurred.
-    top = kept.where(short).select(*columns).toArrow()
-    shared = counts.sparkSession.sparkContext.broadcast(top)
+    shared = counts.sparkSession.sparkContext.broadcast(sorted_nodes(kept.where(short).select(*columns).toArrow()))
 
     def valued(asked: pa.Table, given: pa.Table) -> pa.Table:
-        both = pa.concat_tables([shared.value, given.select(columns)])
-        model = Model(*(both.column(c).to_numpy() for c in columns), depth)
+        model = Model(shared.value, sorted_nodes(given), depth)
         return asked.select(["string", "total"]).append_column("value", pa.array(model.log10(asked.column("string").to_numpy())))
 
     left = found.select(bucket("string"), "string", "total").groupBy("bucket")
@@ -267,7 +305,7 @@ def scorer(hot_strings: pa.Table, hot_words: pa.Table, depth: int = DEPTH):
         for batch in batches:
             rows = []
             texts = [(t.as_py() or "").encode() for t in batch]
-            for part in blocks(texts):
+            for part in blocks(texts, SCORED_BYTES):
                 for text, (total, others, places) in zip(texts[part], looked_up(keys, values, texts[part])):
                     words = text.lower().split()
                     known, base, rest = 0, 0.0, []
