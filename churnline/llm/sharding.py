@@ -130,7 +130,8 @@ def _even_cuts(cells: np.ndarray, shards: int, capacity: int) -> tuple[list[int]
 
 
 def with_shards(docs: DataFrame, shards: int = SHARDS, text: str = "text", column: str = "shard") -> DataFrame:
-    """``docs`` with the shard of each row."""
+    """``docs`` with the shard of each row; ``column`` is lengthened if ``docs`` has a column of that name."""
+    column = free_name(docs, column)
     key = group_key(text)
     groups = written(docs.select(key.alias("key"), row_size(text).alias("bytes")).groupBy("key").agg(F.sum("bytes").alias("bytes")), "groups")
     cuts, _ = plan_cuts(groups, shards)
@@ -142,12 +143,12 @@ def with_shards(docs: DataFrame, shards: int = SHARDS, text: str = "text", colum
 
 
 def with_slots(sharded: DataFrame, shard: str = "shard", slot: str = "slot") -> DataFrame:
-    """Rows numbered from 0 in each shard, by file and place in the file.
+    """Rows numbered from 0 in each shard, by file and place in the file; ``slot`` is lengthened if it is taken.
 
     The rows are written as they lie, sorted by shard in each task; counts per file and
     shard then give every row its number without a sort of a whole shard.
     """
-    file, place = free_name(sharded, "file"), free_name(sharded, "place")
+    file, place, slot = (free_name(sharded, name) for name in ("file", "place", slot))
     stored = written(sharded.sortWithinPartitions(shard), "shards")
     rows = stored.select("*", F.col("_metadata.file_path").alias(file), F.col("_metadata.row_index").alias(place))
     runs = rows.groupBy(F.col(file), F.col(shard)).agg(F.count("*").alias("n"), F.min(place).alias("first"))
@@ -160,7 +161,7 @@ def with_slots(sharded: DataFrame, shard: str = "shard", slot: str = "slot") ->
 
 def write_shards(docs: DataFrame, path: str, shards: int = SHARDS) -> None:
     """Whole rows, texts included, in one folder per shard."""
-    with_shards(docs, shards).write.partitionBy("shard").parquet(path)
+    with_shards(docs, shards).write.partitionBy(free_name(docs, "shard")).parquet(path)
 
 
 def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -79,6 +79,10 @@ def test_shards_keep_equal_texts_together_and_number_rows(docs, empty):
     assert all(len(s) == 1 for s in of_text.values())
     assert all(sorted(s) == list(range(len(s))) for s in slots.values())
     assert sharding.with_shards(empty.drop("shard"), 5).count() == 0
+    clashing = docs.withColumns({"slot": F.lit("s"), "shift": F.lit(1), "n": F.lit(2), "first": F.lit(3)})
+    named = sharding.with_slots(sharding.with_shards(clashing, 5), shard="shard_")
+    assert named.columns == [*clashing.columns, "shard_", "slot_"]
+    assert {r.shard for r in named.collect()} == {7, None} and Counter(r.shard_ for r in named.collect()) == Counter(r.shard for r in rows)
 
 
 @pytest.mark.parametrize(("hot", "bucket"), [(context_tree.HOT_STRINGS, context_tree.BUCKET_STRINGS), (3, 4)])
