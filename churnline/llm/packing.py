@@ -18,6 +18,7 @@ hold the number of the partition above bit 33 and are unique.
 
 from __future__ import annotations
 
+import re
 import unicodedata
 import zlib
 from collections.abc import Iterator
@@ -25,7 +26,6 @@ from collections.abc import Iterator
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
-import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,58 +40,104 @@ SHARD_DOCS = 512
 #: Tokens in the key that documents are sorted by.
 KEY_TOKENS = 32
 K1, B = 1.2, 0.75
-CACHE = 500_000
+#: Bytes that a worker keeps of remembered words and chunks, and the longest that it keeps.
+CACHE_BYTES = 128_000_000
+CACHE_CHARS = 48
 
 _PIECES = [("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()), ("doc_tokens", pa.int64()), ("sequence_id", pa.int64()), ("offset", pa.int64())]
 PIECES = ", ".join(f"{name} long" for name, _ in _PIECES)
 
 
+#: Characters that the fast way knows; 24 capitals among them have small letters beyond it.
+_FOREIGN = re.compile("[^\x00-\u024f]")
+
+
+def _word_pattern() -> re.Pattern:
+    """The tokenizer's words (short forms, letters, single digits, other marks) for characters below U+0250."""
+    of = lambda kind: re.escape("".join(c for c in map(chr, range(0x250)) if unicodedata.category(c)[0] == kind))
+    letter, number, space = of("L"), of("N"), "\t\n\x0b\x0c\r \x85\xa0"
+    return re.compile(f"[{letter}]+|[{number}]|'(?:s|t|re|ve|m|ll|d)|[^{space}{letter}{number}]+")
+
+
 class Tokens:
-    """Ids of the ``word_bpe`` file, put together from remembered chunks and words.
+    """Ids of the ``word_bpe`` file, put together from remembered words.
 
-    That tokenizer drops white space and merges within words of its pattern only, so a text's
-    ids are those of its chunks between spaces and line feeds. Chunks that are below U+0250,
-    also in lower case, are cut into words here; any other goes through the tokenizer whole.
+    That tokenizer drops white space and merges within words of its pattern only. A text below
+    U+0250, also in lower case, is cut into words here; of any other text those parts between
+    spaces and line feeds that are so, and the rest goes through the tokenizer whole.
     """
 
     def __init__(self, path: str):
         self.whole = Tokenizer.from_file(path)
         self.model = self.whole.model
-        self.pattern = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+        self.pattern = _word_pattern()
         # Byte-level letters: printable bytes stand for themselves, the others follow from U+0100.
         plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
         letter = {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in plain)}
         self.letters = {c: "".join(letter[b] for b in chr(c).encode()) for c in range(0x250)}
-        self.words: dict[str, bytes] = {}
-        self.chunks: dict[str, bytes] = {"": b""}
+        self.words, self.chunks = Remembered(self._word, CACHE_BYTES * 3 // 4), Remembered(self._chunk, CACHE_BYTES // 4)
 
     def _word(self, word: str) -> bytes:
-        ids = self.words.get(word)
-        if ids is None:
-            if len(self.words) >= CACHE:
-                self.words.clear()
-            found = self.model.tokenize(word.translate(self.letters))
-            ids = self.words[word] = np.array([t.id for t in found], dtype="<u4").tobytes()
-        return ids
+        # ASCII letters and digits stand for themselves.
+        spelled = word if word.isascii() and word.isalnum() else word.translate(self.letters)
+        found = self.model.tokenize(spelled)
+        return b"".join([t.id.to_bytes(4, "little") for t in found])
+
+    def _plain(self, text: str) -> bytes | None:
+        """Ids of a text of known characters, None of another one."""
+        if "<|" in text:
+            return None
+        if text.isascii():
+            text = text.lower()
+        elif _FOREIGN.search(text) or _FOREIGN.search(text := unicodedata.normalize("NFC", text).lower()):
+            return None
+        return b"".join(map(self.words.__getitem__, self.pattern.findall(text)))
 
     def _chunk(self, chunk: str) -> bytes:
-        ids = self.chunks.get(chunk)
-        if ids is None:
-            if len(self.chunks) >= CACHE:
-                self.chunks.clear()
-            plain = unicodedata.normalize("NFC", chunk).lower() if chunk and max(chunk) < "ɐ" and "<|" not in chunk else ""
-            # Some capitals below U+0250 have small letters above it.
-            if plain and max(plain) < "ɐ":
-                ids = b"".join(map(self._word, self.pattern.findall(plain)))
-            else:
-                ids = np.array(self.whole.encode(chunk, add_special_tokens=False).ids, dtype="<u4").tobytes()
-            self.chunks[chunk] = ids
-        return ids
+        ids = self._plain(chunk)
+        return np.array(self.whole.encode(chunk, add_special_tokens=False).ids, dtype="<u4").tobytes() if ids is None else ids
 
     def of(self, text: str | None) -> np.ndarray:
         """Ids of the text, the end id last."""
-        chunks = (text or "").replace("\n", " ").split(" ")
-        return np.frombuffer(b"".join(map(self._chunk, chunks)) + np.array([END_ID], dtype="<u4").tobytes(), dtype="<u4")
+        ids = self._plain(text or "")
+        if ids is None:
+            ids = b"".join(map(self.chunks.__getitem__, text.replace("\n", " ").split(" ")))
+        return np.frombuffer(ids + np.array([END_ID], dtype="<u4").tobytes(), dtype="<u4")
+
+
+class Remembered(dict):
+    """Ids by word, made when first asked for; long ones are made anew each time.
+
+    Two halves of ``bound`` bytes: a full one becomes the old one, from which words that are
+    still in use come back.
+    """
+
+    def __init__(self, make, bound: int):
+        super().__init__()
+        self.make, self.half, self.held, self.old = make, bound // 2, 0, {}
+
+    def __missing__(self, word: str) -> bytes:
+        value = self.old.get(word)
+        if value is None:
+            value = self.make(word)
+        if len(word) <= CACHE_CHARS:
+            if self.held > self.half:
+                self.old, self.held = dict(self), 0
+                self.clear()
+            self[word] = value
+            # Two objects and their place in the table come to about 200 bytes.
+            self.held += 200 + len(word) + len(value)
+        return value
+
+
+_KEPT: dict[str, Tokens] = {}
+
+
+def tokens_of(path: str) -> Tokens:
+    """The tokenizer of this worker, with what it remembers: a worker runs many tasks."""
+    if path not in _KEPT:
+        _KEPT[path] = Tokens(path)
+    return _KEPT[path]
 
 
 def tokenised(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
@@ -99,7 +145,7 @@ def tokenised(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
 
     @F.arrow_udf("binary")
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        tokens = Tokens(vocabulary)
+        tokens = tokens_of(vocabulary)
         kind = _kind(tokens.whole.get_vocab_size())
         for texts in batches:
             yield pa.array([tokens.of(t.as_py()).astype(kind).tobytes() for t in texts], pa.binary())
@@ -137,7 +183,7 @@ class Weights:
         # Tokens of more than half of all documents say nothing.
         self.idf = np.maximum(0.0, np.log((docs - df + 0.5) / (df + 0.5))).astype(np.float32)
         # Place of each token from the commonest to the rarest.
-        self.place = np.empty(size, dtype=">u4")
+        self.place = np.empty(size, dtype=np.uint32)
         self.place[np.argsort(-df, kind="stable")] = np.arange(size)
         self.mean_length = max(1.0, totals.get(-1, 0) / max(1, docs))
 
@@ -153,7 +199,10 @@ def by_content(stored: DataFrame, weights: Weights, kind: str) -> DataFrame:
             for row in rows:
                 ids = np.frombuffer(row.as_py(), dtype=kind)
                 tail = np.unique(ids[len(ids) - len(ids) % WINDOW :])
-                out.append(np.sort(place[tail[telling[tail]]])[:KEY_TOKENS].tobytes())
+                told = place[tail[telling[tail]]]
+                if len(told) > KEY_TOKENS:
+                    told = np.partition(told, KEY_TOKENS)[:KEY_TOKENS]
+                out.append(np.sort(told).astype(">u4").tobytes())
             yield pa.array(out, pa.binary())
 
     order = ["content", "salt", "doc_id"]
