@@ -12,7 +12,8 @@ Equal texts count once, so thousands of copies cannot narrow a band to themselve
 the median is the least deviation, below that of every language there. Byte fallback is so
 rare that it has no spread; its band is a fixed width. Medians are read from counts per group
 and bin, a group never meets in one task; a row of bins per text is shuffled for the copies.
-A group with fewer than MIN_GROUP texts has no band and rejects nothing.
+A language with fewer than MIN_GROUP texts is judged by the band of its script, a script with
+fewer by that of all texts; every text with words enough is judged, in a table of any size.
 
 Null and empty texts have no words and fail the base rules. Repeated rows are judged alike.
 Texts are read whole. All columns of the input pass through ``with_quality``.
@@ -154,12 +155,21 @@ def measures(vocabulary: str = VOCABULARY):
     return measured
 
 
-def bands(measured: DataFrame, group: str, same: str) -> DataFrame:
-    """One row per group: (group, low and high of each measure), from all texts (told apart by ``same``) of MIN_WORDS words."""
+def bands(measured: DataFrame, groups: list[str], same: str) -> DataFrame:
+    """(group, texts, low and high of each measure) per value of the columns ``groups``.
+
+    All texts of MIN_WORDS words count, once for each combination of groups they stand in
+    (copies are told apart by ``same``). The first column must hold the narrowest groups and
+    no value may stand in two columns for different groups.
+    """
     long = measured.where(F.col("n_words") >= MIN_WORDS)
-    texts = long.select(group, same, *[F.round(F.col(m) / w).cast("long").alias(m) for m, w, *_ in MEASURES]).distinct()
+    texts = long.select(*groups, same, *[F.round(F.col(m) / w).cast("long").alias(m) for m, w, *_ in MEASURES]).distinct()
     bins = F.array(*[F.struct(F.lit(m).alias("measure"), F.col(m).alias("bin")) for m, *_ in MEASURES])
-    counts = texts.select(group, F.explode(bins).alias("b")).groupBy(group, "b.measure", "b.bin").agg(F.count("*").alias("n"))
+    counts = texts.select(*groups, F.explode(bins).alias("b")).groupBy(*groups, "b.measure", "b.bin").agg(F.count("*").alias("n"))
+    # Wider groups are added up from the counts of the narrower ones.
+    group = "group"
+    counts = counts.select(F.explode(F.array_distinct(F.array(*groups))).alias(group), "measure", "bin", "n")
+    counts = counts.groupBy(group, "measure", "bin").agg(F.sum("n").alias("n"))
 
     def middle(rows: DataFrame, value: str, out: str) -> DataFrame:
         by = [group, "measure"]
@@ -180,7 +190,7 @@ def bands(measured: DataFrame, group: str, same: str) -> DataFrame:
         # Half a bin more: values were rounded to bins.
         low, high = (F.greatest(n * F.greatest(F.col("mad") * w, FLOOR * middle_), F.lit(least)) + w / 2 for n in (below, above))
         sides += [F.max(F.when(own, middle_ - low)).alias(f"low_{m}"), F.max(F.when(own, middle_ + high)).alias(f"high_{m}")]
-    return both.where(F.col("n_median") >= MIN_GROUP).groupBy(group).agg(*sides)
+    return both.groupBy(group).agg(F.max("n_median").alias("texts"), *sides)
 
 
 def base_failed(row: Column) -> Column:
@@ -194,13 +204,23 @@ def with_quality(docs: DataFrame, column: str = "quality", keep: list[str] | Non
     measured = written(docs.select(*keep, F.xxhash64("text").alias(same), measures(vocabulary)("text").alias(column)), "quality")
     script = F.concat(F.lit("script:"), F.col(f"{column}.script"))
     group = F.coalesce(F.concat(F.lit("lang:"), F.col("lang").cast("string")), script) if "lang" in keep else script
-    key = free_name(measured, "band_group")
-    rows = measured.withColumn(key, group)
-    limits = bands(rows.select(F.col(key).alias("group"), F.col(same).alias("same"), f"{column}.*"), "group", "same")
+    rows = measured
+    keys = []
+    for name, value in (("band_group", group), ("band_script", script), ("band_all", F.lit("all"))):
+        keys.append(free_name(rows, name))
+        rows = rows.withColumn(keys[-1], value)
+    limits = written(bands(rows.select(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)], F.col(same).alias("same"), f"{column}.*"), ["k0", "k1", "k2"], "same"), "bands")
+    values = F.struct(*[c for c in limits.columns if c not in ("group", "texts")])
     band = free_name(rows, "band")
-    limits = limits.select(F.col("group").alias(key), F.struct(*[c for c in limits.columns if c != "group"]).alias(band))
-    # One short row per language or script.
-    rows = rows.join(F.broadcast(limits), key, "left")
+    found = F.lit(None)
+    for i, key in enumerate(keys):
+        # The band of all texts stands in whatever their number.
+        enough = limits if i == len(keys) - 1 else limits.where(F.col("texts") >= MIN_GROUP)
+        own = free_name(rows, f"{band}_{i}")
+        # One short row per language or script with texts enough.
+        rows = rows.join(F.broadcast(enough.select(F.col("group").alias(key), values.alias(own))), key, "left")
+        found = F.coalesce(found, F.col(own))
+    rows = rows.withColumn(band, found)
     inside = F.lit(True)
     for m, *_ in MEASURES:
         inside = inside & F.col(f"{column}.{m}").between(F.col(f"{band}.low_{m}"), F.col(f"{band}.high_{m}"))

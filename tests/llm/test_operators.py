@@ -431,6 +431,21 @@ def test_fertility_rejects_what_the_base_rules_pass(spark):
     assert sum(judged[i].kept for i in range(300)) >= 295 and all(judged[i].kept for i in range(310, 1210))
 
 
+def test_rare_languages_are_judged_by_their_script_or_by_all(spark):
+    source = random.Random(21)
+    words = "the house of many small green stones stands near water while people walk along narrow roads".split()
+    plain = lambda: " ".join(source.choice(words) for _ in range(120))
+    junk = lambda: " ".join(source.choice(words) + ("###" if k % 3 == 0 else "") for k in range(120))
+    symbols = " ".join(chr(source.randrange(0x1F300, 0x1F5FF)) for _ in range(90))
+    texts = [(plain(), "en") for _ in range(200)] + [(junk(), "xx"), (plain(), "xx"), (junk(), None), (symbols, "yy"), (plain(), "yy")]
+    rows = spark.createDataFrame([(i, *t) for i, t in enumerate(texts)], "doc_id long, text string, lang string")
+    judged = {r.doc_id: r.quality for r in quality.with_quality(rows).collect()}
+    # xx and the texts without a language stand in the band of Latin script, yy's symbols (no script) in that of all.
+    assert [judged[i].kept for i in range(200, 205)] == [False, True, False, False, True]
+    # Alone in its table a text is the middle of the band.
+    assert quality.of_quality(rows.where("doc_id = 0")).count() == 1
+
+
 def test_leaks_within_the_budget(spark, empty):
     source = random.Random(4)
     letters = "abcdefghijklmnopqrstuvwxyz   "
