@@ -235,6 +235,86 @@ def test_license_notice_with_words_added(spark):
     assert r.labels == "mit" and 0.6 <= r.score < 1 and r.n_base == 0
 
 
+CONFUSABLE = [
+    ("Licensed under CC BY 4.0.", "cc-by"),
+    ("Licensed under CC BY-SA 4.0.", "cc-by,cc-by-sa"),
+    ("Licensed under CC BY-ND 4.0.", "cc-by,cc-by-nd"),
+    ("Licensed under CC BY-NC 4.0.", "cc-by,cc-by-nc"),
+    ("Licensed under CC BY-NC-SA 3.0.", "cc-by,cc-by-nc-sa"),
+    ("This work is licensed under a Creative Commons Attribution 4.0 International License", "cc-by"),
+    ("This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License", "cc-by-sa"),
+    ("This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License", "cc-by-nc"),
+    ("Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License", "cc-by-nc-nd"),
+    ("This work is licensed under a Creative Commons Attribution-NonCommercial-Share Alike 3.0 International License", "cc-by-nc-sa"),
+    ("it under the terms of the GNU General Public License as published by: This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License", "gpl,gpl-notice"),
+    ("This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License", "gpl,lgpl"),
+    ("This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License", "agpl,gpl"),
+    ("Licensed under the Apache License, Version 2.0 (the License)", "apache"),
+    ("Licensed under the Apache License, Version 1.1", "apache-1.1"),
+    ("This program and the accompanying materials are made available under the terms of the Eclipse Public License v2.0", "epl"),
+    ("This Source Code Form is subject to the terms of the Eclipse Public License, v. 2.0", ""),
+    ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0", "mpl"),
+    ("Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files", "mit"),
+    ("Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation covered by this license", "bsl"),
+    ("Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted", "isc"),
+    ("Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met", "bsd"),
+    ("This is free and unencumbered software released into the public domain.", "unlicense"),
+    ("Licensed under the Plain License, Version 2.0", ""),
+]
+
+
+def test_confusable_notices_have_their_own_label(spark):
+    filler = " ".join(f"w{i}" for i in range(400))
+    rows = [(i, t) for i, (t, _) in enumerate(CONFUSABLE)] + [(100 + i, f"{filler} {t} {filler}") for i, (t, _) in enumerate(CONFUSABLE)]
+    # One after the other, apart: each keeps its label.
+    rows.append((999, f" {filler} ".join(t for t, _ in CONFUSABLE)))
+    got = {r.doc_id: r for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i, (text, want) in enumerate(CONFUSABLE):
+        assert got[i].labels == got[100 + i].labels == want, text
+    assert set(got[999].labels.split(",")) == {x for _, want in CONFUSABLE for x in want.split(",") if x}
+
+
+def test_inserted_words_lower_the_score(spark):
+    texts = ["licensed under the apache license version 2 0", "licensed under now the apache license version 2 0", "licensed under now and then the apache license version 2 0"]
+    got = {r.doc_id: r.score for r in licenses.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert got[0] == 1 > got[1] > got[2] > 0
+
+
+def test_license_spans_equal_brute_force(spark):
+    source = random.Random(9)
+    notices = [("a", "one two three four five six", "three four"), ("b", "one two three nine four five six", "nine four"), ("c", "seven eight one two", "")]
+    vocabulary = "one two three four five six seven eight nine ten".split()
+    texts = [" ".join(source.choice(vocabulary) for _ in range(n)) + " " + source.choice(notices)[1] for n in range(60)]
+    texts += [" ".join(w for _, t, _ in notices for w in [*t.split(), source.choice(vocabulary)]) for _ in range(5)]
+
+    def labels(words):
+        found = []
+        for number, (label, text, name) in enumerate(notices):
+            parts, own = text.split(), name.split()
+            grams = list(zip(parts, parts[1:]))
+            at = next((i for i in range(len(parts)) if parts[i : i + len(own)] == own), 0)
+            needed = set(range(at, at + len(own) - 1))
+            hits = sorted((p - q, p, q) for p, g in enumerate(zip(words, words[1:])) for q, h in enumerate(grams) if g == h)
+            runs = []
+            for hit in hits:
+                if not runs or hit[0] - runs[-1][-1][0] > licenses.DRIFT:
+                    runs.append([])
+                runs[-1].append(hit)
+            for run in runs:
+                seen, first, end = {q for _, _, q in run}, min(p for _, p, _ in run), max(p for _, p, _ in run) + 2
+                cover, density = len(seen) / len(grams), len(seen) / (end - first - 1)
+                if needed <= seen and cover >= licenses.MIN_COVER and density >= licenses.MIN_DENSITY:
+                    found.append((label, first, end, cover, (cover, len(seen), -number), cover * min(density, 1)))
+        best = [f for f in found if not any(f[0] != g[0] and f[1] < g[2] and g[1] < f[2] and f[4] < g[4] for g in found)]
+        return ",".join(sorted({f[0] for f in best})), max((f[5] for f in best), default=0.0)
+
+    rows = licenses.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), (), notices).collect()
+    assert len(rows) == len(texts) and len({r.labels for r in rows}) > 3
+    for r in rows:
+        want, score = labels(texts[r.doc_id].split())
+        assert (r.labels, r.score) == (want, pytest.approx(score)), texts[r.doc_id]
+
+
 def test_url_rules_and_templates(spark):
     urls = ["http://a.example.org/es/1?x", "https://Example.ORG/en/12", "ftp://x.com/fr/1", "http://x.com/de/2#a", "http://other.net", None, "no scheme", "http://h.net/p/q/", "http://notexample.org.net/es/"]
     pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
