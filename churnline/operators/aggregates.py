@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from churnline.functions import encodings as enc
-from churnline.functions.reshape import feature_rows
+from churnline.operators.moments import moment_table, single
 from churnline.schema import LABEL, TENURE_BUCKETS
 
 BUCKET_FLAGS = {enc.flag_name("tb", label): label for label in TENURE_BUCKETS}
@@ -96,9 +96,9 @@ def kpi_overview(scored: DataFrame, threshold: Column | float) -> DataFrame:
     )
 
 
-def feature_ranges(features: DataFrame, columns: list[str]) -> DataFrame:
+def feature_ranges(features: DataFrame, columns: list[str], moments: DataFrame | None = None) -> DataFrame:
     """Minimum, maximum and slider step per feature."""
-    ranges = feature_rows(features, columns).groupBy("feature").agg(F.min("value").alias("lo"), F.max("value").alias("hi"))
+    ranges = single(moment_table(features, columns) if moments is None else moments, columns)
     step = F.greatest(F.lit(0.01), F.round((F.col("hi") - F.col("lo")) / 100, 4))
     return ranges.select(
         "feature", F.round("lo", 6).alias("min_value"), F.round("hi", 6).alias("max_value"), step.alias("step")

@@ -16,9 +16,9 @@ from pyspark.ml.tuning import CrossValidator, CrossValidatorModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from churnline.functions.reshape import feature_rows
 from churnline.functions.scalars import with_row
 from churnline.operators import metrics
+from churnline.operators.moments import moment_table, single
 from churnline.schema import KEY, LABEL
 from churnline.session import fresh_path
 
@@ -39,11 +39,8 @@ SEARCH_SPACE = {
 def standardized(features: DataFrame, columns: list[str], train: Column | None = None) -> DataFrame:
     """Columns as (x - mean) / population deviation of the training rows; constants become 0."""
     used = features if train is None else features.where(train)
-    stats = (
-        feature_rows(used, columns)
-        .groupBy("feature")
-        .agg(F.avg("value").alias("mean"), F.coalesce(F.nullif(F.stddev_pop("value"), F.lit(0.0)), F.lit(1.0)).alias("sd"))
-    )
+    spread = F.coalesce(F.nullif(F.sqrt("var_a"), F.lit(0.0)), F.lit(1.0))
+    stats = single(moment_table(used, columns), columns).select("feature", F.col("mean_a").alias("mean"), spread.alias("sd"))
     fitted = stats.agg(F.sort_array(F.collect_list(F.struct("feature", "mean", "sd"))).alias("by_name"))
     place = {c: F.get("fit.by_name", F.lit(i)) for i, c in enumerate(sorted(columns))}
     others = [c for c in features.columns if c not in columns]

@@ -21,17 +21,17 @@ from churnline.sources.customers import read_customers_csv, register_features
 
 def exploration(s: Stages) -> dict[str, DataFrame]:
     rows = engineered(clean(s.raw()))
-    features, columns = s.features(), s.columns()
+    features, columns, moments = s.features(), s.columns(), s.moments()
     cohorts, balance = aggregates.cohort_churn(rows), aggregates.class_balance(rows)
-    drivers = correlation.correlation_drivers(features, columns)
+    drivers = correlation.correlation_drivers(features, columns, moments=moments)
     return {
         "cohort_churn": cohorts,
         "segment_churn": aggregates.segment_churn_all(rows),
         "class_balance": balance,
-        "target_correlation": correlation.target_correlation(features, columns),
-        "correlation_top15": correlation.correlation_top(features, columns),
+        "target_correlation": correlation.target_correlation(features, columns, moments),
+        "correlation_top15": correlation.correlation_top(features, columns, moments=moments),
         "eda_facts": products.eda_facts(cohorts, aggregates.level_rates(rows, WANTED_LEVELS), balance, drivers),
-        "feature_ranges": aggregates.feature_ranges(features, columns),
+        "feature_ranges": aggregates.feature_ranges(features, columns, moments),
     }
 
 

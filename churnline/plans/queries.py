@@ -91,7 +91,7 @@ def output_manifest(s: Stages) -> DataFrame:
         "cohort_churn": lambda: aggregates.cohort_churn(raw),
         "segment_churn": lambda: aggregates.segment_churn_all(raw),
         "class_balance": lambda: aggregates.class_balance(raw),
-        "target_correlation": lambda: correlation.target_correlation(s.features(), s.columns()),
+        "target_correlation": lambda: correlation.target_correlation(s.features(), s.columns(), s.moments()),
         "scores": s.scored,
         "gains_curve": lambda: metrics.gains_curve(test),
         "attributions": s.attributions,
@@ -250,22 +250,22 @@ def class_balance(s: Stages) -> DataFrame:
 
 @query
 def correlation_matrix(s: Stages) -> DataFrame:
-    return correlation.correlation_matrix(s.features(), [*s.columns(), LABEL])
+    return correlation.correlation_matrix(s.features(), [*s.columns(), LABEL], s.moments())
 
 
 @query
 def target_correlation(s: Stages) -> DataFrame:
-    return correlation.target_correlation(s.features(), s.columns())
+    return correlation.target_correlation(s.features(), s.columns(), s.moments())
 
 
 @query
 def correlation_top15(s: Stages) -> DataFrame:
-    return correlation.correlation_top(s.features(), s.columns(), 15)
+    return correlation.correlation_top(s.features(), s.columns(), 15, s.moments())
 
 
 @query
 def correlation_drivers(s: Stages) -> DataFrame:
-    return correlation.correlation_drivers(s.features(), s.columns())
+    return correlation.correlation_drivers(s.features(), s.columns(), moments=s.moments())
 
 
 @query
@@ -275,7 +275,7 @@ def eda_facts(s: Stages) -> DataFrame:
         aggregates.cohort_churn(rows),
         aggregates.level_rates(rows, WANTED_LEVELS),
         aggregates.class_balance(rows),
-        correlation.correlation_drivers(s.features(), s.columns()),
+        correlation.correlation_drivers(s.features(), s.columns(), moments=s.moments()),
     )
 
 
@@ -286,7 +286,7 @@ def kpi_overview(s: Stages) -> DataFrame:
 
 @query
 def feature_ranges(s: Stages) -> DataFrame:
-    return aggregates.feature_ranges(s.features(), s.columns())
+    return aggregates.feature_ranges(s.features(), s.columns(), s.moments())
 
 
 @query

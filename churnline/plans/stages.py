@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from churnline.operators import attribution, metrics, quality, search, segments, training
 from churnline.operators.features import FeatureEncoder, feature_columns
+from churnline.operators.moments import moment_table
 from churnline.operators.splits import FOLDS, fixed_sample, ordered_holdout, stratified_folds
 from churnline.operators.training import ScoreCard
 from churnline.schema import KEY, LABEL
@@ -94,6 +95,11 @@ class Stages:
         """What the write of a table observed: ``n_rows``, and more where it was asked for."""
         return staged_facts(self.spark, name, (self.folder,))
 
+    def moments(self) -> DataFrame:
+        """Moments of all features and the label: one scan for correlations and ranges."""
+        build = lambda: moment_table(self.features(), [*self.columns(), LABEL])
+        return staged(self.spark, "moments", (self.folder,), build)
+
     def columns(self) -> list[str]:
         return feature_columns(self.features())
 

@@ -5,7 +5,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from churnline.operators import aggregates, correlation, products, segments
+from churnline.operators import aggregates, correlation, moments, products, segments
 from churnline.operators.training import ScoreCard
 from churnline.schema import KEY, LABEL
 
@@ -24,6 +24,33 @@ def test_constant_columns_have_no_correlation(spark):
     assert ranked == {"x": (1, matrix[("x", LABEL)]), "c": (2, None)}
 
 
+def test_moment_table_equals_numpy(spark):
+    source = np.random.default_rng(4)
+    x = source.normal(size=500)
+    # Far from zero with a small spread, a flag, a constant, and values missing here and there.
+    values = np.column_stack([x, 1e6 + 1e-2 * x + 1e-3 * source.normal(size=500), x > 0.3, np.full(500, 7.0), source.normal(size=500)])
+    gaps = source.random(500) < 0.2
+    rows = [tuple(None if j == 4 and g else float(v) for j, v in enumerate(line)) for line, g in zip(values, gaps)]
+    names = ["x", "far", "flag", "same", "gaps"]
+    data = spark.createDataFrame(rows, ", ".join(f"{n} double" for n in names)).repartition(5)
+    got = {(r.feature_a, r.feature_b): r for r in moments.moment_table(data, names).withColumn("corr", moments.pearson()).collect()}
+    assert len(got) == 25
+    for i, a in enumerate(names):
+        for j, b in enumerate(names):
+            used = ~gaps if "gaps" in (a, b) else np.ones(500, dtype=bool)
+            u, v, r = values[used, i], values[used, j], got[a, b]
+            assert (r.n, r.mean_a) == (used.sum(), pytest.approx(u.mean(), rel=1e-12, abs=1e-12))
+            assert r.var_a == pytest.approx(u.var(), rel=1e-6, abs=1e-12) and r.cov == pytest.approx(np.cov(u, v, bias=True)[0, 1], rel=1e-6, abs=1e-12)
+            assert r["corr"] is None if "same" in (a, b) else r["corr"] == pytest.approx(np.corrcoef(u, v)[0, 1], abs=1e-8)
+            assert (r.lo, r.hi) == ((u.min(), u.max()) if a == b else (None, None))
+
+
+def test_moment_table_of_no_rows(spark):
+    none = spark.createDataFrame([], "x double, y double")
+    assert {(r.n, r.mean_a, r.cov, r.lo) for r in moments.moment_table(none, ["x", "y"]).collect()} <= {(0, None, None, None)}
+    assert {r["corr"] for r in correlation.correlation_matrix(none.withColumn(LABEL, none.x), ["x", LABEL]).collect()} <= {None, 1.0}
+
+
 def test_segments_and_cohorts_by_hand(spark):
     data = spark.createDataFrame(
         [("0-12", "A", 1), ("0-12", "B", 0), ("49+", "A", 1), (None, "B", 0)], f"tenure_bucket string, plan string, {LABEL} int"
