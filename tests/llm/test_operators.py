@@ -348,6 +348,84 @@ def test_url_section_among_many_slugs(spark):
         assert (r.template, r.verdict) == (("/spam/*", "block") if r.page_id >= 1000 else ("/*/*", "allow"))
 
 
+def test_url_sections_are_not_blocked_by_their_neighbours(spark):
+    pages = [(10 * k + i, f"http://n.net/{name}/{i}", label) for k, (name, label) in enumerate([("de", 1), ("fr", 0), ("en", None)]) for i in range(5)]
+    pages += [(100 + i, f"http://n.net/mp3/{i}", 0) for i in range(6)] + [(200 + i, f"http://n.net/web2/{i}", 1) for i in range(6)]
+    table = spark.createDataFrame(pages, "page_id long, url string, blocked int")
+    got = {r.page_id: r for r in url_filters.judge(table, table.where("blocked is not null").select("page_id", "blocked"), ()).collect()}
+    for i, _, label in pages:
+        assert got[i].verdict == ("block" if label else "allow")
+    assert len({got[i].template for i in (0, 10, 20)}) == 3 and got[0].template == got[200].template != got[100].template == got[10].template
+
+
+def tree(rows, depth=0, template=""):
+    """Templates of (segments, labelled, blocked), by plain recursion."""
+    out = {}
+    groups = defaultdict(list)
+    for r in rows:
+        if len(r[0]) == depth:
+            out[r[0]] = template
+        else:
+            groups[url_filters.ANY if re.search(url_filters.VARIABLE, r[0][depth]) else r[0][depth]].append(r)
+    here = [r for g in groups.values() for r in g]
+    labelled, blocked = sum(r[1] for r in here), sum(r[2] for r in here)
+    if blocked in (0, labelled):
+        return out | {r[0]: template + "/*" * (len(r[0]) - depth) for r in here}
+    many = len(here) >= url_filters.MIN_PATHS and len(groups) > url_filters.MAX_DISTINCT * len(here)
+    kinds = defaultdict(list)
+    for name, g in groups.items():
+        kinds["*" if many and len(g) < url_filters.MIN_PATHS else name] += g
+    counts = {k: (sum(r[1] for r in g), sum(r[2] for r in g)) for k, g in kinds.items()}
+    parts = {0: sorted((k for k in kinds if counts[k][0]), key=lambda k: counts[k][1] / counts[k][0])}
+    for _ in range(url_filters.DIVISIONS):
+        after = {}
+        for part, names in parts.items():
+            share = lambda some: sum(counts[k][1] for k in some) / sum(counts[k][0] for k in some)
+            size = lambda some: sum(counts[k][0] for k in some)
+            best = (0.0, 0.0, len(names))
+            for c in range(1, len(names)):
+                if share(names[c - 1 : c]) < share(names[c : c + 1]):
+                    low, high, p = names[:c], names[c:], share(names)
+                    z = (share(high) - share(low)) / math.sqrt(p * (1 - p) * (1 / size(low) + 1 / size(high)))
+                    best = max(best, (z, share(names[c - 1 : c]), c))
+            cut = best[2] if best[0] >= url_filters.MIN_Z else len(names)
+            after |= {2 * part: names[:cut]} | ({2 * part + 1: names[cut:]} if cut < len(names) else {})
+        parts = after
+    for kind, g in kinds.items():
+        part = next((p for p, names in parts.items() if kind in names), None)
+        if part is None:
+            step = "?"
+        elif len(parts[part]) == 1 and len(parts) > 1:
+            step = kind
+        else:
+            step = "*" if part == min(parts) else f"*{part}"
+        groups_out = [(r, step) for r in g]
+        out |= {r[0]: (s, r) for r, s in groups_out}
+    by_step = defaultdict(list)
+    for key, value in list(out.items()):
+        if isinstance(value, tuple):
+            by_step[value[0]].append(value[1])
+            del out[key]
+    for step, g in by_step.items():
+        out |= tree(g, depth + 1, f"{template}/{step}")
+    return out
+
+
+def test_url_templates_equal_a_recursive_tree(spark):
+    source = random.Random(31)
+    names = ["a", "b", "c", "d", "e", "12", "x345", "mp3"]
+    bias = {n: source.choice([0.0, 0.1, 0.5, 0.9, 1.0]) for n in names}
+    paths = {tuple(source.choice(names) for _ in range(source.randint(0, 4))) for _ in range(600)}
+    rows = []
+    for p in sorted(paths):
+        labelled = source.choice([0, 1, 3])
+        rows.append((p, labelled, sum(source.random() < (bias[p[0]] if p else 0.5) for _ in range(labelled))))
+    given_rows = [("h", "/" + "/".join(p), 1, l, b) for p, l, b in rows]
+    got = url_filters.path_templates(spark.createDataFrame(given_rows, "host string, path string, n long, labelled long, blocked long")).collect()
+    want = {"/" + "/".join(p): t for p, t in tree(rows).items()}
+    assert {r.path: r.template for r in got} == want and len(set(want.values())) > 5
+
+
 def fingerprint(text):
     ws = (text or "").translate(UPPER).encode().split()
     shingles = [b" ".join(ws[i : i + 3]) for i in range(len(ws) - 2)] if len(ws) > 2 else [b" ".join(ws)] * bool(ws)
