@@ -212,14 +212,15 @@ def with_quality(docs: DataFrame, column: str = "quality", keep: list[str] | Non
     limits = written(bands(rows.select(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)], F.col(same).alias("same"), f"{column}.*"), ["k0", "k1", "k2"], "same"), "bands")
     values = F.struct(*[c for c in limits.columns if c not in ("group", "texts")])
     band = free_name(rows, "band")
-    found = F.lit(None)
-    for i, key in enumerate(keys):
-        # The band of all texts stands in whatever their number.
-        enough = limits if i == len(keys) - 1 else limits.where(F.col("texts") >= MIN_GROUP)
+    found = []
+    for i, key in enumerate(keys[:-1]):
         own = free_name(rows, f"{band}_{i}")
         # One short row per language or script with texts enough.
-        rows = rows.join(F.broadcast(enough.select(F.col("group").alias(key), values.alias(own))), key, "left")
-        found = F.coalesce(found, F.col(own))
+        enough = limits.where(F.col("texts") >= MIN_GROUP).select(F.col("group").alias(key), values.alias(own))
+        rows = rows.join(F.broadcast(enough), key, "left")
+        found.append(F.col(own))
+    # The band of all texts, one row, stands in whatever their number.
+    found = F.coalesce(*found, limits.where(F.col("group") == "all").select(values).scalar())
     rows = rows.withColumn(band, found)
     inside = F.lit(True)
     for m, *_ in MEASURES:
