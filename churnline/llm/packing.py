@@ -26,6 +26,7 @@ from collections.abc import Iterator
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -41,30 +42,37 @@ SHARD_DOCS = 512
 KEY_TOKENS = 32
 K1, B = 1.2, 0.75
 #: Bytes that a worker keeps of remembered words and chunks, and the longest that it keeps.
-CACHE_BYTES = 128_000_000
+CACHE_BYTES = 192_000_000
 CACHE_CHARS = 48
+#: Bytes of texts that are turned into ids together; a longer text goes alone.
+SLICE_BYTES = 4_000_000
 
 _PIECES = [("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()), ("doc_tokens", pa.int64()), ("sequence_id", pa.int64()), ("offset", pa.int64())]
 PIECES = ", ".join(f"{name} long" for name, _ in _PIECES)
 
 
-#: Characters that the fast way knows; 24 capitals among them have small letters beyond it.
-_FOREIGN = re.compile("[^\x00-\u024f]")
+#: Characters below U+0250 that have small letters beyond it.
+_BEYOND = "".join(c for c in map(chr, range(0x250)) if max(c.lower()) > "\u024f")
+#: What only the tokenizer itself knows: other characters and special tokens.
+_FOREIGN = re.compile(f"[^\x00-\u024f]|[{_BEYOND}]|<\\|")
+#: Stands in a row of ids where a chunk ends.
+_CHUNK_END = 0xFFFFFFFF
 
 
 def _word_pattern() -> re.Pattern:
-    """The tokenizer's words (short forms, letters, single digits, other marks) for characters below U+0250."""
+    """Line feeds, and the tokenizer's words (short forms, letters, single digits, other marks) for characters below U+0250."""
     of = lambda kind: re.escape("".join(c for c in map(chr, range(0x250)) if unicodedata.category(c)[0] == kind))
     letter, number, space = of("L"), of("N"), "\t\n\x0b\x0c\r \x85\xa0"
-    return re.compile(f"[{letter}]+|[{number}]|'(?:s|t|re|ve|m|ll|d)|[^{space}{letter}{number}]+")
+    return re.compile(f"\n|[{letter}]+|[{number}]|'(?:s|t|re|ve|m|ll|d)|[^{space}{letter}{number}]+")
 
 
 class Tokens:
     """Ids of the ``word_bpe`` file, put together from remembered words.
 
-    That tokenizer drops white space and merges within words of its pattern only. A text below
-    U+0250, also in lower case, is cut into words here; of any other text those parts between
-    spaces and line feeds that are so, and the rest goes through the tokenizer whole.
+    That tokenizer drops white space and merges within words of its pattern only. So texts are
+    cut into chunks at spaces and line feeds, and each distinct chunk of a slice of texts is
+    looked at once: one below U+0250, also in lower case, is cut into words here, any other one
+    goes through the tokenizer whole.
     """
 
     def __init__(self, path: str):
@@ -78,31 +86,73 @@ class Tokens:
         self.words, self.chunks = Remembered(self._word, CACHE_BYTES * 3 // 4), Remembered(self._chunk, CACHE_BYTES // 4)
 
     def _word(self, word: str) -> bytes:
+        if word == "\n":
+            return _CHUNK_END.to_bytes(4, "little")
         # ASCII letters and digits stand for themselves.
         spelled = word if word.isascii() and word.isalnum() else word.translate(self.letters)
         found = self.model.tokenize(spelled)
         return b"".join([t.id.to_bytes(4, "little") for t in found])
 
-    def _plain(self, text: str) -> bytes | None:
-        """Ids of a text of known characters, None of another one."""
-        if "<|" in text:
-            return None
-        if text.isascii():
-            text = text.lower()
-        elif _FOREIGN.search(text) or _FOREIGN.search(text := unicodedata.normalize("NFC", text).lower()):
-            return None
-        return b"".join(map(self.words.__getitem__, self.pattern.findall(text)))
-
     def _chunk(self, chunk: str) -> bytes:
-        ids = self._plain(chunk)
-        return np.array(self.whole.encode(chunk, add_special_tokens=False).ids, dtype="<u4").tobytes() if ids is None else ids
+        return np.array(self.whole.encode(chunk, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
     def of(self, text: str | None) -> np.ndarray:
         """Ids of the text, the end id last."""
-        ids = self._plain(text or "")
-        if ids is None:
-            ids = b"".join(map(self.chunks.__getitem__, text.replace("\n", " ").split(" ")))
-        return np.frombuffer(ids + np.array([END_ID], dtype="<u4").tobytes(), dtype="<u4")
+        return np.frombuffer(self.of_all(pa.array([text], pa.string()), "<u4")[0].as_py(), dtype="<u4")
+
+    def of_all(self, texts: pa.Array, kind: str) -> pa.Array:
+        """Ids of each text, the end id last, as bytes of numbers of ``kind``."""
+        parts, first = [], 0
+        ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+        while first < len(texts):
+            before = ends[first - 1] if first else 0
+            last = max(first + 1, int(np.searchsorted(ends, before + SLICE_BYTES, side="right")))
+            parts.append(self._slice(texts.slice(first, last - first), kind))
+            first = last
+        return pa.concat_arrays(parts) if parts else pa.array([], pa.binary())
+
+    def _slice(self, texts: pa.Array, kind: str) -> pa.Array:
+        texts = pc.fill_null(texts, "")
+        # In other texts capitals may combine with what follows, or belong to a special token.
+        plain = pc.and_not(pc.string_is_ascii(texts), pc.match_substring(texts, "<|"))
+        texts = pc.if_else(plain, pc.ascii_lower(texts), texts)
+        chunks = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
+        coded = chunks.flatten().dictionary_encode()
+        stored, first, length = self._ids_of(coded.dictionary)
+        # The end id is one more chunk of every text.
+        stored, first, length = np.append(stored, END_ID).astype(kind), np.append(first, len(stored)), np.append(length, 1)
+        text_ends = np.cumsum(pc.list_value_length(chunks).to_numpy(), dtype=np.int64)
+        places = np.insert(coded.indices.to_numpy(), text_ends, len(first) - 1)
+        counts = length[places]
+        ends = np.cumsum(counts)
+        ids = stored[np.arange(ends[-1]) + np.repeat(first[places] - (ends - counts), counts)]
+        offsets = np.append(0, ends[text_ends + np.arange(len(text_ends))]) * ids.itemsize
+        found = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(texts), [None, pa.py_buffer(offsets), pa.py_buffer(ids)])
+        return found.cast(pa.binary())
+
+    def _ids_of(self, chunks: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """A row of ids, and where in it those of each chunk start and how many they are."""
+
+        def joined(of: pa.Array) -> str:
+            return pc.binary_join(pa.ListArray.from_arrays([0, len(of)], of.cast(pa.string())), "\n")[0].as_py() + "\n"
+
+        text, foreign = joined(chunks), {}
+        if "<|" in text or not text.isascii() and _FOREIGN.search(text):
+            foreign = {i: c for i, c in enumerate(text[:-1].split("\n")) if _FOREIGN.search(c)}
+            mask = np.zeros(len(chunks), dtype=bool)
+            mask[list(foreign)] = True
+            text = joined(pc.if_else(pa.array(mask), "", chunks))
+        words = self.pattern.findall(text.lower())
+        stored = np.frombuffer(b"".join(map(self.words.__getitem__, words)), dtype="<u4")
+        last = np.flatnonzero(stored == _CHUNK_END)
+        first = np.append(0, last[:-1] + 1)
+        length = last - first
+        if foreign:
+            own = [self.chunks[c] for c in foreign.values()]
+            at, sizes = list(foreign), np.array([len(o) // 4 for o in own])
+            first[at], length[at] = len(stored) + np.cumsum(sizes) - sizes, sizes
+            stored = np.append(stored, np.frombuffer(b"".join(own), dtype="<u4"))
+        return stored, first, length
 
 
 class Remembered(dict):
@@ -148,7 +198,7 @@ def tokenised(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
         tokens = tokens_of(vocabulary)
         kind = _kind(tokens.whole.get_vocab_size())
         for texts in batches:
-            yield pa.array([tokens.of(t.as_py()).astype(kind).tobytes() for t in texts], pa.binary())
+            yield tokens.of_all(texts, kind)
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), encode("text").alias("ids"))
 

@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tokenizers
 import xxhash
@@ -522,6 +523,29 @@ def test_packing_ids_equal_the_library_on_every_code_point():
         assert own.of(text).tolist() == [*want.ids, packing.END_ID], text
 
 
+def test_packing_cuts_each_distinct_chunk_once(monkeypatch):
+    own = packing.Tokens(packing.VOCABULARY)
+    odd = [None, "", " \n ", "<|endoftext|> A<|startoftext|>B", "J\u030c \u03a3\u03a3", "\x1c\x1da\tb\x85c\u00a0D", "It's 'S 12,34", "\u0130 \u023a", "\u4e2d the \u4e2d"]
+    same = [f"The words, of many texts {i % 7}\nand \u00c9t\u00e9" for i in range(400)]
+    scanned = []
+
+    class Counted:
+        findall = lambda _, text, cut=own.pattern: scanned.append(len(text)) or cut.findall(text)
+
+    monkeypatch.setattr(own, "pattern", Counted())
+    for slice_bytes in (4_000_000, 40):
+        monkeypatch.setattr(packing, "SLICE_BYTES", slice_bytes)
+        texts = pa.array([*same[:5], *odd, *same])
+        scanned.clear()
+        found = own.of_all(texts, "<u4").to_pylist()
+        if slice_bytes > 40:
+            assert sum(scanned) < 0.05 * sum(len(t) for t in same)
+        for text, ids in zip(texts.to_pylist(), found):
+            assert np.frombuffer(ids, "<u4").tolist() == [*own.whole.encode(text or "", add_special_tokens=False).ids, packing.END_ID], text
+    assert own.of_all(texts.slice(3, 4), "<u2").to_pylist() == [np.frombuffer(i, "<u4").astype("<u2").tobytes() for i in found[3:7]]
+    assert own.of_all(texts.slice(0, 0), "<u2").to_pylist() == []
+
+
 def test_related_documents_meet_whatever_their_place(spark):
     source = random.Random(11)
     subjects = ["river stone bridge water", "piano violin chorus melody", "bread butter cheese onion", "engine wheel brake petrol"]
