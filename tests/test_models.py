@@ -314,6 +314,21 @@ def test_tabled_trees_have_the_same_shapley_values():
     tabled = ensembles.tabled(trees)
     assert all("table" in t for t in tabled)
     assert np.abs(ensembles.shapley_values(x, tabled) - ensembles.shapley_values(x, trees)).max() < 1e-12
+    assert all((ensembles.tree_values(x, a) == ensembles.tree_values(x, b)).all() for a, b in zip(tabled, trees))
+
+
+def test_scores_of_trees_are_the_models_own(spark):
+    """Tabled trees and deeper ones; what is missing is an error as before."""
+    rows, used = numbers(spark, 900)
+    rows = rows.withColumn("day", F.lit("2020-01-31").cast("date"))
+    for depth in (3, 5):
+        model = training.fit_trees(rows, used, {"maxIter": 4, "maxDepth": depth})
+        want = {r[KEY]: r["score"] for r in model.transform(rows).select(KEY, training.churn_probability().alias("score")).collect()}
+        got = training.score_rows(model, rows, [KEY, "day"])
+        assert got.dtypes == [(KEY, "string"), ("day", "date"), ("score", "double")]
+        assert all(abs(want.pop(r[KEY]) - r["score"]) < 1e-12 for r in got.collect()) and not want
+    with pytest.raises(Exception, match="null or NaN"):
+        training.score_rows(model, rows.withColumn("c0", F.lit(None).cast("double")), [KEY]).collect()
 
 
 # ---- calendar splits -------------------------------------------------------------------
